@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from busgrid.functions import holidays as hol
-from busgrid.functions.days import WEEKDAYS, joined_days
+from busgrid.functions.days import compact, iso, joined_days
 from busgrid.functions.keys import line_key, trip_key
 from busgrid.functions.times import has_time
 from busgrid.operators import calendars, history, identity, resolve, stoptimes
@@ -25,7 +25,7 @@ def query(build: Callable[[SalesTimetable], DataFrame]) -> Callable[[SalesTimeta
 
 
 def _text(day: str) -> Column:
-    return F.date_format(day, "yyyy-MM-dd").alias(day)
+    return iso(day).alias(day)
 
 
 def _int(flag: str) -> Column:
@@ -99,7 +99,7 @@ def trip_first_departure(t: SalesTimetable) -> DataFrame:
 
 @query
 def stop_times(t: SalesTimetable) -> DataFrame:
-    return gtfs.stop_times(_calls(t), _attached(t))
+    return gtfs.stop_times(_calls(t), _attached(t), counted=t.calls)
 
 
 # --- carriers, stops, lines, trips
@@ -246,20 +246,25 @@ def holidays(t: SalesTimetable) -> DataFrame:
 @query
 def holidays_class(t: SalesTimetable) -> DataFrame:
     start, end = F.col("valid_from"), F.col("valid_to")
-    periods = t.lines.groupBy("valid_from", "valid_to").agg(F.count("*").alias("n_lines"))
+    periods = (
+        t.lines.groupBy("valid_from", "valid_to")
+        .agg(F.count("*").alias("n_lines"))
+        .withColumn("days", hol.holidays_between(start, end))
+    )
+    days = F.col("days")
 
     def listed(days: Column) -> Column:
-        return joined_days(F.array_sort(F.array_distinct(days)))
+        return joined_days(F.sort_array(F.array_distinct(days)))
 
     return periods.select(
         _text("valid_from"),
         _text("valid_to"),
         "n_lines",
-        listed(hol.holidays_except_sunday(start, end)).alias("except_sunday"),
-        listed(hol.holidays_except_sunday(start, end, 1)).alias("odd_weeks"),
-        listed(hol.holidays_except_sunday(start, end, 0)).alias("even_weeks"),
-        listed(hol.holidays_monday_to_friday(start, end)).alias("monday_to_friday"),
-        listed(hol.holidays_on_saturday(start, end)).alias("on_saturday"),
+        listed(hol.except_sunday(days, start, end)).alias("except_sunday"),
+        listed(hol.except_sunday(days, start, end, 1)).alias("odd_weeks"),
+        listed(hol.except_sunday(days, start, end, 0)).alias("even_weeks"),
+        listed(hol.monday_to_friday(days, start, end)).alias("monday_to_friday"),
+        listed(hol.on_saturday(days, start, end)).alias("on_saturday"),
     )
 
 
@@ -285,21 +290,20 @@ def time_codes(t: SalesTimetable) -> DataFrame:
     one = lambda c: F.concat(
         c["code_type"],
         F.lit(":"),
-        F.date_format(c["code_from"], "yyyyMMdd"),
+        compact(c["code_from"]),
         F.lit(":"),
-        F.coalesce(F.date_format(c["code_to"], "yyyyMMdd"), F.lit("")),
+        F.coalesce(compact(c["code_to"]), F.lit("")),
     )
     return calendars.codes_by_trip(t.time_codes).select(
         "trip_number",
         "n_codes",
-        F.array_join(F.array_sort(F.transform("codes", one)), ",").alias("codes"),
+        F.array_join(F.sort_array(F.transform("codes", one)), ",").alias("codes"),
     )
 
 
 def _periods(t: SalesTimetable) -> DataFrame:
-    return calendars.service_period(
-        calendars.with_codes(_trips_of_all_lines(t), t.time_codes)
-    )
+    with_codes = calendars.with_codes(_trips_of_all_lines(t), t.time_codes)
+    return calendars.with_national_holidays(calendars.service_period(with_codes))
 
 
 @query
@@ -311,22 +315,21 @@ def service_period(t: SalesTimetable) -> DataFrame:
 
 def _day_set(days: Column) -> list[Column]:
     """A set of days, told by its size, ends and a digest of all its days."""
-    ordered = F.array_sort(F.array_distinct(days))
+    ordered = F.sort_array(F.array_distinct(days))
     return [
         F.size(ordered).cast("long").alias("n_days"),
-        F.date_format(F.array_min(days), "yyyy-MM-dd").alias("first_day"),
-        F.date_format(F.array_max(days), "yyyy-MM-dd").alias("last_day"),
+        iso(F.array_min(days)).alias("first_day"),
+        iso(F.array_max(days)).alias("last_day"),
         F.md5(joined_days(ordered)).alias("days_digest"),
     ]
 
 
 def _days_of_types(t: SalesTimetable, column: str, *types: str) -> DataFrame:
-    """What the codes of the given types contribute, for trips with at least one such day."""
+    """What the codes of the given types contribute to each trip."""
     chosen = _periods(t).withColumn(
         "codes", F.filter("codes", lambda c: c["code_type"].isin(*types))
     )
-    days = calendars.days_of_codes(chosen).filter(F.size(column) > 0)
-    return days.select("trip_number", *_day_set(F.col(column)))
+    return calendars.days_of_codes(chosen).select("trip_number", *_day_set(F.col(column)))
 
 
 @query
@@ -364,7 +367,7 @@ def calendar_holidays(t: SalesTimetable) -> DataFrame:
     after = calendars.with_holidays(before)
 
     def listed(days: Column) -> Column:
-        return joined_days(F.array_sort(days))
+        return joined_days(F.sort_array(days))
 
     return after.select(
         "trip_number",
@@ -405,8 +408,8 @@ def service_days(t: SalesTimetable) -> DataFrame:
         .groupBy("service_id")
         .agg(
             F.count("*").alias("n_days"),
-            F.date_format(F.min("day"), "yyyy-MM-dd").alias("first_day"),
-            F.date_format(F.max("day"), "yyyy-MM-dd").alias("last_day"),
+            iso(F.min("day")).alias("first_day"),
+            iso(F.max("day")).alias("last_day"),
         )
     )
 
@@ -418,7 +421,7 @@ def service_days(t: SalesTimetable) -> DataFrame:
 def terminus_flags(t: SalesTimetable) -> DataFrame:
     starts = _versions(t).filter("is_accepted").select(*resolve.LINE, "valid_from")
     calls = _calls(t).filter("stop_key is not null").join(starts, resolve.LINE)
-    return wide.terminus_flags(calls).select("trip_number", "tariff_number", "terminus")
+    return wide.terminus_flags(calls, counted=t.calls).select("trip_number", "tariff_number", "terminus")
 
 
 @query
@@ -431,9 +434,8 @@ def timetable_wide(t: SalesTimetable) -> DataFrame:
         calendars.services(services),
         identity.stops(t.stops),
         identity.carriers(t.carriers),
+        counted=t.calls,
     )
     days = ("valid_from", "valid_to", "period_from", "period_to")
-    return table.withColumns({d: F.date_format(d, "yyyy-MM-dd") for d in days})
-
+    return table.withColumns({d: iso(d) for d in days})
 
-__all__ = ["QUERIES", "WEEKDAYS"]

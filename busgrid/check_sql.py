@@ -293,10 +293,11 @@ def _check(body: str, tr: str = TRIPS_OF_ALL_LINES, wide_filter: str = "true") -
 
 def _day_sets(source: str) -> str:
     return _check(f"""
-        select trip as trip_number, count(*) as n_days, cast(min(d) as varchar) as first_day,
+        select tr.trip as trip_number, count(d) as n_days, cast(min(d) as varchar) as first_day,
           cast(max(d) as varchar) as last_day,
-          md5(string_agg(cast(d as varchar), ',' order by d)) as days_digest
-        from (select distinct trip, d from {source}) group by 1""")
+          md5(coalesce(string_agg(cast(d as varchar), ',' order by d), '')) as days_digest
+        from tr left join (select distinct trip, d from {source}) s on s.trip=tr.trip
+        group by 1""")
 
 
 _FLAGS = ", ".join(

@@ -21,17 +21,24 @@ def jdf_date(column: str | Column) -> Column:
     return F.when(c.rlike(r"^\d{8}$"), F.try_to_date(c, "ddMMyyyy"))
 
 
-def day_range(start: Column, end: Column) -> Column:
-    """Every day from start to end; empty when the end lies before the start."""
-    return F.when(start <= end, F.sequence(start, end)).otherwise(no_days())
-
-
-def in_mask(day: Column, mask: Column) -> Column:
-    return F.getbit(mask, F.weekday(day)) == 1
+def _weekly(start: Column, end: Column, weekday: str) -> Column:
+    first = F.next_day(F.date_sub(start, 1), weekday)
+    return F.when(
+        first <= end, F.sequence(first, end, F.expr("interval 7 days"))
+    ).otherwise(no_days())
 
 
 def masked_days(start: Column, end: Column, mask: Column) -> Column:
-    return F.filter(day_range(start, end), lambda d: in_mask(d, mask))
+    """Days from start to end whose weekday is in the mask; not in order.
+
+    One weekly sequence per weekday of the mask: no test per day is needed.
+    """
+    return F.concat(
+        *[
+            F.when(F.getbit(mask, F.lit(bit)) == 1, _weekly(start, end, day)).otherwise(no_days())
+            for bit, day in enumerate(WEEKDAYS)
+        ]
+    )
 
 
 def week_parity(day: Column) -> Column:
@@ -39,11 +46,15 @@ def week_parity(day: Column) -> Column:
     return F.weekofyear(day) % 2
 
 
-def masked_days_of_parity(start: Column, end: Column, mask: Column, parity: int) -> Column:
-    return F.filter(
-        day_range(start, end), lambda d: in_mask(d, mask) & (week_parity(d) == parity)
-    )
+def iso(day: str | Column) -> Column:
+    """YYYY-MM-DD."""
+    return (F.col(day) if isinstance(day, str) else day).cast("string")
+
+
+def compact(day: str | Column) -> Column:
+    """YYYYMMDD."""
+    return F.replace(iso(day), F.lit("-"), F.lit(""))
 
 
-def joined_days(days: Column, pattern: str = "yyyy-MM-dd") -> Column:
-    return F.array_join(F.transform(days, lambda d: F.date_format(d, pattern)), ",")
+def joined_days(days: str | Column) -> Column:
+    return F.array_join(F.transform(days, iso), ",")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from busgrid.functions.days import no_days, week_parity
 
+Extra = Sequence[tuple[int, int]]
+
 # Holidays with a fixed (month, day).
 FIXED_HOLIDAYS = (
     (1, 1),
@@ -28,61 +30,70 @@ EASTER_OFFSETS = (-2, 1)
 FREEDOM_DAY = (11, 17)
 
 
-def easter_sunday(year: Column) -> Column:
-    """Gregorian Easter: the first Sunday after the paschal full moon (Gauss)."""
-    century = F.floor(year / 100)
-    lunar = (15 + century - F.floor(century / 4) - F.floor((8 * century + 13) / 25)) % 30
-    golden = year % 19
-    raw = (19 * golden + lunar) % 30
-    moon = raw - F.when((raw == 29) | ((raw == 28) & (golden > 10)), 1).otherwise(0)
-    full_moon = F.date_add(F.make_date(year, F.lit(3), F.lit(21)), moon.cast("int"))
-    return F.next_day(full_moon, "Sunday")
+def _easter_sundays(years: Column) -> Column:
+    """Gregorian Easter of each year: the first Sunday after the paschal full moon (Gauss).
 
+    Written as steps over small structs, so that no sub-expression is repeated.
+    """
 
-def holidays_of_year(year: Column, extra: Iterable[tuple[int, int]] = ()) -> Column:
-    fixed = [F.make_date(year, F.lit(m), F.lit(d)) for m, d in (*FIXED_HOLIDAYS, *extra)]
-    moving = [F.date_add(easter_sunday(year), offset) for offset in EASTER_OFFSETS]
-    return F.array(*fixed, *moving)
+    def lunar(y: Column) -> Column:
+        century = F.struct(y.alias("y"), F.floor(y / 100).alias("c"))
+        c = century["c"]
+        shift = (15 + c - F.floor(c / 4) - F.floor((8 * c + 13) / 25)) % 30
+        return F.struct(y.alias("y"), ((19 * (y % 19) + shift) % 30).alias("moon"))
 
+    def sunday(s: Column) -> Column:
+        late = (s["moon"] == 29) | ((s["moon"] == 28) & (s["y"] % 19 > 10))
+        days = s["moon"] - F.when(late, 1).otherwise(0)
+        full_moon = F.date_add(F.make_date(s["y"], F.lit(3), F.lit(21)), days.cast("int"))
+        return F.struct(s["y"].alias("y"), F.next_day(full_moon, "Sunday").alias("easter"))
 
-def holidays_between(
-    start: Column, end: Column, extra: Iterable[tuple[int, int]] = ()
-) -> Column:
+    return F.transform(F.transform(years, lunar), sunday)
+
+
+def holidays_of_years(years: Column, extra: Extra = ()) -> Column:
+    """All holidays of an array of years, as one array."""
+
+    def of_year(s: Column) -> Column:
+        fixed = [F.make_date(s["y"], F.lit(m), F.lit(d)) for m, d in (*FIXED_HOLIDAYS, *extra)]
+        moving = [F.date_add(s["easter"], offset) for offset in EASTER_OFFSETS]
+        return F.array(*fixed, *moving)
+
+    return F.flatten(F.transform(_easter_sundays(years), of_year))
+
+
+def holidays_between(start: Column, end: Column, extra: Extra = ()) -> Column:
     """All holidays from start to end, both included."""
-    extra = tuple(extra)
     years = F.sequence(F.year(start), F.year(end))
-    candidates = F.flatten(F.transform(years, lambda y: holidays_of_year(y, extra)))
-    return F.when(
-        start <= end, F.filter(candidates, lambda d: (d >= start) & (d <= end))
-    ).otherwise(no_days())
+    inside = F.filter(holidays_of_years(years, extra), lambda d: d.between(start, end))
+    return F.when(start <= end, inside).otherwise(no_days())
 
 
-def holidays_except_sunday(
-    start: Column, end: Column, parity: int | None = None, extra: Iterable[tuple[int, int]] = ()
+def except_sunday(
+    holidays: Column, start: Column, end: Column, parity: int | None = None
 ) -> Column:
-    """Holidays from Monday to Saturday, all of them or those in odd (1) or even (0) weeks."""
+    """Of the given holidays those from start to end that fall on Monday to Saturday,
+
+    in all weeks or in the odd (1) or even (0) ones.
+    """
 
     def keep(day: Column) -> Column:
-        weekday = F.weekday(day) < 6
-        return weekday if parity is None else weekday & (week_parity(day) == parity)
+        inside = day.between(start, end) & (F.weekday(day) < 6)
+        return inside if parity is None else inside & (week_parity(day) == parity)
 
-    return F.filter(holidays_between(start, end, extra), keep)
+    return F.filter(holidays, keep)
 
 
-def holidays_monday_to_friday(
-    start: Column, end: Column, extra: Iterable[tuple[int, int]] = ()
-) -> Column:
-    return F.filter(holidays_between(start, end, extra), lambda d: F.weekday(d) < 5)
+def monday_to_friday(holidays: Column, start: Column, end: Column) -> Column:
+    return F.filter(holidays, lambda d: d.between(start, end) & (F.weekday(d) < 5))
 
 
-def holidays_on_saturday(
-    start: Column, end: Column, extra: Iterable[tuple[int, int]] = ()
-) -> Column:
-    return F.filter(holidays_between(start, end, extra), lambda d: F.weekday(d) == 5)
+def on_saturday(holidays: Column, start: Column, end: Column) -> Column:
+    return F.filter(holidays, lambda d: d.between(start, end) & (F.weekday(d) == 5))
 
 
-def holiday_table(years: DataFrame, extra: Iterable[tuple[int, int]] = ()) -> DataFrame:
+def holiday_table(years: DataFrame, extra: Extra = ()) -> DataFrame:
     """One row per holiday of the distinct years in ``years(year)``."""
-    return years.select(F.col("year").cast("int").alias("year")).distinct().select(
-        F.explode(F.array_distinct(holidays_of_year(F.col("year"), tuple(extra)))).alias("day")
-    )
+    each = years.select(F.col("year").cast("int").alias("year")).distinct()
+    days = holidays_of_years(F.array("year"), extra)
+    return each.select(F.explode(F.array_distinct(days)).alias("day"))

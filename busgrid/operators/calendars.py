@@ -7,8 +7,6 @@ the days are made and merged by rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,15 +17,18 @@ from busgrid.functions.days import (
     WORKING_DAYS_MASK,
     joined_days,
     masked_days,
-    masked_days_of_parity,
     no_days,
+    week_parity,
 )
 from busgrid.functions.holidays import (
-    holidays_except_sunday,
-    holidays_monday_to_friday,
-    holidays_on_saturday,
+    Extra,
+    except_sunday,
+    holidays_between,
+    monday_to_friday,
+    on_saturday,
 )
 from busgrid.functions.keys import content_key
+from busgrid.operators.sequences import hot_keys, split
 
 TRIP_OF_FEED = ["feed_id", "line_number", "trip_number"]
 
@@ -57,8 +58,6 @@ CODES_TYPE = "array<struct<code_type:string,code_from:date,code_to:date>>"
 # A trip with more dated codes than this takes the exploded path.
 ARRAY_CODES = 100_000
 
-Extra = Iterable[tuple[int, int]]
-
 
 def weekly_mask(mask: Column, working: Column, holidays: Column) -> Column:
     """Working days add Monday to Friday, holidays add Sunday; nothing at all means every day."""
@@ -80,55 +79,54 @@ def code_is_valid(code_type: Column, code_from: Column, code_to: Column) -> Colu
     )
 
 
-def _week_days(start: Column, end: Column, parity: int, extra: Extra) -> Column:
-    days = masked_days_of_parity(start, end, F.col("mask"), parity)
-    working = F.array_except(days, holidays_monday_to_friday(start, end, extra))
+def _week_days(start: Column, end: Column, parity: Column) -> Column:
+    """Masked days in odd or even weeks, holidays moved as the flags say."""
+    same_week = lambda d: week_parity(d) == parity
+    holidays = F.filter("holidays", same_week)
+    days = F.filter(masked_days(start, end, F.col("mask")), same_week)
+    working = F.array_except(days, monday_to_friday(holidays, start, end))
     days = F.when(F.col("on_working_days"), working).otherwise(days)
-    on_holidays = F.concat(days, holidays_except_sunday(start, end, parity, extra))
-    return F.when(F.col("on_holidays"), on_holidays).otherwise(days)
+    with_holidays = F.concat(days, except_sunday(holidays, start, end))
+    return F.when(F.col("on_holidays"), with_holidays).otherwise(days)
 
 
-def days_added(code_type: Column, start: Column, end: Column, extra: Extra = ()) -> Column:
+def days_added(code_type: Column, start: Column, end: Column) -> Column:
     """Days on which a trip runs because of one dated code."""
-    days = masked_days(start, end, F.col("mask"))
-    working, holidays = F.col("on_working_days"), F.col("on_holidays")
+    working, on_holidays = F.col("on_working_days"), F.col("on_holidays")
+    holidays, days = F.col("holidays"), masked_days(start, end, F.col("mask"))
     in_range = (
-        F.when(working & holidays, F.concat(days, holidays_on_saturday(start, end, extra)))
-        .when(working, F.array_except(days, holidays_monday_to_friday(start, end, extra)))
-        .when(holidays, F.concat(days, holidays_except_sunday(start, end, None, extra)))
+        F.when(working & on_holidays, F.concat(days, on_saturday(holidays, start, end)))
+        .when(working, F.array_except(days, monday_to_friday(holidays, start, end)))
+        .when(on_holidays, F.concat(days, except_sunday(holidays, start, end)))
         .otherwise(days)
     )
-    line_from, line_to = F.col("loaded_from"), F.col("loaded_to")
+    odd, even = (ODD_WEEKS, ODD_WEEKS_IN), (EVEN_WEEKS, EVEN_WEEKS_IN)
     return (
         F.when((code_type == RUNS_IN) & end.isNotNull(), in_range)
         .when(code_type.isin(RUNS_IN, ALSO_RUNS, RUNS_ONLY), F.array(start))
-        .when(code_type == ODD_WEEKS, _week_days(line_from, line_to, 1, extra))
-        .when(code_type == EVEN_WEEKS, _week_days(line_from, line_to, 0, extra))
-        .when(code_type == ODD_WEEKS_IN, _week_days(start, end, 1, extra))
-        .when(code_type == EVEN_WEEKS_IN, _week_days(start, end, 0, extra))
+        .when(code_type.isin(*odd), _week_days(start, end, F.lit(1)))
+        .when(code_type.isin(*even), _week_days(start, end, F.lit(0)))
         .otherwise(no_days())
     )
 
 
-def days_excluded(code_type: Column, start: Column, end: Column, extra: Extra = ()) -> Column:
+def days_excluded(code_type: Column, start: Column, end: Column) -> Column:
     """Days on which a trip does not run because of one dated code."""
     days = masked_days(start, end, F.col("mask"))
-    with_holidays = F.concat(days, holidays_except_sunday(start, end, None, extra))
-    return (
-        F.when((code_type == DOES_NOT_RUN) & end.isNull(), F.array(start))
-        .when((code_type == DOES_NOT_RUN) & F.col("on_holidays"), with_holidays)
-        .when(code_type == DOES_NOT_RUN, days)
-        .otherwise(no_days())
-    )
+    with_holidays = F.concat(days, except_sunday(F.col("holidays"), start, end))
+    in_range = F.when(F.col("on_holidays"), with_holidays).otherwise(days)
+    return F.when(
+        code_type == DOES_NOT_RUN, F.when(end.isNull(), F.array(start)).otherwise(in_range)
+    ).otherwise(no_days())
 
 
-def trips_with_many_codes(codes: DataFrame, array_codes: int = ARRAY_CODES) -> DataFrame:
-    """Keys of trips above the array size: at most one per ``array_codes`` rows of input."""
-    return (
-        codes.groupBy(*TRIP_OF_FEED)
-        .agg(F.count("*").alias("n_codes"))
-        .filter(F.col("n_codes") > array_codes)
-    )
+def spanned(code_type: Column, start: Column, end: Column) -> list[Column]:
+    """Start and end of a code; the undated week-parity types span the line's validity."""
+    whole_line = code_type.isin(ODD_WEEKS, EVEN_WEEKS)
+    return [
+        F.when(whole_line, F.col("loaded_from")).otherwise(start).alias("code_from"),
+        F.when(whole_line, F.col("loaded_to")).otherwise(end).alias("code_to"),
+    ]
 
 
 def codes_by_trip(codes: DataFrame) -> DataFrame:
@@ -137,7 +135,7 @@ def codes_by_trip(codes: DataFrame) -> DataFrame:
     known = F.when(F.col("code_type").isin(*KNOWN_TYPES), code)
     return codes.groupBy(*TRIP_OF_FEED).agg(
         F.count("*").cast("int").alias("n_codes"),
-        F.array_sort(F.collect_set(known)).alias("codes"),
+        F.sort_array(F.collect_set(known)).alias("codes"),
     )
 
 
@@ -154,12 +152,20 @@ def with_codes(trips: DataFrame, codes: DataFrame) -> DataFrame:
 def service_period(trips: DataFrame) -> DataFrame:
     """Weekly mask, period and whether the weekly calendar counts, from the codes of each trip.
 
-    A single code of the first type replaces the line's period by its own.
+    A single code of the first type replaces the line's period by its own. The other
+    codes get the days they span.
     """
     first_code = F.get("codes", F.lit(0))
     single = (F.col("n_codes") == 1) & (first_code["code_type"] == RUNS_IN)
     listed = F.exists("codes", lambda c: c["code_type"].isin(*LISTED_DAYS_ONLY))
     only = F.col("single_code")
+    spans = F.transform(
+        "codes",
+        lambda c: F.struct(
+            c["code_type"].alias("code_type"),
+            *spanned(c["code_type"], c["code_from"], c["code_to"]),
+        ),
+    )
     return (
         trips.withColumn("single_code", F.when(single, first_code))
         .withColumns(
@@ -170,21 +176,35 @@ def service_period(trips: DataFrame) -> DataFrame:
                 "period_from": F.coalesce(only["code_from"], "loaded_from"),
                 "period_to": F.coalesce(only["code_to"], only["code_from"], "loaded_to"),
                 "uses_calendar": only.isNotNull() | ~listed,
-                "codes": F.when(only.isNotNull(), F.array().cast(CODES_TYPE)).otherwise(
-                    F.col("codes")
-                ),
+                "codes": F.when(only.isNotNull(), F.array().cast(CODES_TYPE)).otherwise(spans),
             }
         )
         .drop("single_code")
     )
 
 
-def days_of_codes(trips: DataFrame, extra: Extra = ()) -> DataFrame:
+def with_national_holidays(trips: DataFrame, extra: Extra = ()) -> DataFrame:
+    """Adds the holidays of the years that the line, the period and the codes of a trip touch.
+
+    They are made once per trip; all rules then filter this short array.
+    """
+    dates = F.flatten(F.transform("codes", lambda c: F.array(c["code_from"], c["code_to"])))
+    all_dates = F.concat(
+        F.array("loaded_from", "loaded_to", "period_from", "period_to"), dates
+    )
+    return (
+        trips.withColumns({"first": F.array_min(all_dates), "last": F.array_max(all_dates)})
+        .withColumn("holidays", holidays_between(F.col("first"), F.col("last"), extra))
+        .drop("first", "last")
+    )
+
+
+def days_of_codes(trips: DataFrame) -> DataFrame:
     """Adds ``added`` and ``excluded``: the days that the dated codes of each trip name."""
 
     def over_codes(days_of) -> Column:
         each = F.transform(
-            "codes", lambda c: days_of(c["code_type"], c["code_from"], c["code_to"], extra)
+            "codes", lambda c: days_of(c["code_type"], c["code_from"], c["code_to"])
         )
         return F.array_distinct(F.flatten(each))
 
@@ -193,11 +213,11 @@ def days_of_codes(trips: DataFrame, extra: Extra = ()) -> DataFrame:
     )
 
 
-def with_holidays(trips: DataFrame, extra: Extra = ()) -> DataFrame:
+def with_holidays(trips: DataFrame) -> DataFrame:
     """Where the weekly calendar counts: working-day trips skip holidays, holiday trips gain them."""
-    start, end = F.col("period_from"), F.col("period_to")
-    skipped = F.array_except(holidays_monday_to_friday(start, end, extra), F.col("added"))
-    gained = F.array_except(holidays_except_sunday(start, end, None, extra), F.col("excluded"))
+    holidays, start, end = F.col("holidays"), F.col("period_from"), F.col("period_to")
+    skipped = F.array_except(monday_to_friday(holidays, start, end), F.col("added"))
+    gained = F.array_except(except_sunday(holidays, start, end), F.col("excluded"))
     on = F.col("uses_calendar")
     return trips.withColumn(
         "excluded",
@@ -216,9 +236,9 @@ def service_content(trips: DataFrame) -> DataFrame:
     """Final day sets and the service key, which is made of everything that tells services apart."""
     days = trips.withColumns(
         {
-            "runs": F.array_sort(F.array_except("added", "excluded")),
+            "runs": F.sort_array(F.array_except("added", "excluded")),
             "runs_not": F.when(
-                F.col("uses_calendar"), F.array_sort(F.array_distinct("excluded"))
+                F.col("uses_calendar"), F.sort_array(F.array_distinct("excluded"))
             ).otherwise(no_days()),
         }
     ).drop("added", "excluded")
@@ -236,88 +256,96 @@ def service_content(trips: DataFrame) -> DataFrame:
     return days.withColumn("service_id", F.when(F.col("uses_calendar"), weekly).otherwise(listed))
 
 
-def _few_codes(trips: DataFrame, codes: DataFrame, many: DataFrame, extra: Extra) -> DataFrame:
-    few_codes = codes.join(F.broadcast(many), TRIP_OF_FEED, "left_anti")
-    few_trips = trips.join(F.broadcast(many), TRIP_OF_FEED, "left_anti")
-    with_days = days_of_codes(service_period(with_codes(few_trips, few_codes)), extra)
-    return with_days.drop("n_codes", "codes")
+def _few_codes(trips: DataFrame, codes: DataFrame, extra: Extra) -> DataFrame:
+    periods = service_period(with_codes(trips, codes))
+    return days_of_codes(with_national_holidays(periods, extra)).drop("n_codes", "codes")
 
 
-def _many_codes(trips: DataFrame, codes: DataFrame, many: DataFrame, extra: Extra) -> DataFrame:
-    """The same result for trips with many codes, from rows: distinct codes, then distinct days."""
-    heavy = trips.join(F.broadcast(many), TRIP_OF_FEED).withColumns(
-        {
-            "mask": weekly_mask(
-                F.col("weekday_mask"), F.col("on_working_days"), F.col("on_holidays")
-            ),
-            "period_from": F.col("loaded_from"),
-            "period_to": F.col("loaded_to"),
-        }
-    )
-    inputs = ["mask", "on_working_days", "on_holidays", "loaded_from", "loaded_to"]
-    distinct = (
-        codes.join(F.broadcast(many.select(*TRIP_OF_FEED)), TRIP_OF_FEED, "left_semi")
-        .filter(F.col("code_type").isin(*KNOWN_TYPES))
+def _many_codes(trips: DataFrame, codes: DataFrame, extra: Extra) -> DataFrame:
+    """The same result from rows: distinct codes, then distinct days per trip.
+
+    For the few trips whose codes must not be gathered in one array. What is
+    gathered in the end are distinct days, of which a calendar has a limited number.
+    """
+    known = (
+        codes.filter(F.col("code_type").isin(*KNOWN_TYPES))
         .select(*TRIP_OF_FEED, "code_type", "code_from", "code_to")
         .distinct()
     )
-    code = (F.col("code_type"), F.col("code_from"), F.col("code_to"), extra)
-    signature = heavy.select("line_discriminator", *TRIP_OF_FEED, *inputs)
+    span = known.groupBy(*TRIP_OF_FEED).agg(
+        F.max(F.col("code_type").isin(*LISTED_DAYS_ONLY)).alias("listed"),
+        F.least(F.min("code_from"), F.min("code_to")).alias("first"),
+        F.greatest(F.max("code_from"), F.max("code_to")).alias("last"),
+    )
+    mask = weekly_mask(F.col("weekday_mask"), F.col("on_working_days"), F.col("on_holidays"))
+    start, end = F.least("loaded_from", "first"), F.greatest("loaded_to", "last")
+    heavy = (
+        trips.join(span, TRIP_OF_FEED, "left")
+        .withColumns({"first": start, "last": end})
+        .withColumns(
+            {
+                "mask": mask,
+                "period_from": F.col("loaded_from"),
+                "period_to": F.col("loaded_to"),
+                "uses_calendar": ~F.coalesce("listed", F.lit(False)),
+                "holidays": holidays_between(F.col("first"), F.col("last"), extra),
+            }
+        )
+        .drop("listed", "first", "last")
+    )
     trip = [*TRIP_OF_FEED, "line_discriminator"]
-    named = distinct.join(F.broadcast(signature), TRIP_OF_FEED)
-    days = (
-        named.select(
+    inputs = ["mask", "on_working_days", "on_holidays", "loaded_from", "loaded_to", "holidays"]
+    code = [F.col("code_type"), F.col("code_from"), F.col("code_to")]
+
+    def marked(days: Column, runs: bool) -> Column:
+        return F.transform(days, lambda d: F.struct(F.lit(runs).alias("runs"), d.alias("day")))
+
+    named = (
+        known.join(F.broadcast(heavy.select(*trip, *inputs)), TRIP_OF_FEED)
+        .select(*trip, *inputs, "code_type", *spanned(*code))
+        .select(
             *trip,
             F.inline(
-                F.concat(
-                    F.transform(
-                        days_added(*code),
-                        lambda d: F.struct(F.lit(True).alias("runs"), d.alias("day")),
-                    ),
-                    F.transform(
-                        days_excluded(*code),
-                        lambda d: F.struct(F.lit(False).alias("runs"), d.alias("day")),
-                    ),
-                )
+                F.concat(marked(days_added(*code), True), marked(days_excluded(*code), False))
             ),
         )
-        .distinct()
+    )
+    days = (
+        named.distinct()
         .groupBy(*trip)
         .agg(
             F.collect_list(F.when(F.col("runs"), F.col("day"))).alias("added"),
             F.collect_list(F.when(~F.col("runs"), F.col("day"))).alias("excluded"),
         )
     )
-    listed = distinct.groupBy(*TRIP_OF_FEED).agg(
-        F.max(F.col("code_type").isin(*LISTED_DAYS_ONLY)).alias("listed")
-    )
-    return (
-        heavy.drop("n_codes")
-        .join(listed, TRIP_OF_FEED, "left")
-        .withColumn("uses_calendar", ~F.coalesce("listed", F.lit(False)))
-        .drop("listed")
-        .join(days, trip, "left")
-        .withColumns(
-            {
-                "added": F.coalesce("added", no_days()),
-                "excluded": F.coalesce("excluded", no_days()),
-            }
-        )
+    return heavy.join(days, trip, "left").withColumns(
+        {"added": F.coalesce("added", no_days()), "excluded": F.coalesce("excluded", no_days())}
     )
 
 
 def trip_services(
-    trips: DataFrame, codes: DataFrame, extra: Extra = (), array_codes: int = ARRAY_CODES
+    trips: DataFrame,
+    codes: DataFrame,
+    extra: Extra = (),
+    array_codes: int | None = ARRAY_CODES,
 ) -> DataFrame:
     """Each trip with its service: mask, period, ``runs``, ``runs_not`` and ``service_id``.
 
     ``trips`` carry the flags of ``fixed_code_flags`` and the validity of their line.
-    No rows are exchanged but for the join with the codes.
+    No rows are exchanged but for the join with the codes. A count of the codes per
+    trip is run first; trips above ``array_codes`` take a path of their own. None
+    leaves that check out.
     """
-    many = trips_with_many_codes(codes, array_codes)
-    few_rows = _few_codes(trips, codes, many, extra)
-    many_rows = _many_codes(trips, codes, many, extra)
-    return service_content(with_holidays(few_rows.unionByName(many_rows), extra))
+    many = array_codes and hot_keys(codes, TRIP_OF_FEED, array_codes)
+    if not many:
+        days = _few_codes(trips, codes, extra)
+    else:
+        few_trips, many_trips = split(trips, many, TRIP_OF_FEED)
+        few_codes, many_codes = split(codes, many, TRIP_OF_FEED)
+        days = _few_codes(few_trips, few_codes, extra).unionByName(
+            _many_codes(many_trips, many_codes, extra)
+        )
+    return service_content(with_holidays(days).drop("holidays"))
 
 
 SERVICE_COLUMNS = [

@@ -11,12 +11,21 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most one per ``hot_rows`` rows of input.
+def hot_keys(
+    rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, or None if there are none.
 
-    That bound is what allows to broadcast them. Only the key columns are read.
+    Runs one job that reads the key columns, counts per key (with partial counts
+    before the shuffle) and brings a single number to the driver, so that plans
+    for hot keys are only made where such keys exist. There is at most one hot key
+    per ``hot_rows`` rows of input, a bound that allows to broadcast them.
     """
-    return rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select(*keys)
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0]
+    if largest is None or largest <= hot_rows:
+        return None
+    return sizes.filter(F.col("n") > hot_rows).select(*keys)
 
 
 def split(rows: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

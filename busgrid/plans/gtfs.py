@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from busgrid.functions.days import WEEKDAYS
+from busgrid.functions.days import WEEKDAYS, compact
 from busgrid.operators import calendars, sequences, stoptimes
 
 # Fixed values of the output.
@@ -13,7 +13,6 @@ TIMEZONE = "Europe/Prague"
 LANGUAGE = "cs"
 ROUTE_TYPES = {"E": 0, "M": 1, "L": 6, "P": 4}
 BUS = 3
-GTFS_DATE = "yyyyMMdd"
 
 
 def agency(carriers: DataFrame) -> DataFrame:
@@ -33,8 +32,8 @@ def calendar(services: DataFrame) -> DataFrame:
     return services.filter("uses_calendar").select(
         "service_id",
         *[c.alias(day) for day, c in calendars.weekday_flags().items()],
-        F.date_format("period_from", GTFS_DATE).alias("start_date"),
-        F.date_format("period_to", GTFS_DATE).alias("end_date"),
+        compact("period_from").alias("start_date"),
+        compact("period_to").alias("end_date"),
     )
 
 
@@ -45,7 +44,7 @@ def calendar_dates(services: DataFrame) -> DataFrame:
         return F.transform(
             days,
             lambda d: F.struct(
-                F.date_format(d, GTFS_DATE).alias("date"),
+                compact(d).alias("date"),
                 F.lit(exception_type).alias("exception_type"),
             ),
         )
@@ -72,9 +71,12 @@ def routes(lines: DataFrame) -> DataFrame:
 
 
 def stop_times(
-    calls: DataFrame, trips: DataFrame, hot_rows: int | None = sequences.HOT_ROWS
+    calls: DataFrame,
+    trips: DataFrame,
+    hot_rows: int | None = sequences.HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    return stoptimes.stop_times(calls, trips, hot_rows).select(
+    return stoptimes.stop_times(calls, trips, hot_rows, counted).select(
         F.col("trip_key").alias("trip_id"),
         "arrival_time",
         "departure_time",

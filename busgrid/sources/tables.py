@@ -80,7 +80,7 @@ class SalesTimetable:
     def _in_every_feed(self, rows: DataFrame) -> DataFrame:
         """Repeats master data in every feed; there are as many feeds as years."""
         all_feeds = self.feeds.agg(
-            F.array_sort(F.collect_list(F.struct("feed_id", "feed_seq")))
+            F.sort_array(F.collect_list(F.struct("feed_id", "feed_seq")))
         ).scalar()
         return rows.select(F.inline(all_feeds), "*")
 
@@ -197,9 +197,8 @@ class SalesTimetable:
         )
         quantity, last = F.col("l_quantity"), F.col("ord") == F.col("n")
         trip = F.col("l_orderkey")
-        clock = F.concat(
-            _padded(F.floor(F.col("t") / 60).cast("int"), 2), _padded(F.col("t") % 60, 2)
-        )
+        hours = F.expr("cast(t div 60 as int)")
+        clock = F.substring((10000 + hours * 100 + F.col("t") % 60).cast("string"), 2, 4)
         marker = F.when(quantity == 1, "<").when(quantity == 2, "|")
         no_arrival = (
             (quantity == 3) | ((F.col("l_linestatus") == "F") & ~last) | (F.col("ord") == 1)
