@@ -21,6 +21,13 @@ def first_rows(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(first.alias("first")).select(key, "first.*")
 
 
+def last_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The last row per key of a feed, for keys that start with the feed."""
+    others = [c for c in rows.columns if c not in keys]
+    last = F.max_by(F.struct(*others), "line_no")
+    return rows.groupBy(*keys).agg(last.alias("last")).select(*keys, "last.*")
+
+
 def carriers(staged: DataFrame) -> DataFrame:
     """Carriers are the same when company number, name and seat are."""
     return first_rows(staged.withColumn("carrier_key", carrier_key()), "carrier_key")
