@@ -336,8 +336,8 @@ def trip_services(
     trip is run first; trips above ``array_codes`` take a path of their own. None
     leaves that check out.
     """
-    many = array_codes and hot_keys(codes, TRIP_OF_FEED, array_codes)
-    if not many:
+    many = hot_keys(codes, TRIP_OF_FEED, array_codes)
+    if many is None:
         days = _few_codes(trips, codes, extra)
     else:
         few_trips, many_trips = split(trips, many, TRIP_OF_FEED)

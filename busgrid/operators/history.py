@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from busgrid.operators.sequences import HOT_ROWS, hot_keys
+
+BEFORE = (Window.unboundedPreceding, -1)
+
 
 def without_history(lines: DataFrame) -> DataFrame:
     """Every line row is accepted and current."""
@@ -34,7 +38,76 @@ def extend_history(kept: DataFrame, arriving: DataFrame) -> DataFrame:
     return untouched.unionByName(line_history(as_loaded.unionByName(arriving)))
 
 
-def line_history(lines: DataFrame) -> DataFrame:
+def _carried(rows: DataFrame, value: str, earlier: bool) -> DataFrame:
+    """``value`` of the neighbour row of the same line in feed order, as column ``near``.
+
+    Rows are ordered inside blocks of feeds only. What crosses a block comes from one
+    row per line and block: its last value for the block after it, or its first one
+    for the block before it.
+    """
+    inside = Window.partitionBy("line_number", "block").orderBy("feed_seq")
+    blocks = Window.partitionBy("line_number").orderBy("block")
+    step, edge = (F.lag, F.max_by) if earlier else (F.lead, F.min_by)
+    edges = (
+        rows.groupBy("line_number", "block")
+        .agg(edge(value, "feed_seq").alias("edge"))
+        .select("line_number", "block", step("edge").over(blocks).alias("across"))
+    )
+    return (
+        rows.withColumn("near", step(value).over(inside))
+        .join(edges, ["line_number", "block"])
+        .withColumn("near", F.coalesce("near", "across"))
+        .drop("across")
+    )
+
+
+def _accepted_in_blocks(per_feed: DataFrame, hot_feeds: int) -> DataFrame:
+    """Accepted versions when a line comes in very many feeds: no task sees all of them."""
+    rows = per_feed.withColumn("block", F.floor(F.col("feed_seq") / hot_feeds)).withColumn(
+        "version", F.struct("valid_from", "valid_to")
+    )
+    inside = Window.partitionBy("line_number", "block").orderBy("feed_seq")
+    blocks = Window.partitionBy("line_number").orderBy("block")
+    starts = (
+        rows.groupBy("line_number", "block")
+        .agg(F.max("valid_from").alias("start"))
+        .select(
+            "line_number",
+            "block",
+            F.max("start").over(blocks.rowsBetween(*BEFORE)).alias("latest_before"),
+        )
+    )
+    latest = F.greatest(F.max("valid_from").over(inside.rowsBetween(*BEFORE)), "latest_before")
+    candidates = (
+        rows.join(starts, ["line_number", "block"])
+        .withColumn("latest", latest)
+        .filter("latest is null or valid_from >= latest")
+        .drop("latest", "latest_before")
+    )
+    accepted = (
+        _carried(candidates, "version", earlier=True)
+        .filter("near is null or near <> version")
+        .drop("near")
+    )
+    return _carried(accepted, "valid_from", earlier=False).select(
+        "line_number", "feed_seq", F.col("near").alias("next_from")
+    )
+
+
+def _accepted(per_feed: DataFrame) -> DataFrame:
+    in_order = Window.partitionBy("line_number").orderBy("feed_seq")
+    candidates = (
+        per_feed.withColumn("latest", F.max("valid_from").over(in_order.rowsBetween(*BEFORE)))
+        .filter("latest is null or valid_from >= latest")
+        .withColumn("before_from", F.lag("valid_from").over(in_order))
+        .withColumn("before_to", F.lag("valid_to").over(in_order))
+    )
+    return candidates.filter(
+        "before_from is null or valid_from <> before_from or valid_to <> before_to"
+    ).select("line_number", "feed_seq", F.lead("valid_from").over(in_order).alias("next_from"))
+
+
+def line_history(lines: DataFrame, hot_feeds: int | None = HOT_ROWS) -> DataFrame:
     """Marks accepted and current versions and ends a version where its successor starts.
 
     A version is accepted when no earlier feed has one of the same line that starts
@@ -43,41 +116,29 @@ def line_history(lines: DataFrame) -> DataFrame:
 
     The windows run over one slim row per line and feed (four columns), not over
     the line rows themselves; variants of a line inside one feed share its verdict.
+    A count per line is run first; if a line has more than ``hot_feeds`` rows, feeds are
+    taken in blocks of that size, for which ``feed_seq`` must be a number. None leaves
+    that check out.
     """
     per_feed = lines.groupBy("line_number", "feed_seq").agg(
         F.max(F.struct("valid_from", "valid_to")).alias("v")
     ).select("line_number", "feed_seq", "v.valid_from", "v.valid_to")
+    if hot_keys(lines, ["line_number"], hot_feeds) is None:
+        accepted = _accepted(per_feed)
+    else:
+        accepted = _accepted_in_blocks(per_feed, hot_feeds)
 
-    in_order = Window.partitionBy("line_number").orderBy("feed_seq")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    candidates = (
-        per_feed.withColumn("latest_start", F.max("valid_from").over(earlier))
-        .filter(F.col("latest_start").isNull() | (F.col("valid_from") >= F.col("latest_start")))
-        .withColumn("before_from", F.lag("valid_from").over(in_order))
-        .withColumn("before_to", F.lag("valid_to").over(in_order))
-    )
-    accepted = candidates.filter(
-        F.col("before_from").isNull()
-        | (F.col("valid_from") != F.col("before_from"))
-        | (F.col("valid_to") != F.col("before_to"))
-    ).select(
-        "line_number",
-        "feed_seq",
-        F.lead("valid_from").over(in_order).alias("next_from"),
-        F.lit(True).alias("is_accepted"),
-    )
-
-    accepted_flag = F.coalesce("is_accepted", F.lit(False))
+    accepted_flag = F.coalesce("was_accepted", F.lit(False))
     return (
-        lines.join(accepted, ["line_number", "feed_seq"], "left")
+        lines.join(accepted.withColumn("was_accepted", F.lit(True)), ["line_number", "feed_seq"], "left")
         .withColumns(
             {
                 "loaded_from": F.col("valid_from"),
                 "loaded_to": F.col("valid_to"),
                 "valid_to": F.coalesce("next_from", "valid_to"),
-                "is_current": accepted_flag & F.col("next_from").isNull(),
                 "is_accepted": accepted_flag,
+                "is_current": accepted_flag & F.col("next_from").isNull(),
             }
         )
-        .drop("next_from")
+        .drop("next_from", "was_accepted")
     )

@@ -12,15 +12,17 @@ HOT_ROWS = 1_000_000
 
 
 def hot_keys(
-    rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+    rows: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS
 ) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, or None if there are none.
+    """Keys with more than ``hot_rows`` rows, or None if there are none or no bound is given.
 
     Runs one job that reads the key columns, counts per key (with partial counts
     before the shuffle) and brings a single number to the driver, so that plans
     for hot keys are only made where such keys exist. There is at most one hot key
     per ``hot_rows`` rows of input, a bound that allows to broadcast them.
     """
+    if hot_rows is None:
+        return None
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
     largest = sizes.agg(F.max("n")).first()[0]
     if largest is None or largest <= hot_rows:

@@ -141,6 +141,8 @@ def resolve_feeds(
 ) -> Timetable:
     """Resolved tables from landed raw rows."""
     work = work or f"{shared_folder(spark).rstrip('/')}/convert-{uuid.uuid4().hex}"
+    if feed_order is None:
+        feed_order = feeds.path_order(rows, f"{work}/feeds")
     accepted, rejects = feeds.with_layout(rows, feed_order)
     return timetable(Staged(accepted), rejects, work, options)
 
