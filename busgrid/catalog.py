@@ -13,6 +13,8 @@ from busgrid.functions.keys import line_key, trip_key
 from busgrid.functions.times import has_time
 from busgrid.operators import calendars, history, identity, resolve, stoptimes
 from busgrid.plans import gtfs, wide
+from busgrid.sources import feeds
+from busgrid.sources.staging import Staged
 from busgrid.sources.tables import SalesTimetable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +77,53 @@ def _calls(t: SalesTimetable) -> DataFrame:
     return resolve.stop_calls(t.calls, t.stops)
 
 
+# --- raw rows and layouts
+
+
+@query
+def version_layout(t: SalesTimetable) -> DataFrame:
+    """Lines and trips read by the layout of their feed's version."""
+    accepted, _ = feeds.with_layout(t.raw_rows)
+    staged = Staged(accepted)
+    lines = staged.lines.select(
+        "feed_id",
+        F.lit("lines").alias("table"),
+        "line_number",
+        F.col("line_name").alias("label"),
+        F.coalesce("vehicle", F.lit("")).alias("vehicle"),
+        iso("valid_from").alias("valid_from"),
+        iso("valid_to").alias("valid_to"),
+        "line_discriminator",
+    )
+    trips = staged.trips.select(
+        "feed_id",
+        F.lit("trips").alias("table"),
+        "line_number",
+        F.concat(
+            F.col("trip_number").cast("string"),
+            F.lit(":"),
+            F.array_join(F.filter("code_ids", lambda c: c != ""), "/"),
+        ).alias("label"),
+        F.lit("").alias("vehicle"),
+        F.lit("").alias("valid_from"),
+        F.lit("").alias("valid_to"),
+        "line_discriminator",
+    )
+    return lines.unionByName(trips)
+
+
+@query
+def arity_guard(t: SalesTimetable) -> DataFrame:
+    """Rows per feed, table and reason; accepted ones have an empty reason."""
+    accepted, rejects = feeds.with_layout(t.raw_rows)
+    told = accepted.select("feed_id", "table", F.lit("").alias("reason"))
+    return (
+        told.unionByName(rejects.select("feed_id", "table", "reason"))
+        .groupBy("feed_id", "table", "reason")
+        .agg(F.count("*").alias("n_rows"))
+    )
+
+
 # --- calls and their times
 
 

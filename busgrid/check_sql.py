@@ -320,6 +320,31 @@ _SHIFTED = """case when try_cast(substring({t},1,1) as int) < try_cast(substring
             else substring({t},1,2) end || ':' || substring({t},3,2) || ':00'"""
 
 CHECKS = {
+    "version_layout": _check("""
+        , v as (select distinct feed_id, '1.' || cast(8 + feed_id%5 as varchar) as verze from feeds)
+        select cast(feed_id as varchar) as feed_id, 'lines' as "table",
+          cislo_linka as line_number, nazev_linka as label,
+          case when verze in ('1.10','1.11') then dopravni_prostredek else '' end as vehicle,
+          cast(platnost_od as varchar) as valid_from, cast(platnost_do as varchar) as valid_to,
+          case when verze in ('1.10','1.11') then 1 else -1 end as line_discriminator
+        from line_src join v using (feed_id)
+        where verze<>'1.12' and cast(cislo_linka as int)%7<>0
+        union all
+        select cast(feed_id as varchar), 'trips', cislo_linka,
+          cast(cislo_spoj as varchar) || ':' || case kody when '' then ''
+            else 'k' || replace(kody, ',', '/k') end, '', '', '',
+          case when verze in ('1.10','1.11') then 1 else -1 end
+        from trip_src join v using (feed_id) where verze<>'1.12'"""),
+    "arity_guard": _check("""
+        , v as (select distinct feed_id, '1.' || cast(8 + feed_id%5 as varchar) as verze from feeds),
+        r as (
+          select feed_id, 'lines' as t, cast(cislo_linka as int)%7=0 as kratky from line_src
+          union all select feed_id, 'trips', false from trip_src)
+        select cast(feed_id as varchar) as feed_id, t as "table",
+          case when verze='1.12' then 'unknown version'
+               when kratky then 'wrong number of fields' else '' end as reason,
+          count(*) as n_rows
+        from r join v using (feed_id) group by 1, 2, 3"""),
     "stop_calls": _check("""
         select a.spoj_id as trip_id, s.zastavka_id as stop_id, c.cislo_tarifni as tariff_number,
           c.km, c.prijezd as arrival, c.odjezd as departure

@@ -230,6 +230,59 @@ class SalesTimetable:
         )
         return self._of_trips(calls)
 
+    @cached_property
+    def raw_rows(self) -> DataFrame:
+        """Line and trip records as text fields, with the record end, and version records.
+
+        Feeds use the versions 1.8 to 1.12 in turn, the last of which is unknown; lines
+        of every seventh customer lack a field.
+        """
+        version = F.concat(F.lit("1."), (8 + F.col("feed_id") % 5).cast("string"))
+        newer, newest = version.isin("1.10", "1.11"), version == "1.11"
+        day = lambda d: F.date_format(d, "ddMMyyyy")
+
+        def blank(n: int) -> list[Column]:
+            return [F.lit("")] * n
+
+        name, ico, kind = F.col("line_name"), F.col("ico"), F.col("vehicle")
+        head = [F.col("line_number"), name, ico, F.lit("B")]
+        valid = [day("valid_from"), day("valid_to")]
+        old_line = F.array(*head, *blank(4), *valid)
+        new_line = F.array(*head, kind, *blank(7), *valid, F.lit("1"), F.lit("1"))
+        newest_line = F.array(*head, kind, *blank(8), *valid, F.lit("1"), F.lit("1"))
+        line = F.when(newest, newest_line).when(newer, new_line).otherwise(old_line)
+        short = F.col("line_number").cast("int") % 7 == 0
+        lines = self.lines.select(
+            "feed_id",
+            F.lit("lines").alias("table"),
+            F.when(short, F.slice(line, F.lit(1), F.size(line) - 1)).otherwise(line).alias("f"),
+        )
+        codes = F.concat("code_ids", F.array_repeat(F.lit(""), 10 - F.size("code_ids")))
+        key = F.array("line_number", F.col("trip_number").cast("string"))
+        tail = F.when(newer, F.array(F.lit(""), F.lit("1"))).otherwise(
+            F.array().cast("array<string>")
+        )
+        trips = self.trips.select(
+            "feed_id", F.lit("trips").alias("table"), F.concat(key, codes, tail).alias("f")
+        )
+        versions = self.feeds.select(
+            "feed_id", F.lit("version").alias("table"), F.array(version, F.lit("")).alias("f")
+        )
+        # The record end belongs to the last field.
+        last = F.concat(F.element_at("f", -1), F.lit(";"))
+        fields = F.concat(F.slice("f", F.lit(1), F.size("f") - 1), F.array(last))
+        return (
+            lines.unionByName(trips)
+            .unionByName(versions)
+            .select(
+                F.col("feed_id").cast("string").alias("feed_id"),
+                "table",
+                F.lit(1).cast("long").alias("line_no"),
+                fields.alias("fields"),
+                F.lit(None).cast("string").alias("problem"),
+            )
+        )
+
     @cached_property
     def locations_by_number(self) -> DataFrame:
         number = F.col("p_partkey")
