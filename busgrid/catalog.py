@@ -13,6 +13,7 @@ from busgrid.functions.keys import line_key, trip_key
 from busgrid.functions.times import has_time
 from busgrid.operators import calendars, history, identity, resolve, stoptimes
 from busgrid.plans import gtfs, wide
+from busgrid.session import written
 from busgrid.sources import feeds
 from busgrid.sources.staging import Staged
 from busgrid.sources.tables import SalesTimetable
@@ -475,12 +476,14 @@ def terminus_flags(t: SalesTimetable) -> DataFrame:
 
 @query
 def timetable_wide(t: SalesTimetable) -> DataFrame:
-    services = _trips_with_services(t)
+    all_lines = _lines(t)
+    attached = resolve.attached_trips(_flagged_trips(t), all_lines)
+    with_services = written(calendars.trip_services(attached, t.time_codes), "trips")
     table = wide.timetable(
         _calls(t).filter("stop_key is not null"),
-        _lines(t),
-        services,
-        calendars.services(services),
+        all_lines,
+        with_services,
+        calendars.services(with_services),
         identity.stops(t.stops),
         identity.carriers(t.carriers),
         counted=t.calls,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution picks broadcast sides by measured size, merges small shuffle
 # partitions and splits skewed join partitions.
@@ -40,3 +41,14 @@ def shared_folder(spark: SparkSession) -> str:
 @functools.cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="busgrid-")
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """Writes rows that several later steps need to the shared folder and reads them back.
+
+    This cuts the lineage: a lost executor costs a read, and the steps before run once.
+    """
+    spark = rows.sparkSession
+    folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
