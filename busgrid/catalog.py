@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from busgrid.functions import holidays as hol
-from busgrid.functions.days import compact, iso, joined_days
+from busgrid.functions.days import compact, day_numbers, iso, joined_days
 from busgrid.functions.keys import line_key, trip_key
 from busgrid.functions.times import has_time
 from busgrid.operators import calendars, history, identity, resolve, stoptimes
@@ -67,7 +67,7 @@ def _attached(t: SalesTimetable) -> DataFrame:
 
 def _trips_with_services(t: SalesTimetable) -> DataFrame:
     trips = resolve.attached_trips(_flagged_trips(t), _versions(t))
-    return calendars.trip_services(trips, t.time_codes)
+    return calendars.trip_services(trips, t.time_codes, counted=t.items_per_trip)
 
 
 def _services(t: SalesTimetable) -> DataFrame:
@@ -149,7 +149,7 @@ def trip_first_departure(t: SalesTimetable) -> DataFrame:
 
 @query
 def stop_times(t: SalesTimetable) -> DataFrame:
-    return gtfs.stop_times(_calls(t), _attached(t), counted=t.calls)
+    return gtfs.stop_times(_calls(t), _attached(t), counted=t.items_per_trip)
 
 
 # --- carriers, stops, lines, trips
@@ -370,7 +370,7 @@ def _day_set(days: Column) -> list[Column]:
         F.size(ordered).cast("long").alias("n_days"),
         iso(F.array_min(days)).alias("first_day"),
         iso(F.array_max(days)).alias("last_day"),
-        F.md5(joined_days(ordered)).alias("days_digest"),
+        F.md5(day_numbers(ordered)).alias("days_digest"),
     ]
 
 
@@ -436,8 +436,8 @@ def calendar_services(t: SalesTimetable) -> DataFrame:
         _text("period_to"),
         _int("on_working_days"),
         _int("on_holidays"),
-        F.md5(joined_days(F.col("runs"))).alias("runs_digest"),
-        F.md5(joined_days(F.col("runs_not"))).alias("runs_not_digest"),
+        F.md5(day_numbers("runs")).alias("runs_digest"),
+        F.md5(day_numbers("runs_not")).alias("runs_not_digest"),
     )
 
 
@@ -471,14 +471,16 @@ def service_days(t: SalesTimetable) -> DataFrame:
 def terminus_flags(t: SalesTimetable) -> DataFrame:
     starts = _versions(t).filter("is_accepted").select(*resolve.LINE, "valid_from")
     calls = _calls(t).filter("stop_key is not null").join(starts, resolve.LINE)
-    return wide.terminus_flags(calls, counted=t.calls).select("trip_number", "tariff_number", "terminus")
+    return wide.terminus_flags(calls, counted=t.items_per_trip).select("trip_number", "tariff_number", "terminus")
 
 
 @query
 def timetable_wide(t: SalesTimetable) -> DataFrame:
     all_lines = _lines(t)
     attached = resolve.attached_trips(_flagged_trips(t), all_lines)
-    with_services = written(calendars.trip_services(attached, t.time_codes), "trips")
+    with_services = written(
+        calendars.trip_services(attached, t.time_codes, counted=t.items_per_trip), "trips"
+    )
     table = wide.timetable(
         _calls(t).filter("stop_key is not null"),
         all_lines,
@@ -486,7 +488,7 @@ def timetable_wide(t: SalesTimetable) -> DataFrame:
         calendars.services(with_services),
         identity.stops(t.stops),
         identity.carriers(t.carriers),
-        counted=t.calls,
+        counted=t.items_per_trip,
     )
     days = ("valid_from", "valid_to", "period_from", "period_to")
     return table.withColumns({d: iso(d) for d in days})

@@ -235,21 +235,24 @@ PARTS = {
     "run_days": "select * from added union select * from gained except select * from not_all",
     "not_days": "select n.* from not_all n join per using (trip) where per.cal",
     "run_text": """
-        select trip, string_agg(cast(d as varchar), ',' order by d) as jede
+        select trip, string_agg(cast(d as varchar), ',' order by d) as jede,
+          string_agg(cast(d - date '1970-01-01' as varchar), ',' order by d) as jede_cisla
         from run_days group by 1""",
     "not_text": """
-        select trip, string_agg(cast(d as varchar), ',' order by d) as nejede
+        select trip, string_agg(cast(d as varchar), ',' order by d) as nejede,
+          string_agg(cast(d - date '1970-01-01' as varchar), ',' order by d) as nejede_cisla
         from not_days group by 1""",
     "svc0": """
         select per.trip, per.cal, f.m1, f.m2, f.m3, f.m4, f.m5, f.m6, f.m7, f.x, f.p,
           m1+2*m2+4*m3+8*m4+16*m5+32*m6+64*m7 as maska, per.od, per.do_,
-          coalesce(jede,'') as jede, coalesce(nejede,'') as nejede
+          coalesce(jede,'') as jede, coalesce(nejede,'') as nejede,
+          coalesce(jede_cisla,'') as jede_cisla, coalesce(nejede_cisla,'') as nejede_cisla
         from per join fl f using (trip) left join run_text using (trip)
         left join not_text using (trip)""",
     "svc": """
         select *, case when cal
-          then md5(concat_ws(chr(31),'weekly',maska,od,do_,x,p,jede,nejede))
-          else md5(concat_ws(chr(31),'listed',jede)) end as service_id
+          then md5(concat_ws(chr(31),'weekly',maska,od,do_,x,p,jede_cisla,nejede_cisla))
+          else md5(concat_ws(chr(31),'listed',jede_cisla)) end as service_id
         from svc0""",
     "svc_one": "select * from svc qualify row_number() over (partition by service_id order by trip)=1",
     "wide0": """
@@ -295,7 +298,8 @@ def _day_sets(source: str) -> str:
     return _check(f"""
         select tr.trip as trip_number, count(d) as n_days, cast(min(d) as varchar) as first_day,
           cast(max(d) as varchar) as last_day,
-          md5(coalesce(string_agg(cast(d as varchar), ',' order by d), '')) as days_digest
+          md5(coalesce(string_agg(cast(d - date '1970-01-01' as varchar), ',' order by d), ''))
+            as days_digest
         from tr left join (select distinct trip, d from {source}) s on s.trip=tr.trip
         group by 1""")
 
@@ -483,7 +487,7 @@ CHECKS = {
           case when cal then cast(od as varchar) end as period_from,
           case when cal then cast(do_ as varchar) end as period_to,
           case when cal then x end as on_working_days, case when cal then p end as on_holidays,
-          md5(jede) as runs_digest, md5(nejede) as runs_not_digest
+          md5(jede_cisla) as runs_digest, md5(nejede_cisla) as runs_not_digest
         from svc_one""",
         TRIPS_OF_ACCEPTED_LINES,
     ),

@@ -58,3 +58,8 @@ def compact(day: str | Column) -> Column:
 
 def joined_days(days: str | Column) -> Column:
     return F.array_join(F.transform(days, iso), ",")
+
+
+def day_numbers(days: str | Column) -> Column:
+    """Days as text of numbers since 1970: the quick text form, for keys and digests."""
+    return F.array_join(F.transform(days, F.unix_date), ",")

@@ -15,7 +15,7 @@ from busgrid.functions.days import (
     SUNDAY_MASK,
     WEEKDAYS,
     WORKING_DAYS_MASK,
-    joined_days,
+    day_numbers,
     masked_days,
     no_days,
     week_parity,
@@ -23,7 +23,7 @@ from busgrid.functions.days import (
 from busgrid.functions.holidays import (
     Extra,
     except_sunday,
-    holidays_between,
+    holidays_of_years,
     monday_to_friday,
     on_saturday,
 )
@@ -183,10 +183,17 @@ def service_period(trips: DataFrame) -> DataFrame:
     )
 
 
+def _holidays_of_span(extra: Extra) -> Column:
+    years = F.sequence(F.year("first"), F.year("last"))
+    asked = F.col("on_working_days") | F.col("on_holidays")
+    return F.when(asked, holidays_of_years(years, extra)).otherwise(no_days())
+
+
 def with_national_holidays(trips: DataFrame, extra: Extra = ()) -> DataFrame:
     """Adds the holidays of the years that the line, the period and the codes of a trip touch.
 
-    They are made once per trip; all rules then filter this short array.
+    They are made once per trip, for trips that ask for them; all rules then filter
+    this short array.
     """
     dates = F.flatten(F.transform("codes", lambda c: F.array(c["code_from"], c["code_to"])))
     all_dates = F.concat(
@@ -194,7 +201,7 @@ def with_national_holidays(trips: DataFrame, extra: Extra = ()) -> DataFrame:
     )
     return (
         trips.withColumns({"first": F.array_min(all_dates), "last": F.array_max(all_dates)})
-        .withColumn("holidays", holidays_between(F.col("first"), F.col("last"), extra))
+        .withColumn("holidays", _holidays_of_span(extra))
         .drop("first", "last")
     )
 
@@ -249,10 +256,10 @@ def service_content(trips: DataFrame) -> DataFrame:
         "period_to",
         F.col("on_working_days").cast("int"),
         F.col("on_holidays").cast("int"),
-        joined_days(F.col("runs")),
-        joined_days(F.col("runs_not")),
+        day_numbers("runs"),
+        day_numbers("runs_not"),
     )
-    listed = content_key(F.lit("listed"), joined_days(F.col("runs")))
+    listed = content_key(F.lit("listed"), day_numbers("runs"))
     return days.withColumn("service_id", F.when(F.col("uses_calendar"), weekly).otherwise(listed))
 
 
@@ -288,7 +295,7 @@ def _many_codes(trips: DataFrame, codes: DataFrame, extra: Extra) -> DataFrame:
                 "period_from": F.col("loaded_from"),
                 "period_to": F.col("loaded_to"),
                 "uses_calendar": ~F.coalesce("listed", F.lit(False)),
-                "holidays": holidays_between(F.col("first"), F.col("last"), extra),
+                "holidays": _holidays_of_span(extra),
             }
         )
         .drop("listed", "first", "last")
@@ -328,20 +335,21 @@ def trip_services(
     codes: DataFrame,
     extra: Extra = (),
     array_codes: int | None = ARRAY_CODES,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Each trip with its service: mask, period, ``runs``, ``runs_not`` and ``service_id``.
 
     ``trips`` carry the flags of ``fixed_code_flags`` and the validity of their line.
     No rows are exchanged but for the join with the codes. A count of the codes per
     trip is run first; trips above ``array_codes`` take a path of their own. None
-    leaves that check out.
+    leaves that check out. ``counted`` are the rows to count, by default the codes.
     """
-    many = hot_keys(codes, TRIP_OF_FEED, array_codes)
+    many = hot_keys(counted or codes, TRIP_OF_FEED, array_codes)
     if many is None:
         days = _few_codes(trips, codes, extra)
     else:
-        few_trips, many_trips = split(trips, many, TRIP_OF_FEED)
-        few_codes, many_codes = split(codes, many, TRIP_OF_FEED)
+        few_trips, many_trips = split(trips, many)
+        few_codes, many_codes = split(codes, many)
         days = _few_codes(few_trips, few_codes, extra).unionByName(
             _many_codes(many_trips, many_codes, extra)
         )

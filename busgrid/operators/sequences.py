@@ -20,9 +20,12 @@ def hot_keys(
     before the shuffle) and brings a single number to the driver, so that plans
     for hot keys are only made where such keys exist. There is at most one hot key
     per ``hot_rows`` rows of input, a bound that allows to broadcast them.
+
+    Rows may lack some of the key columns; the keys are then wider, which only finds more.
     """
     if hot_rows is None:
         return None
+    keys = [k for k in keys if k in rows.columns]
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
     largest = sizes.agg(F.max("n")).first()[0]
     if largest is None or largest <= hot_rows:
@@ -30,9 +33,9 @@ def hot_keys(
     return sizes.filter(F.col("n") > hot_rows).select(*keys)
 
 
-def split(rows: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def split(rows: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of the usual keys and rows of the hot ones."""
-    keys = list(keys)
+    keys = hot.columns
     return (
         rows.join(F.broadcast(hot), keys, "left_anti"),
         rows.join(F.broadcast(hot), keys, "left_semi"),

@@ -283,6 +283,11 @@ class SalesTimetable:
             )
         )
 
+    @cached_property
+    def items_per_trip(self) -> DataFrame:
+        """The rows that calls and dated codes are made of, by trip number only."""
+        return self.table("lineitem").select(F.col("l_orderkey").alias("trip_number"))
+
     @cached_property
     def locations_by_number(self) -> DataFrame:
         number = F.col("p_partkey")
