@@ -482,7 +482,7 @@ def timetable_wide(t: SalesTimetable) -> DataFrame:
         calendars.trip_services(attached, t.time_codes, counted=t.items_per_trip), "trips"
     )
     table = wide.timetable(
-        _calls(t).filter("stop_key is not null"),
+        _calls(t),
         all_lines,
         with_services,
         calendars.services(with_services),

@@ -26,7 +26,8 @@ def extend_history(kept: DataFrame, arriving: DataFrame) -> DataFrame:
     """The history after more feeds have arrived; equal to a history over all feeds at once.
 
     Only lines that occur in the arriving feeds are worked out again, from the
-    validity they were loaded with. Feeds may arrive out of order.
+    validity they were loaded with. Feeds may arrive out of order; ``feed_seq`` must be
+    numbered the same way in both.
     """
     touched = arriving.select("line_number").distinct()
     as_loaded = (

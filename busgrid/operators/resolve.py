@@ -11,6 +11,7 @@ from busgrid.operators import identity
 
 LINE = ["feed_id", "line_number", "line_discriminator"]
 TRIP = [*LINE, "trip_number"]
+CARRIER_OF_FEED = ["feed_id", "company", "carrier_discriminator"]
 
 # The fixed codes that stand for a weekday, Monday to Sunday, and
 # those for working days and for Sundays and holidays.
@@ -20,15 +21,15 @@ HOLIDAY_CODE = "+"
 CODE_SLOTS = 9
 
 
+def with_company(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("company", company_number("ico"))
+
+
 def lines(staged: DataFrame, staged_carriers: DataFrame) -> DataFrame:
     """Lines with the carrier found by company number and discriminator of the same feed."""
     return (
-        staged.withColumn("company", company_number("ico"))
-        .join(
-            identity.carriers_of_feed(staged_carriers),
-            ["feed_id", "company", "carrier_discriminator"],
-            "left",
-        )
+        with_company(staged)
+        .join(identity.carriers_of_feed(staged_carriers), CARRIER_OF_FEED, "left")
         .drop("company")
         .withColumn("line_key", line_key())
     )
@@ -42,11 +43,8 @@ def trip_carriers(
     Alternatives are given per line and trip number; the last row of a feed wins.
     """
     alternative = (
-        alternatives.withColumn("company", company_number("ico"))
-        .join(
-            identity.carriers_of_feed(staged_carriers),
-            ["feed_id", "company", "carrier_discriminator"],
-        )
+        with_company(alternatives)
+        .join(identity.carriers_of_feed(staged_carriers), CARRIER_OF_FEED)
         .groupBy("feed_id", "line_number", "trip_number")
         .agg(F.max_by("carrier_key", "line_no").alias("alternative_key"))
     )

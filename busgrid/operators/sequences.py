@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from busgrid.session import written
+
 # A key with more rows than this is not numbered by one window in one task.
 HOT_ROWS = 1_000_000
 
@@ -58,12 +60,12 @@ def numbered_by_levels(
     rows before a group. ``last`` is a row position that makes the order total; it
     is cut into ranges of ``HOT_ROWS``, so the window that numbers the rows inside a
     group stays small even if all other columns are equal. Order columns must not
-    be NULL.
+    be NULL. The rows and the counts are written once, as each level needs them.
     """
     block = f"{name}_block"
     levels = [*order, block]
-    rows = rows.withColumn(block, F.floor(F.col(last) / HOT_ROWS))
-    groups = rows.groupBy(*keys, *levels).agg(F.count("*").alias("n"))
+    rows = written(rows.withColumn(block, F.floor(F.col(last) / HOT_ROWS)), "hot-rows")
+    groups = written(rows.groupBy(*keys, *levels).agg(F.count("*").alias("n")), "hot-groups")
 
     before, prefix = groups.drop("n"), list(keys)
     for i, level in enumerate(levels):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -13,7 +12,7 @@ from busgrid import sinks
 from busgrid.functions.holidays import Extra
 from busgrid.operators import calendars, history, identity, resolve
 from busgrid.plans import gtfs, wide
-from busgrid.session import shared_folder
+from busgrid.session import work_folder
 from busgrid.sources import feeds
 from busgrid.sources.locations import read_locations
 from busgrid.sources.staging import Staged
@@ -47,10 +46,15 @@ class Timetable:
     lines: DataFrame
     trips: DataFrame
     services: DataFrame
-    calls: DataFrame
+    located_calls: DataFrame
     rejects: DataFrame
     staged_calls: DataFrame
 
+    @property
+    def calls(self) -> DataFrame:
+        """Calls with a known stop and an attached trip."""
+        return resolve.attached_calls(self.located_calls, self.trips)
+
     def tables(self) -> dict[str, DataFrame]:
         names = ("carriers", "stops", "stop_posts", "lines", "trips", "services", "calls", "rejects")
         return {name: getattr(self, name) for name in names}
@@ -61,14 +65,16 @@ class Timetable:
             "calendar": gtfs.calendar(self.services),
             "calendar_dates": gtfs.calendar_dates(self.services),
             "routes": gtfs.routes(self.lines),
-            "stop_times": gtfs.stop_times(self.calls, self.trips, counted=self.staged_calls),
+            "stop_times": gtfs.stop_times(
+                self.located_calls, self.trips, counted=self.staged_calls
+            ),
             "stops": gtfs.stops(self.stops, locations, by_number),
             "trips": gtfs.trips(self.trips),
         }
 
     def wide(self, ordered: bool = True) -> DataFrame:
         return wide.timetable(
-            self.calls,
+            self.located_calls,
             self.lines,
             self.trips,
             self.services,
@@ -106,6 +112,9 @@ def timetable(
     calls = resolve.stop_calls(staged.calls, staged.stops, options.by_number)
     no_stop = F.col("stop_key").isNull()
     no_line = trip_rows.join(lines.select(*resolve.LINE), resolve.LINE, "left_anti")
+    no_alternative = resolve.with_company(staged.trip_carriers).join(
+        identity.carriers_of_feed(staged.carriers), resolve.CARRIER_OF_FEED, "left_anti"
+    )
     no_trip = resolve.served_calls(staged.calls).join(
         trip_rows.select(*resolve.TRIP), resolve.TRIP, "left_anti"
     )
@@ -116,6 +125,7 @@ def timetable(
         resolve.rejected(line_rows, "lines", "unknown carrier", no_carrier),
         resolve.rejected(flagged, "trips", "unknown fixed code", unknown),
         resolve.rejected(no_line, "trips", "unknown line", everything),
+        resolve.rejected(no_alternative, "trip_carriers", "unknown carrier", everything),
         resolve.rejected(calls, "calls", "unknown stop", no_stop),
         resolve.rejected(no_trip, "calls", "unknown trip", everything),
     ]
@@ -126,7 +136,7 @@ def timetable(
         lines=lines,
         trips=trips.drop("runs", "runs_not"),
         services=calendars.services(trips),
-        calls=resolve.attached_calls(calls, trips),
+        located_calls=calls,
         rejects=reduce(DataFrame.unionByName, rejects),
         staged_calls=staged.calls,
     )
@@ -140,7 +150,7 @@ def resolve_feeds(
     work: str | None = None,
 ) -> Timetable:
     """Resolved tables from landed raw rows."""
-    work = work or f"{shared_folder(spark).rstrip('/')}/convert-{uuid.uuid4().hex}"
+    work = work or work_folder(spark, "convert")
     if feed_order is None:
         feed_order = feeds.path_order(rows, f"{work}/feeds")
     accepted, rejects = feeds.with_layout(rows, feed_order)
@@ -159,7 +169,7 @@ def convert(
 
     With ``tables_dir`` the resolved tables are kept as well.
     """
-    work = f"{shared_folder(spark).rstrip('/')}/convert-{uuid.uuid4().hex}"
+    work = work_folder(spark, "convert")
     rows = feeds.land(feeds.read_rows(spark, in_dir), f"{work}/rows")
     result = resolve_feeds(spark, rows, options, feed_order, work)
     locations = options.locations and read_locations(

@@ -149,6 +149,7 @@ def test_unresolved_rows_are_reported(spark, tmp_path):
     files = ff.feed(
         lines=[{}, {"number": "100002", "ico": "99"}],
         trips=[{}, {"number": "2", "codes": ("8",)}, {"line": "100009"}],
+        alternatives=[{"ico": "98"}],
         calls=[{"departure": "0800"}, {"stop": "9", "departure": "0801"}, {"trip": "7", "departure": "0802"}],
     )
     ff.write_folder(tmp_path / "in", "a", files)
@@ -159,6 +160,7 @@ def test_unresolved_rows_are_reported(spark, tmp_path):
         ("calls", "unknown stop"),
         ("calls", "unknown trip"),
         ("lines", "unknown carrier"),
+        ("trip_carriers", "unknown carrier"),
         ("trips", "unknown fixed code"),
         ("trips", "unknown line"),
     ]
