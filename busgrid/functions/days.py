@@ -21,24 +21,19 @@ def jdf_date(column: str | Column) -> Column:
     return F.when(c.rlike(r"^\d{8}$"), F.try_to_date(c, "ddMMyyyy"))
 
 
-def _weekly(start: Column, end: Column, weekday: str) -> Column:
-    first = F.next_day(F.date_sub(start, 1), weekday)
-    return F.when(
-        first <= end, F.sequence(first, end, F.expr("interval 7 days"))
-    ).otherwise(no_days())
-
-
 def masked_days(start: Column, end: Column, mask: Column) -> Column:
     """Days from start to end whose weekday is in the mask; not in order.
 
-    One weekly sequence per weekday of the mask: no test per day is needed.
+    One weekly sequence per weekday that the mask has among the first seven days: no
+    test per day is needed.
     """
-    return F.concat(
-        *[
-            F.when(F.getbit(mask, F.lit(bit)) == 1, _weekly(start, end, day)).otherwise(no_days())
-            for bit, day in enumerate(WEEKDAYS)
-        ]
+    last = F.least(end, F.date_add(start, 6))
+    first_days = F.filter(
+        F.when(start <= end, F.sequence(start, last)).otherwise(no_days()),
+        lambda d: F.getbit(mask, F.weekday(d)) == 1,
     )
+    week = F.expr("interval 7 days")
+    return F.flatten(F.transform(first_days, lambda d: F.sequence(d, end, week)))
 
 
 def week_parity(day: Column) -> Column:

@@ -25,7 +25,6 @@ from busgrid.functions.holidays import (
     except_sunday,
     holidays_of_years,
     monday_to_friday,
-    on_saturday,
 )
 from busgrid.functions.keys import content_key
 from busgrid.operators.sequences import hot_keys, split
@@ -55,6 +54,7 @@ KNOWN_TYPES = (
 LISTED_DAYS_ONLY = (RUNS_IN, RUNS_ONLY, ODD_WEEKS, EVEN_WEEKS, ODD_WEEKS_IN, EVEN_WEEKS_IN)
 
 CODES_TYPE = "array<struct<code_type:string,code_from:date,code_to:date>>"
+SPANS_TYPE = "array<struct<code_type:string,code_from:date,code_to:date,parity:int>>"
 # A trip with more dated codes than this takes the exploded path.
 ARRAY_CODES = 100_000
 
@@ -79,54 +79,73 @@ def code_is_valid(code_type: Column, code_from: Column, code_to: Column) -> Colu
     )
 
 
-def _week_days(start: Column, end: Column, parity: Column) -> Column:
-    """Masked days in odd or even weeks, holidays moved as the flags say."""
-    same_week = lambda d: week_parity(d) == parity
-    holidays = F.filter("holidays", same_week)
-    days = F.filter(masked_days(start, end, F.col("mask")), same_week)
-    working = F.array_except(days, monday_to_friday(holidays, start, end))
-    days = F.when(F.col("on_working_days"), working).otherwise(days)
-    with_holidays = F.concat(days, except_sunday(holidays, start, end))
-    return F.when(F.col("on_holidays"), with_holidays).otherwise(days)
+def spanned(code: Column) -> Column:
+    """A code with the days it spans and the week parity it asks for.
 
-
-def days_added(code_type: Column, start: Column, end: Column) -> Column:
-    """Days on which a trip runs because of one dated code."""
-    working, on_holidays = F.col("on_working_days"), F.col("on_holidays")
-    holidays, days = F.col("holidays"), masked_days(start, end, F.col("mask"))
-    in_range = (
-        F.when(working & on_holidays, F.concat(days, on_saturday(holidays, start, end)))
-        .when(working, F.array_except(days, monday_to_friday(holidays, start, end)))
-        .when(on_holidays, F.concat(days, except_sunday(holidays, start, end)))
-        .otherwise(days)
+    The undated week-parity types span the line's validity.
+    """
+    code_type = code["code_type"]
+    whole_line = code_type.isin(ODD_WEEKS, EVEN_WEEKS)
+    parity = F.when(code_type.isin(ODD_WEEKS, ODD_WEEKS_IN), 1).when(
+        code_type.isin(EVEN_WEEKS, EVEN_WEEKS_IN), 0
     )
-    odd, even = (ODD_WEEKS, ODD_WEEKS_IN), (EVEN_WEEKS, EVEN_WEEKS_IN)
-    return (
-        F.when((code_type == RUNS_IN) & end.isNotNull(), in_range)
-        .when(code_type.isin(RUNS_IN, ALSO_RUNS, RUNS_ONLY), F.array(start))
-        .when(code_type.isin(*odd), _week_days(start, end, F.lit(1)))
-        .when(code_type.isin(*even), _week_days(start, end, F.lit(0)))
-        .otherwise(no_days())
+    return F.struct(
+        code_type.alias("code_type"),
+        F.when(whole_line, F.col("loaded_from")).otherwise(code["code_from"]).alias("code_from"),
+        F.when(whole_line, F.col("loaded_to")).otherwise(code["code_to"]).alias("code_to"),
+        parity.alias("parity"),
     )
 
 
-def days_excluded(code_type: Column, start: Column, end: Column) -> Column:
-    """Days on which a trip does not run because of one dated code."""
-    days = masked_days(start, end, F.col("mask"))
-    with_holidays = F.concat(days, except_sunday(F.col("holidays"), start, end))
-    in_range = F.when(F.col("on_holidays"), with_holidays).otherwise(days)
-    return F.when(
-        code_type == DOES_NOT_RUN, F.when(end.isNull(), F.array(start)).otherwise(in_range)
-    ).otherwise(no_days())
+def with_days(code: Column) -> Column:
+    """A spanned code with its masked days, and with the holidays other than on Sunday it meets."""
+    code_type, start, end = code["code_type"], code["code_from"], code["code_to"]
+    parity = code["parity"]
+    ranged = end.isNotNull() & code_type.isin(RUNS_IN, DOES_NOT_RUN)
 
+    def of_weeks(days: Column) -> Column:
+        return F.filter(days, lambda d: week_parity(d) == parity)
 
-def spanned(code_type: Column, start: Column, end: Column) -> list[Column]:
-    """Start and end of a code; the undated week-parity types span the line's validity."""
-    whole_line = code_type.isin(ODD_WEEKS, EVEN_WEEKS)
-    return [
-        F.when(whole_line, F.col("loaded_from")).otherwise(start).alias("code_from"),
-        F.when(whole_line, F.col("loaded_to")).otherwise(end).alias("code_to"),
-    ]
+    all_days = masked_days(start, end, F.col("mask"))
+    holidays = except_sunday(F.col("holidays"), start, end)
+    return F.struct(
+        code_type.alias("code_type"),
+        F.when(ranged, all_days)
+        .when(parity.isNotNull(), of_weeks(all_days))
+        .when(code_type.isin(RUNS_IN, ALSO_RUNS, RUNS_ONLY, DOES_NOT_RUN), F.array(start))
+        .otherwise(no_days())
+        .alias("days"),
+        F.when(ranged, holidays)
+        .when(parity.isNotNull(), of_weeks(holidays))
+        .otherwise(no_days())
+        .alias("holidays"),
+    )
+
+
+def days_added(code: Column) -> Column:
+    """Days on which a trip runs because of one code with its days.
+
+    Working-day trips leave holidays out, holiday trips gain them. Trips that are both
+    gain only Saturdays from a range and leave holidays out of alternating weeks only.
+    """
+    code_type, days, holidays = code["code_type"], code["days"], code["holidays"]
+    working, on_holidays = F.col("on_working_days"), F.col("on_holidays")
+    in_range = code_type == RUNS_IN
+    weekday_holidays = F.filter(holidays, lambda d: F.weekday(d) < 5)
+    kept = F.when(
+        working & ~(on_holidays & in_range), F.array_except(days, weekday_holidays)
+    ).otherwise(days)
+    saturdays = F.filter(holidays, lambda d: F.weekday(d) == 5)
+    gained = F.when(~on_holidays, no_days()).when(working & in_range, saturdays).otherwise(holidays)
+    return F.when(code_type == DOES_NOT_RUN, no_days()).otherwise(F.concat(kept, gained))
+
+
+def days_excluded(code: Column) -> Column:
+    """Days on which a trip does not run because of one code with its days."""
+    days = F.when(F.col("on_holidays"), F.concat(code["days"], code["holidays"])).otherwise(
+        code["days"]
+    )
+    return F.when(code["code_type"] == DOES_NOT_RUN, days).otherwise(no_days())
 
 
 def codes_by_trip(codes: DataFrame) -> DataFrame:
@@ -159,13 +178,7 @@ def service_period(trips: DataFrame) -> DataFrame:
     single = (F.col("n_codes") == 1) & (first_code["code_type"] == RUNS_IN)
     listed = F.exists("codes", lambda c: c["code_type"].isin(*LISTED_DAYS_ONLY))
     only = F.col("single_code")
-    spans = F.transform(
-        "codes",
-        lambda c: F.struct(
-            c["code_type"].alias("code_type"),
-            *spanned(c["code_type"], c["code_from"], c["code_to"]),
-        ),
-    )
+    spans = F.transform("codes", spanned)
     return (
         trips.withColumn("single_code", F.when(single, first_code))
         .withColumns(
@@ -176,7 +189,7 @@ def service_period(trips: DataFrame) -> DataFrame:
                 "period_from": F.coalesce(only["code_from"], "loaded_from"),
                 "period_to": F.coalesce(only["code_to"], only["code_from"], "loaded_to"),
                 "uses_calendar": only.isNotNull() | ~listed,
-                "codes": F.when(only.isNotNull(), F.array().cast(CODES_TYPE)).otherwise(spans),
+                "codes": F.when(only.isNotNull(), F.array().cast(SPANS_TYPE)).otherwise(spans),
             }
         )
         .drop("single_code")
@@ -210,13 +223,12 @@ def days_of_codes(trips: DataFrame) -> DataFrame:
     """Adds ``added`` and ``excluded``: the days that the dated codes of each trip name."""
 
     def over_codes(days_of) -> Column:
-        each = F.transform(
-            "codes", lambda c: days_of(c["code_type"], c["code_from"], c["code_to"])
-        )
-        return F.array_distinct(F.flatten(each))
+        return F.array_distinct(F.flatten(F.transform("dated", days_of)))
 
-    return trips.withColumns(
-        {"added": over_codes(days_added), "excluded": over_codes(days_excluded)}
+    return (
+        trips.withColumn("dated", F.transform("codes", with_days))
+        .withColumns({"added": over_codes(days_added), "excluded": over_codes(days_excluded)})
+        .drop("dated")
     )
 
 
@@ -302,19 +314,19 @@ def _many_codes(trips: DataFrame, codes: DataFrame, extra: Extra) -> DataFrame:
     )
     trip = [*TRIP_OF_FEED, "line_discriminator"]
     inputs = ["mask", "on_working_days", "on_holidays", "loaded_from", "loaded_to", "holidays"]
-    code = [F.col("code_type"), F.col("code_from"), F.col("code_to")]
+    code = F.col("code")
 
     def marked(days: Column, runs: bool) -> Column:
         return F.transform(days, lambda d: F.struct(F.lit(runs).alias("runs"), d.alias("day")))
 
     named = (
         known.join(F.broadcast(heavy.select(*trip, *inputs)), TRIP_OF_FEED)
-        .select(*trip, *inputs, "code_type", *spanned(*code))
+        .withColumn("code", F.struct("code_type", "code_from", "code_to"))
+        .withColumn("code", spanned(code))
+        .withColumn("code", with_days(code))
         .select(
             *trip,
-            F.inline(
-                F.concat(marked(days_added(*code), True), marked(days_excluded(*code), False))
-            ),
+            F.inline(F.concat(marked(days_added(code), True), marked(days_excluded(code), False))),
         )
     )
     days = (
