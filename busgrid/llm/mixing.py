@@ -22,6 +22,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
 LEVELS, BITS = 4, 12
+SALTS = 64
 
 
 def hash48(key: Column) -> Column:
@@ -84,6 +85,13 @@ def targets(sized: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) -> DataFr
     )
 
 
+def _with_sources(sized: DataFrame, per_source: DataFrame) -> DataFrame:
+    """Adds the columns of a row per source to its documents; a hot source goes to many tasks."""
+    salt = F.col("h").bitwiseAND(F.lit(SALTS - 1)).cast("int")
+    copies = per_source.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return sized.withColumn("salt", salt).join(copies, ["key", "salt"]).drop("salt")
+
+
 def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     """For each key the hash ``below`` which documents are within ``budget`` words.
 
@@ -97,7 +105,7 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
         shift = (LEVELS - 1 - level) * BITS
         bucket = F.shiftright("h", shift)
         inside = (
-            sized.join(state.select("key", "low"), "key")
+            _with_sources(sized, state.select("key", "low"))
             .where(F.shiftright("h", shift + BITS) == F.shiftright("low", shift + BITS))
             .groupBy("key", bucket.alias("bucket"))
             .agg(F.sum("size").alias("words"))
@@ -122,7 +130,7 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
         )
     # What is left at ``low`` shares one hash: taken if that comes nearer to the budget.
     ties = (
-        sized.join(state.select("key", "low"), "key")
+        _with_sources(sized, state.select("key", "low"))
         .where(F.col("h") == F.col("low"))
         .groupBy("key")
         .agg(F.sum("size").alias("tie"))
@@ -140,7 +148,7 @@ def mix(documents: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) -> DataFr
     plan = wanted.join(thresholds(sized, wanted), "key")
     once_more = (F.col("whole") < repeats) & (F.col("h") < F.col("below"))
     copies = F.col("whole") + F.when(once_more, 1).otherwise(0)
-    return sized.join(plan, "key").select(
+    return _with_sources(sized, plan).select(
         "doc_id",
         "size",
         "source_size",

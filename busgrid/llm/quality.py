@@ -60,7 +60,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     starts, ends, first = rolling.words(data, offsets)
     owner = np.repeat(np.arange(n), np.diff(first))
     hashes = rolling.piece_hashes(data, starts, ends)
-    white = rolling._WHITE[data]
+    white = rolling.WHITE[data]
     n_words = np.diff(first)
     word_chars = _count(~white & ((data & 0xC0) != 0x80), offsets)
     n_symbols = _count(_SYMBOL[data], offsets)

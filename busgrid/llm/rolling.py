@@ -9,8 +9,8 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-_WHITE = np.zeros(256, bool)
-_WHITE[[9, 10, 11, 12, 13, 32]] = True
+WHITE = np.zeros(256, bool)
+WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,15 +40,18 @@ def powers(n: int) -> np.ndarray:
     return _powers[:n]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray = WHITE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of all texts, and for each text its first word's number.
 
-    Words are runs of bytes other than ASCII white space; they never cross texts.
+    Words are runs of bytes not flagged in ``between`` (ASCII white space); they never
+    cross texts.
     """
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    full = ~_WHITE[data]
+    full = ~between[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = np.empty(n, bool)
