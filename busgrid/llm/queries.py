@@ -6,10 +6,12 @@ from busgrid.llm.langid import op6_language
 from busgrid.llm.mixing import OP7_SQL, op7_mixing
 from busgrid.llm.pivots import OP4_SQL, op4_top_k
 from busgrid.llm.quality import op10_quality
+from busgrid.llm.token_files import op3_token_files
 from busgrid.llm.toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_token_files": op3_token_files,
     "op4_top_k": op4_top_k,
     "op6_language": op6_language,
     "op7_mixing": op7_mixing,
