@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from busgrid.llm.bpe import op5_bpe
 from busgrid.llm.langid import op6_language
 from busgrid.llm.mixing import OP7_SQL, op7_mixing
 from busgrid.llm.pivots import OP4_SQL, op4_top_k
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_token_files": op3_token_files,
     "op4_top_k": op4_top_k,
+    "op5_bpe": op5_bpe,
     "op6_language": op6_language,
     "op7_mixing": op7_mixing,
     "op10_quality": op10_quality,
