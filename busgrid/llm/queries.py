@@ -7,6 +7,7 @@ from busgrid.llm.langid import op6_language
 from busgrid.llm.mixing import OP7_SQL, op7_mixing
 from busgrid.llm.pivots import OP4_SQL, op4_top_k
 from busgrid.llm.quality import op10_quality
+from busgrid.llm.repeats import op8_repeats
 from busgrid.llm.token_files import op3_token_files
 from busgrid.llm.toxicity import op1_toxicity
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_language": op6_language,
     "op7_mixing": op7_mixing,
+    "op8_repeats": op8_repeats,
     "op10_quality": op10_quality,
 }
 SQL = {"op4_top_k": OP4_SQL, "op7_mixing": OP7_SQL}
