@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 
 from busgrid.llm import rolling
 from busgrid.llm.common import shuffle_partitions, slabs, table, text_bytes
-from busgrid.llm.packing import block_name, pack, unpack
+from busgrid.llm.packing import BLOCK_BYTES, block_name, pack, unpack
 from busgrid.llm.pretokens import cuts, expand
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-BLOCK_BYTES = 8 << 20
+
 WORDS = "bucket int, block long, sizes binary, pieces binary"
 IDS = "bucket int, block long, sizes binary, pieces binary"
 SCHEMA = "doc_id long, ids array<int>"

@@ -26,52 +26,35 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busgrid.llm import rolling
 from busgrid.llm.common import shuffle_partitions, slabs, table, text_bytes, written
-from busgrid.llm.packing import block_name, pack_sorted, unpack_sorted
+from busgrid.llm.packing import (
+    BLOCK_BYTES,
+    EXCHANGE,
+    LAST,
+    block_name,
+    by_block,
+    by_range,
+    exchange_row,
+    from_planes,
+    pack_sorted,
+    planes,
+    ranges,
+    read_text_row,
+    row_ids,
+    text_rows,
+    unpack_sorted,
+    with_answers,
+)
 
 LENGTH, KEY = 50, 20
 KEY_BITS, SEGMENT_BYTES, WINDOW_BITS = 40, 7, 64
-BLOCK_BYTES = 8 << 20
-EXCHANGE = "kind int, bucket int, block long, keys binary, parts binary, docs binary"
-LAST = np.iinfo(np.int64).max
 U = np.uint64
 
 
-def _row(kind, bucket, block, keys=b"", parts=b"", docs=b""):
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([kind], pa.int32()),
-            pa.array([bucket], pa.int32()),
-            pa.array([block], pa.int64()),
-            pa.array([keys], pa.binary()),
-            pa.array([parts], pa.binary()),
-            pa.array([docs], pa.binary()),
-        ],
-        ["kind", "bucket", "block", "keys", "parts", "docs"],
-    )
-
-
-def _planes(values: np.ndarray, width: int) -> bytes:
-    raw = np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
-    return zstandard.compress(np.ascontiguousarray(raw.T).tobytes(), 1)
-
-
-def _from_planes(data: bytes, width: int) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(width, -1)
-    raw = np.zeros((planes.shape[1], 8), np.uint8)
-    raw[:, :width] = planes.T
-    return raw.view("<u8").reshape(-1)
-
-
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column("doc_id").fill_null(LAST).to_numpy(zero_copy_only=False).astype(np.int64)
-
-
 def _least(values: np.ndarray, n: int) -> np.ndarray:
     """The least of every n neighbours."""
     size = 1
@@ -124,32 +107,26 @@ def sparse_array(marks, wholes, docs):
     return key[edge], whole[edge], least, entry
 
 
-def _ranges(keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
-    """Where the keys of each range start, for equal ranges of the order."""
-    edges = [(b << bits) // buckets for b in range(buckets)]
-    return np.append(np.searchsorted(keys, np.array(edges, U)), len(keys))
-
-
 def _send(kind, name, buckets, bits, keys, parts, docs):
-    edges = _ranges(keys, bits, buckets)
+    edges = ranges(keys, bits, buckets)
     for b in np.flatnonzero(np.diff(edges)):
         mine = slice(edges[b], edges[b + 1])
         low = docs[mine].min()
-        yield _row(
+        yield exchange_row(
             kind,
             b,
             name,
             pack_sorted(keys[mine], -(-bits // 8)),
-            _planes(parts[mine], SEGMENT_BYTES) if parts is not None else b"",
-            np.int64(low).tobytes() + _planes((docs[mine] - low).astype(U), 8),
+            planes(parts[mine], SEGMENT_BYTES) if parts is not None else b"",
+            np.int64(low).tobytes() + planes((docs[mine] - low).astype(U), 8),
         )
 
 
 def _receive(row, bits):
     keys = unpack_sorted(row["keys"], -(-bits // 8))
-    parts = _from_planes(row["parts"], SEGMENT_BYTES) if row["parts"] else np.zeros(len(keys), U)
+    parts = from_planes(row["parts"], SEGMENT_BYTES) if row["parts"] else np.zeros(len(keys), U)
     low = np.frombuffer(row["docs"][:8], np.int64)[0]
-    return keys, parts, _from_planes(row["docs"][8:], 8).astype(np.int64) + low
+    return keys, parts, from_planes(row["docs"][8:], 8).astype(np.int64) + low
 
 
 class Levels:
@@ -210,7 +187,7 @@ def _merge_scan(bits):
             level = levels.whole()
             for block, *entries in seen:
                 beaten, asked = _scan(level, *entries)
-                yield _row(
+                yield exchange_row(
                     0, current, block, np.packbits(beaten).tobytes(), np.packbits(asked).tobytes(),
                     len(beaten).to_bytes(8, "little"),
                 )
@@ -242,35 +219,11 @@ def _answers(rows: dict[int, dict], n: int) -> tuple[np.ndarray, np.ndarray]:
     return beaten, asked
 
 
-def _text_rows(kind):
-    def run(batches):
-        for batch in batches:
-            every = _ids(batch)
-            for first, last, data, offsets in slabs(*text_bytes(batch.column("text")), BLOCK_BYTES):
-                ids = batch.column("doc_id").slice(first, last - first)
-                yield _row(
-                    kind,
-                    0,
-                    block_name(ids, data, offsets),
-                    zstandard.compress(np.ascontiguousarray(data), 3),
-                    _planes(np.diff(offsets).astype(U), 8),
-                    _planes(every[first:last].view(U), 8)
-                    + ids.is_null().to_numpy(zero_copy_only=False).tobytes(),
-                )
-
-    return run
-
-
 class Block:
     """A block as it came, its segments and what the first family said about them."""
 
     def __init__(self, row, answers):
-        self.data = np.frombuffer(zstandard.decompress(row["keys"]), np.uint8)
-        sizes = _from_planes(row["parts"], 8).astype(np.int64)
-        self.offsets = np.append(0, np.cumsum(sizes))
-        n = len(sizes)
-        self.null = np.frombuffer(row["docs"][len(row["docs"]) - n :], bool)
-        self.ids = _from_planes(row["docs"][: len(row["docs"]) - n], 8).view(np.int64)
+        self.data, self.offsets, self.ids, self.null = read_text_row(row)
         marks, wholes, owner, self.start, self.stop = segments(self.data, self.offsets)
         docs = self.ids[owner]
         keys, _, least, entry = sparse_array(marks, wholes, docs)
@@ -311,7 +264,7 @@ def dedup(documents: DataFrame) -> DataFrame:
 
     def send_segments(batches):
         for batch in batches:
-            every = _ids(batch)
+            every = row_ids(batch)
             for first, last, data, offsets in slabs(*text_bytes(batch.column("text")), BLOCK_BYTES):
                 name = block_name(batch.column("doc_id").slice(first, last - first), data, offsets)
                 marks, wholes, owner, _, _ = segments(data, offsets)
@@ -319,13 +272,13 @@ def dedup(documents: DataFrame) -> DataFrame:
                 yield from _send(0, name, buckets, KEY_BITS, keys, parts, docs)
 
     def send_windows(batches):
-        for row, answers in _with_answers(batches, 1):
+        for row, answers in with_answers(batches, 1):
             block = Block(row, answers[0])
             keys, docs, _ = block.windows()
             yield from _send(0, row["block"], buckets, WINDOW_BITS, keys, None, docs)
 
     def cut(batches):
-        for row, answers in _with_answers(batches, 2):
+        for row, answers in with_answers(batches, 2):
             block = Block(row, answers[0])
             keys, least, entry = block.windows()
             beaten, _ = _answers(answers[1], len(keys))
@@ -333,36 +286,22 @@ def dedup(documents: DataFrame) -> DataFrame:
             yield from _kept(block, gone)
 
     def in_ranges(rows, bits):
-        rows = rows.repartition(partitions, "bucket").sortWithinPartitions("bucket", "block")
-        return rows.mapInArrow(_merge_scan(bits), EXCHANGE)
-
-    def in_blocks(rows):
-        return rows.repartition(partitions, "block").sortWithinPartitions("block", "kind")
+        return by_range(rows, partitions).mapInArrow(_merge_scan(bits), EXCHANGE)
 
     of_segments = written(in_ranges(texts.mapInArrow(send_segments, EXCHANGE), KEY_BITS), "marks")
-    open_ = in_blocks(of_segments.unionByName(texts.mapInArrow(_text_rows(1), EXCHANGE)))
+    open_ = by_block(
+        of_segments.unionByName(texts.mapInArrow(text_rows(1), EXCHANGE)), partitions
+    )
     of_windows = in_ranges(open_.mapInArrow(send_windows, EXCHANGE), WINDOW_BITS)
     together = of_segments.unionByName(of_windows.withColumn("kind", F.lit(1)))
-    together = in_blocks(together.unionByName(texts.mapInArrow(_text_rows(2), EXCHANGE)))
+    together = by_block(
+        together.unionByName(texts.mapInArrow(text_rows(2), EXCHANGE)), partitions
+    )
     return together.mapInArrow(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
 
 
-def _with_answers(batches, text_kind):
-    """Text rows with the answers of their block; rows come ordered by block and kind."""
-    current, answers = None, None
-    for batch in batches:
-        for i in range(batch.num_rows):
-            (row,) = batch.slice(i, 1).to_pylist()
-            if row["block"] != current:
-                current, answers = row["block"], [{} for _ in range(text_kind)]
-            if row["kind"] < text_kind:
-                answers[row["kind"]][row["bucket"]] = row
-            else:
-                yield row, answers
-
-
 def _kept(block: Block, gone: np.ndarray):
     n = len(block.data)
     step = np.zeros(n + 1, np.int64)
