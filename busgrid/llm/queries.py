@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from busgrid.llm.bpe import op5_bpe
+from busgrid.llm.jaccard import op9_jaccard
 from busgrid.llm.langid import op6_language
 from busgrid.llm.mixing import OP7_SQL, op7_mixing
 from busgrid.llm.pivots import OP4_SQL, op4_top_k
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_language": op6_language,
     "op7_mixing": op7_mixing,
     "op8_repeats": op8_repeats,
+    "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
 }
 SQL = {"op4_top_k": OP4_SQL, "op7_mixing": OP7_SQL}
