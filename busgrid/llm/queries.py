@@ -6,6 +6,7 @@ from busgrid.llm.bpe import op5_bpe
 from busgrid.llm.jaccard import op9_jaccard
 from busgrid.llm.langid import op6_language
 from busgrid.llm.mixing import OP7_SQL, op7_mixing
+from busgrid.llm.pii import op2_pii
 from busgrid.llm.pivots import OP4_SQL, op4_top_k
 from busgrid.llm.quality import op10_quality
 from busgrid.llm.repeats import op8_repeats
@@ -14,6 +15,7 @@ from busgrid.llm.toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_pii": op2_pii,
     "op3_token_files": op3_token_files,
     "op4_top_k": op4_top_k,
     "op5_bpe": op5_bpe,
