@@ -92,7 +92,7 @@ def _classes(tokens: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches):
-    """doc_id, number of shingles and class of each document."""
+    """doc_id, number of shingles, class and the hash of the text of each document."""
     for batch in batches:
         for first, last, data, offsets in slabs(*text_bytes(batch.column("text"))):
             tokens, edges = _tokens(data, offsets)
@@ -102,6 +102,7 @@ def _sets(batches):
                     "doc_id": batch.column("doc_id").slice(first, last - first),
                     "n_shingles": pa.array(sizes),
                     "class": pa.array(_classes(tokens, edges), mask=sizes == 0),
+                    "text_hash": batch.column("text_hash").slice(first, last - first),
                 }
             )
 
@@ -410,11 +411,15 @@ def links(survivors: DataFrame) -> DataFrame:
 
 
 def join(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class and component_id of each document."""
+    """doc_id, n_shingles, text_hash, root and component_id of each document.
+
+    ``root`` names the component among classes; it is null without shingles.
+    """
     partitions = shuffle_partitions(documents.sparkSession)
     buckets = 2 * partitions
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = written(texts.mapInArrow(_sets, "doc_id long, n_shingles long, class long"), "classes")
+    schema = "doc_id long, n_shingles long, class long, text_hash long"
+    sets = written(texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sets, schema), "classes")
     keys = by_range(texts.mapInArrow(_send_keys(buckets), EXCHANGE), partitions)
     counted = keys.mapInArrow(_count_keys, EXCHANGE)
     blocks = by_block(counted.unionByName(texts.mapInArrow(text_rows(1), EXCHANGE)), partitions)
@@ -432,17 +437,76 @@ def join(documents: DataFrame) -> DataFrame:
         "roots",
     )
     ids = named.groupBy("root").agg(F.min("doc").alias("component"))
-    of_class = named.join(ids, "root").select("class", "component")
+    of_class = named.join(ids, "root").select("class", "component", "root")
     return sets.join(of_class, "class", "left").select(
         "doc_id",
         "n_shingles",
-        "class",
+        "text_hash",
+        "root",
         F.when(F.col("n_shingles") == 0, F.col("doc_id"))
         .otherwise(F.col("component"))
         .alias("component_id"),
     )
 
 
-def op9_jaccard(spark, sf_dir):
-    return join(table(spark, sf_dir, "documents")).drop("class")
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """One document of each component: the one with the least id, then the least text hash.
+
+    A document without shingles is apart from all others and stays. Rows with the same id
+    and text are one document.
+    """
+    rows = written(join(documents), "components")
+    # Ids before null.
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(order).alias("one"))
+    kept = best.select("one.doc_id", "one.text_hash").unionByName(
+        rows.where(F.col("root").isNull()).select("doc_id", "text_hash")
+    )
+    times = rows.groupBy("doc_id", "text_hash").agg((F.count("*") > 1).alias("again"))
+    same = kept["doc_id"].eqNullSafe(times["doc_id"]) & (kept["text_hash"] == times["text_hash"])
+    kept = written(
+        kept.distinct().join(times, same).select(
+            kept["doc_id"].alias("_id"), kept["text_hash"].alias("_hash"), "again"
+        ),
+        "kept",
+    )
 
+    def those(again):
+        some = kept.where(F.col("again") == again)
+        match = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (
+            F.xxhash64("text") == F.col("_hash")
+        )
+        return documents.join(some, match, "left_semi")
+
+    return those(False).unionByName(those(True).dropDuplicates(["doc_id", "text"]))
+
+
+def op9_jaccard(spark, sf_dir):
+    return join(table(spark, sf_dir, "documents")).drop("text_hash", "root")
+
+
+OP9_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
+  from documents),
+s as (
+  select doc_id, unnest(case
+    when len(ws) >= 5 then list_distinct(list_transform(range(1, len(ws) - 3),
+      lambda i: array_to_string(ws[i:i + 4], ' ')))
+    when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as shingle
+  from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (
+  select x.doc_id as a, y.doc_id as b, count(*) as c
+  from s x join s y on x.shingle = y.shingle and x.doc_id < y.doc_id group by all),
+l as (
+  select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b
+  where 100 * c >= 75 * (x.n + y.n - c)),
+e as (select a, b from l union all select b, a from l),
+r(doc_id, root) as (
+  select doc_id, doc_id from documents
+  union select e.b, r.root from r join e on r.doc_id = e.a)
+select doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(root) as component_id
+from r left join n using (doc_id) group by doc_id
+"""

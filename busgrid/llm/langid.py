@@ -157,27 +157,31 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Network | Non
     return train(windows, rows["lang"].map(languages.index).to_numpy(), languages)
 
 
+def _predict(texts: pa.Array, network: Network | None) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text of a batch."""
+    n = len(texts)
+    data, offsets = text_bytes(texts)
+    scores = np.zeros((n, len(network.languages) if network else 1))
+    for first, last, part, at in slabs(data, offsets) if network else ():
+        scores[first:last] = _means(network, part, at)
+    lettered = np.array([_has_letter(texts[k]) for k in range(n)], bool)
+    known = lettered & (network is not None)
+    names = np.array(network.languages if network else [UNKNOWN], object)
+    return np.where(known, names[scores.argmax(1)], UNKNOWN), np.where(known, scores.max(1), 0.0)
+
+
 def identify(documents: DataFrame, network: Network | None) -> DataFrame:
     """doc_id, held_out, lang_pred and score of each document."""
 
     def predict(batches):
         for batch in batches:
-            n = batch.num_rows
-            texts = batch.column("text")
-            data, offsets = text_bytes(texts)
-            scores = np.zeros((n, len(network.languages) if network else 1))
-            for first, last, part, at in slabs(data, offsets) if network else ():
-                scores[first:last] = _means(network, part, at)
-            lettered = np.array([_has_letter(texts[k]) for k in range(n)], bool)
-            best = scores.argmax(1)
-            known = lettered & (network is not None)
-            names = np.array(network.languages if network else [UNKNOWN], object)
+            names, scores = _predict(batch.column("text"), network)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
                     "held_out": batch.column("held_out"),
-                    "lang_pred": pa.array(np.where(known, names[best], UNKNOWN), pa.string()),
-                    "score": pa.array(np.where(known, scores.max(1), 0.0)),
+                    "lang_pred": pa.array(names, pa.string()),
+                    "score": pa.array(scores),
                 }
             )
 
@@ -190,6 +194,17 @@ def identify(documents: DataFrame, network: Network | None) -> DataFrame:
     return texts.mapInArrow(predict, schema)
 
 
+def accepted(documents: DataFrame, network: Network | None, least: float) -> DataFrame:
+    """The documents whose language is known with a score of at least ``least``."""
+
+    def keep(batches):
+        for batch in batches:
+            names, scores = _predict(batch.column("text"), network)
+            yield batch.filter(pa.array((names != UNKNOWN) & (scores >= least)))
+
+    return documents.mapInArrow(keep, documents.schema)
+
+
 def _has_letter(text: pa.Scalar) -> bool:
     return text.is_valid and any(map(str.isalpha, text.as_py()))
 

@@ -141,23 +141,41 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     )
 
 
+def plan(sized: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) -> DataFrame:
+    """How each source is taken: ``whole`` times all, once more below a hash."""
+    wanted = written(targets(sized, weights, repeats), "mix-targets")
+    return wanted.join(thresholds(sized, wanted), "key").withColumn("repeats", F.lit(repeats))
+
+
+def _copies() -> Column:
+    once_more = (F.col("whole") < F.col("repeats")) & (F.col("h") < F.col("below"))
+    return F.col("whole") + F.when(once_more, 1).otherwise(0)
+
+
 def mix(documents: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """doc_id, size, source_size, target, copies and taken of each document."""
     sized = sizes(documents)
-    wanted = written(targets(sized, weights, repeats), "mix-targets")
-    plan = wanted.join(thresholds(sized, wanted), "key")
-    once_more = (F.col("whole") < repeats) & (F.col("h") < F.col("below"))
-    copies = F.col("whole") + F.when(once_more, 1).otherwise(0)
-    return _with_sources(sized, plan).select(
+    return _with_sources(sized, plan(sized, weights, repeats)).select(
         "doc_id",
         "size",
         "source_size",
         "target",
-        copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"),
+        _copies().alias("copies"),
+        (_copies() * F.col("size")).alias("taken"),
     )
 
 
+def mixed(documents: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) -> DataFrame:
+    """The documents as often as the mix takes them."""
+    chosen = written(plan(sizes(documents), weights, repeats), "mix-plan")
+    source = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    row = F.struct(*[F.col(name) for name in documents.columns]).alias("row")
+    keyed = documents.select(row, source.alias("key"), hash48(F.col("doc_id")).alias("h"))
+    taken = _with_sources(keyed, chosen).where(_copies() > 0)
+    each = F.explode(F.sequence(F.lit(1).cast("long"), _copies()))
+    return taken.select("row", each.alias("_n")).select("row.*")
+
+
 def op7_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).drop("copies")
 

@@ -228,9 +228,9 @@ def sanitised_spans(documents: DataFrame) -> DataFrame:
                 "_general_words"
             ),
         )
-        .withColumnRenamed("doc_id", "of")
+        .withColumnRenamed("doc_id", "_of")
     )
-    rows = _with_base(documents).join(of_doc, F.col("doc_id") == F.col("of"), "left")
+    rows = _with_base(documents).join(of_doc, F.col("doc_id") == F.col("_of"), "left")
     pattern = {
         kind: F.when(
             F.size(f"_{kind}_words") > 0,
@@ -247,7 +247,7 @@ def sanitised_spans(documents: DataFrame) -> DataFrame:
     )
     every = F.concat("_base", F.filter("_remove", free), F.filter("_general", free))
     rows = _with_spans(rows, pattern).withColumn("_all", every)
-    return rows.drop("of", "_remove_words", "_general_words", "_remove", "_general")
+    return rows.drop("_of", "_remove_words", "_general_words", "_remove", "_general")
 
 
 def _joined(spans: str) -> Column:
@@ -304,3 +304,90 @@ def op2_pii(spark, sf_dir):
         F.sha2(_joined("_base"), 256).alias("base_sha256"),
         _joined("_all").alias("spans"),
     )
+
+
+OP2_SQL = r"""
+with recursive d as (select doc_id, coalesce(text, '') as t from documents),
+kinds(pos, kind, pat) as (values
+  (1, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'),
+  (2, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+  (3, 'card', '[0-9]([\x20-]?[0-9])+'),
+  (4, 'phone', '\+[0-9][\x20().0-9-]+[0-9]')),
+cut as (
+  select doc_id, pos, kind, regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') as m,
+    string_split_regex(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') as g from d, kinds where pos = 1
+  union all
+  select doc_id, pos, kind, regexp_extract_all(t, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+    string_split_regex(t, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)') from d, kinds where pos = 2
+  union all
+  select doc_id, pos, kind, regexp_extract_all(t, '[0-9]([\x20-]?[0-9])+'),
+    string_split_regex(t, '[0-9]([\x20-]?[0-9])+') from d, kinds where pos = 3
+  union all
+  select doc_id, pos, kind, regexp_extract_all(t, '\+[0-9][\x20().0-9-]+[0-9]'),
+    string_split_regex(t, '\+[0-9][\x20().0-9-]+[0-9]') from d, kinds where pos = 4),
+each as (
+  select doc_id, pos, kind, generate_subscripts(m, 1) as i, unnest(m) as m, unnest(g[1:len(m)]) as g
+  from cut where len(m) > 0),
+placed as (
+  select *, sum(length(g) + length(m)) over (partition by doc_id, pos order by i) as stop,
+    regexp_replace(m, '[^0-9]', '', 'g') as digits from each),
+base as (
+  select doc_id, pos, kind, (stop - length(m))::int as start, stop::int as stop, m, digits
+  from placed
+  where case kind
+    when 'email' then true
+    when 'ip' then list_max(list_transform(string_split(m, '.'),
+                            lambda x: coalesce(try_cast(x as bigint), 999))) <= 255
+    when 'phone' then length(digits) between 9 and 15
+    else length(digits) between 13 and 19 and list_sum(list_transform(range(length(digits)),
+      lambda k: case when k % 2 = 0 then reverse(digits)[k + 1]::int
+        else 2 * reverse(digits)[k + 1]::int
+          - case when reverse(digits)[k + 1]::int > 4 then 9 else 0 end end)) % 10 = 0
+    end),
+seen as (
+  select b.doc_id, kind || ':' || case kind when 'email' then lower(m) when 'ip' then m else digits end
+      as entity,
+    regexp_extract_all(lower(substr(t, greatest(start - 120, 0) + 1, start - greatest(start - 120, 0))),
+      '\p{L}{3,}')[-6:] ||
+    regexp_extract_all(lower(substr(t, stop + 1, 120)), '\p{L}{3,}')[1:6] as near
+  from base b join d using (doc_id)),
+times as (select entity, count(distinct near) as n_c from seen group by entity),
+pairs as (
+  select entity, term, count(distinct near) as n_ct
+  from (select entity, near, unnest(near) as term from seen) group by entity, term
+  having count(distinct near) >= 3),
+words as (
+  select term, count(*) as n_t
+  from (select distinct doc_id, unnest(regexp_extract_all(lower(t), '\p{L}{3,}')) as term from d)
+  where term in (select term from pairs) group by term),
+terms as (
+  select entity, term, log2(n_ct::double * (select count(*) from d) / (n_c * n_t)) as pmi,
+    log2((select count(*) from d)::double / n_c) as ic
+  from pairs join times using (entity) join words using (term)),
+of_doc as (
+  select doc_id, term, max(pmi >= 0.9 * ic) as removed
+  from (select distinct doc_id, entity from seen) join terms using (entity)
+  where ic > 0 and pmi >= 0.6 * ic group by doc_id, term),
+letters as (
+  select doc_id, generate_subscripts(m, 1) as i, unnest(m) as m, unnest(g[1:len(m)]) as g
+  from (select doc_id, regexp_extract_all(t, '\p{L}+') as m, string_split_regex(t, '\p{L}+') as g
+        from d where doc_id in (select doc_id from of_doc)) where len(m) > 0),
+said as (
+  select *, sum(length(g) + length(m)) over (partition by doc_id order by i) as stop from letters),
+more as (
+  select s.doc_id, case when removed then 5 else 6 end as pos,
+    case when removed then 'remove' else 'general' end as kind,
+    (stop - length(m))::int as start, stop::int as stop
+  from said s join of_doc o on s.doc_id = o.doc_id and lower(s.m) = o.term
+  where not exists (select 1 from base b where b.doc_id = s.doc_id
+    and b.start < s.stop and s.stop - length(s.m) < b.stop)),
+every as (select doc_id, pos, kind, start, stop from base union all select * from more)
+select d.doc_id,
+  count(*) filter (kind = 'email') as n_email, count(*) filter (kind = 'ip') as n_ip,
+  count(*) filter (kind = 'card') as n_card, count(*) filter (kind = 'phone') as n_phone,
+  sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' order by pos, start)
+    filter (pos <= 4), '')) as base_sha256,
+  coalesce(string_agg(kind || ':' || start || ':' || stop, ',' order by pos, start)
+    filter (kind is not null), '') as spans
+from d left join every using (doc_id) group by d.doc_id
+"""

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from busgrid.llm.bpe import op5_bpe
-from busgrid.llm.jaccard import op9_jaccard
+from busgrid.llm.jaccard import OP9_SQL, op9_jaccard
 from busgrid.llm.langid import op6_language
 from busgrid.llm.mixing import OP7_SQL, op7_mixing
-from busgrid.llm.pii import op2_pii
+from busgrid.llm.pii import OP2_SQL, op2_pii
 from busgrid.llm.pivots import OP4_SQL, op4_top_k
 from busgrid.llm.quality import op10_quality
-from busgrid.llm.repeats import op8_repeats
+from busgrid.llm.repeats import OP8_SQL, op8_repeats
 from busgrid.llm.token_files import op3_token_files
 from busgrid.llm.toxicity import op1_toxicity
 
@@ -25,4 +25,11 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
 }
-SQL = {"op4_top_k": OP4_SQL, "op7_mixing": OP7_SQL}
+#: The other operators learn from labels or call tokenizer libraries.
+SQL = {
+    "op2_pii": OP2_SQL,
+    "op4_top_k": OP4_SQL,
+    "op7_mixing": OP7_SQL,
+    "op8_repeats": OP8_SQL,
+    "op9_jaccard": OP9_SQL,
+}

@@ -334,3 +334,31 @@ def _kept(block: Block, gone: np.ndarray):
 def op8_repeats(spark, sf_dir):
     kept = dedup(table(spark, sf_dir, "documents"))
     return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+OP8_SQL = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (
+  select doc_id, i, substr(h, 2 * i + 1, 100) as k
+  from (select doc_id, h, unnest(range(0, length(h) // 2 - 49)) as i from d)),
+f as (select k, min(doc_id) as m from w group by k),
+g as (
+  select doc_id, i, i > 50 + coalesce(lag(i) over (partition by doc_id order by i), -51) as opens
+  from w join f using (k) where m < doc_id),
+r as (
+  select doc_id, min(i) as a, max(i) + 50 as b
+  from (select *, sum(opens::int) over (partition by doc_id order by i) as run from g)
+  group by doc_id, run),
+k as (
+  select doc_id, a, b,
+    substr(h, 2 * lag(b, 1, 0) over o + 1, 2 * (a - lag(b, 1, 0) over o)) as kept
+  from r join d using (doc_id) window o as (partition by doc_id order by a)),
+s as (
+  select doc_id, sum(b - a) as n_removed, count(*) as n_spans, max(b) as stop,
+    string_agg(kept, '' order by a) as kept
+  from k group by doc_id)
+select doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+  coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(coalesce(kept || substr(h, 2 * stop + 1), h))) as kept_sha256
+from d left join s using (doc_id)
+"""
