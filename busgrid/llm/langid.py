@@ -194,13 +194,13 @@ def identify(documents: DataFrame, network: Network | None) -> DataFrame:
     return texts.mapInArrow(predict, schema)
 
 
-def accepted(documents: DataFrame, network: Network | None, least: float) -> DataFrame:
-    """The documents whose language is known with a score of at least ``least``."""
+def accepted(documents: DataFrame, network: Network | None) -> DataFrame:
+    """The documents whose language is known."""
 
     def keep(batches):
         for batch in batches:
-            names, scores = _predict(batch.column("text"), network)
-            yield batch.filter(pa.array((names != UNKNOWN) & (scores >= least)))
+            names, _ = _predict(batch.column("text"), network)
+            yield batch.filter(pa.array(names != UNKNOWN))
 
     return documents.mapInArrow(keep, documents.schema)
 

@@ -14,12 +14,9 @@ from pyspark.sql import functions as F
 from busgrid.llm import bpe, jaccard, langid, mixing, pii
 from busgrid.llm.common import table, written
 
-#: Languages below this score count as unknown; it is little more than a guess among three.
-LEAST_SCORE = 0.35
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.accepted(docs, langid.fit(docs), LEAST_SCORE)
+    return langid.accepted(docs, langid.fit(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
