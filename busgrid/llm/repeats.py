@@ -51,7 +51,9 @@ from busgrid.llm.packing import (
 )
 
 LENGTH, KEY = 50, 20
-KEY_BITS, SEGMENT_BYTES, WINDOW_BITS = 40, 7, 64
+LONGEST = 32  # windows of a segment; two windows then cover it
+SLAB_BYTES = 1 << 18  # arrays of this many numbers stay in a core's cache
+KEY_BITS, PART_BYTES = 40, 4
 U = np.uint64
 
 
@@ -67,26 +69,40 @@ def _least(values: np.ndarray, n: int) -> np.ndarray:
 def segments(data: np.ndarray, offsets: np.ndarray):
     """Mark hash, segment hash, text number, first and last window start of all segments."""
     found = []
-    for first, _, part, at in slabs(data, offsets):
+    for first, _, part, at in slabs(data, offsets, SLAB_BYTES):
         if len(part) < LENGTH:
             continue
-        (marks,) = rolling.byte_windows(part, (KEY,))
-        marks = _least(marks, LENGTH - KEY + 1)
-        step = np.zeros(len(part) + 1, np.int32)
-        np.add.at(step, at[:-1], 1)
-        np.add.at(step, np.maximum(at[1:] - LENGTH + 1, at[:-1]), -1)
-        place = np.flatnonzero(np.cumsum(step[: len(marks)]) > 0)
-        if not len(place):
+        levels = rolling.byte_levels(part, LENGTH)
+        marks = _least(rolling.windows_at(levels, KEY), LENGTH - KEY + 1)
+        inside = np.ones(len(marks) + 1, bool)  # windows that stay within a text
+        inside[-1] = False
+        ends = at[1:-1]
+        late = np.maximum(ends[:, None] - np.arange(1, LENGTH), 0).ravel()
+        inside[late[late < len(marks)]] = False
+        short = np.flatnonzero(np.diff(at) < LENGTH)
+        for i in short:
+            inside[at[i] : at[i + 1]] = False
+        # Texts are apart by windows that are not inside.
+        change = np.ones(len(marks) + 1, bool)
+        np.not_equal(marks[1:], marks[:-1], out=change[1:-1])
+        before = np.append(False, inside[:-2])
+        start = np.flatnonzero(inside[:-1] & (change[:-1] | ~before))
+        stop = np.flatnonzero(inside[:-1] & (change[1:] | ~inside[1:]))
+        if not len(start):
             continue
-        mark = marks[place]
-        owner = np.searchsorted(at, place, side="right") - 1
-        new = np.append(True, (mark[1:] != mark[:-1]) | (owner[1:] != owner[:-1]))
-        edge = np.flatnonzero(new)
-        start = place[edge]
-        stop = place[np.append(edge[1:], len(place)) - 1]
-        whole = rolling.piece_hashes(part, start, stop + LENGTH)
+        long = stop - start >= LONGEST
+        if long.any():  # texts that repeat themselves
+            pieces = (stop - start) // LONGEST + 1
+            number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = np.repeat(start, pieces) + number * LONGEST
+            stop = np.minimum(np.repeat(stop, pieces), start + LONGEST - 1)
+        whole = rolling.mix_pair(
+            rolling.windows_at(levels, LENGTH, start), rolling.windows_at(levels, LENGTH, stop), 7
+        )
+        whole = rolling.mix(whole + (stop - start).astype(U))
+        owner = np.searchsorted(at, start, side="right") - 1
         base = offsets[first]
-        found.append((mark[edge], whole, first + owner[edge], base + start, base + stop))
+        found.append((marks[start], whole, first + owner, base + start, base + stop))
     if not found:
         none = np.zeros(0, np.int64)
         return none.astype(U), none.astype(U), none, none, none
@@ -94,89 +110,105 @@ def segments(data: np.ndarray, offsets: np.ndarray):
 
 
 def sparse_array(marks, wholes, docs):
-    """Distinct (key, segment) in key order with the least document, and each one's entry."""
-    keys = marks >> U(64 - KEY_BITS)
-    wholes = wholes >> U(64 - 8 * SEGMENT_BYTES)
-    order = np.argsort((keys << U(64 - KEY_BITS)) | (wholes >> U(8 * SEGMENT_BYTES + KEY_BITS - 64)))
-    key, whole = keys[order], wholes[order]
-    new = np.append(True, (key[1:] != key[:-1]) | (whole[1:] != whole[:-1]))[: len(key)]
+    """Distinct (key, part) in order with the least document, and each segment's entry.
+
+    The key is a hash of the mark, as least hashes are not spread evenly; the part is the
+    rest of what tells segments apart. KEY_BITS of the key and the first bits of the part
+    make the tag by which arrays are sorted.
+    """
+    part = wholes & U((1 << 8 * PART_BYTES) - 1)
+    tag = (rolling.mix(marks) >> U(64 - KEY_BITS) << U(64 - KEY_BITS)) | (wholes >> U(KEY_BITS))
+    return distinct(tag, part, docs)
+
+
+def distinct(tag, part, docs):
+    """Distinct (tag, part) in the order of tags, least documents, and each row's entry."""
+    order = np.argsort(tag, kind="stable")
+    tag, part = tag[order], part[order]
+    same = tag[1:] == tag[:-1]
+    if (same & (part[1:] != part[:-1])).any():
+        again = np.lexsort((part, tag))
+        order, tag, part = order[again], tag[again], part[again]
+        same = tag[1:] == tag[:-1]
+    new = np.append(True, ~same | (part[1:] != part[:-1]))[: len(tag)]
     edge = np.flatnonzero(new)
-    entry = np.empty(len(key), np.int64)
+    entry = np.empty(len(tag), np.int64)
     entry[order] = np.cumsum(new) - 1
     least = np.minimum.reduceat(docs[order], edge) if len(edge) else docs
-    return key[edge], whole[edge], least, entry
+    return tag[edge], part[edge], least, entry
 
 
-def _send(kind, name, buckets, bits, keys, parts, docs):
-    edges = ranges(keys, bits, buckets)
+def _send(name, buckets, tags, parts, docs):
+    edges = ranges(tags, 64, buckets)
     for b in np.flatnonzero(np.diff(edges)):
         mine = slice(edges[b], edges[b + 1])
         low = docs[mine].min()
         yield exchange_row(
-            kind,
+            0,
             b,
             name,
-            pack_sorted(keys[mine], -(-bits // 8)),
-            planes(parts[mine], SEGMENT_BYTES) if parts is not None else b"",
+            pack_sorted(tags[mine], 8),
+            planes(parts[mine], PART_BYTES) if parts is not None else b"",
             np.int64(low).tobytes() + planes((docs[mine] - low).astype(U), 8),
         )
 
 
-def _receive(row, bits):
-    keys = unpack_sorted(row["keys"], -(-bits // 8))
-    parts = from_planes(row["parts"], SEGMENT_BYTES) if row["parts"] else np.zeros(len(keys), U)
+def _receive(row):
+    tags = unpack_sorted(row["keys"], 8)
+    parts = from_planes(row["parts"], PART_BYTES) if row["parts"] else np.zeros(len(tags), U)
     low = np.frombuffer(row["docs"][:8], np.int64)[0]
-    return keys, parts, from_planes(row["docs"][8:], 8).astype(np.int64) + low
+    return tags, parts, from_planes(row["docs"][8:], 8).astype(np.int64) + low
 
 
 class Levels:
-    """Sorted arrays of (key, part, least document); equal-sized neighbours are merged."""
+    """Sorted arrays of (tag, part, least document); equal-sized neighbours are merged."""
 
     def __init__(self):
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def add(self, keys, parts, docs) -> None:
-        self.levels.append((keys, parts, docs))
+    def add(self, tags, parts, docs) -> None:
+        self.levels.append((tags, parts, docs))
         while len(self.levels) > 1 and len(self.levels[-2][0]) < 2 * len(self.levels[-1][0]):
             self._merge()
 
     def _merge(self) -> None:
-        a, b = self.levels.pop(), self.levels.pop()
-        keys, parts, docs = (np.concatenate(x) for x in zip(a, b, strict=True))
-        order = np.lexsort((parts, keys))
-        keys, parts, docs = keys[order], parts[order], docs[order]
-        edge = np.flatnonzero(
-            np.append(True, (keys[1:] != keys[:-1]) | (parts[1:] != parts[:-1]))[: len(keys)]
-        )
-        least = np.minimum.reduceat(docs, edge) if len(edge) else docs
-        self.levels.append((keys[edge], parts[edge], least))
+        """Two sorted runs; a stable sort merges such runs in linear time."""
+        b, a = self.levels.pop(), self.levels.pop()
+        self.levels.append(distinct(*(np.concatenate(x) for x in zip(a, b, strict=True)))[:3])
 
     def whole(self):
         while len(self.levels) > 1:
             self._merge()
-        if not self.levels[0][1].any():  # windows have no parts
-            return self.levels[0]
-        keys, parts, docs = self.levels[0]
-        order = np.lexsort((parts, keys))
-        return keys[order], parts[order], docs[order]
-
-
-def _scan(level, keys, parts, docs):
-    """For each entry: is its least document beaten; are there other parts of a beaten key."""
-    all_keys, all_parts, all_docs = level
-    edge = np.flatnonzero(np.append(True, all_keys[1:] != all_keys[:-1]))
-    group = np.cumsum(np.append(False, all_keys[1:] != all_keys[:-1]))
-    beaten_parts = all_docs > np.minimum.reduceat(all_docs, edge)[group]
-    asked = np.maximum.reduceat(beaten_parts, edge)[group]
-    # Entries of one key are few but for common strings; rank both sides in one order.
-    tags = rolling.mix(all_keys ^ rolling.mix(all_parts))
-    order = np.argsort(tags)
-    at = order[np.searchsorted(tags[order], rolling.mix(keys ^ rolling.mix(parts)))]
-    beaten = all_docs[at] < docs
-    return beaten, asked[at] & ~beaten
-
-
-def _merge_scan(bits):
+        return self.levels[0]
+
+
+def _scan(level, key_bits):
+    """Looks entries up in a level: the least document of each, and whether its key is asked.
+
+    A key is asked if one of its parts is not found in the least document of the key; then
+    the parts differ in places and only their windows can tell.
+    """
+    all_tags, all_parts, all_docs = level
+    keys = all_tags >> U(64 - key_bits)
+    new = np.append(True, keys[1:] != keys[:-1])
+    edge, group = np.flatnonzero(new), np.cumsum(new) - 1
+    later = all_docs > np.minimum.reduceat(all_docs, edge)[group]
+    asked = np.maximum.reduceat(later, edge)[group]
+
+    def look_up(tags, parts, docs):
+        at = np.searchsorted(all_tags, tags)
+        while True:  # equal tags of different parts stand side by side
+            wrong = np.flatnonzero(all_parts[at] != parts)
+            if not len(wrong):
+                break
+            at[wrong] += 1
+        beaten = all_docs[at] < docs
+        return beaten, asked[at] & ~beaten
+
+    return look_up
+
+
+def _merge_scan(key_bits):
     def run(batches):
         """Rows come ordered by bucket; its batches form the levels, then are scanned."""
         current, seen, levels = None, [], Levels()
@@ -184,9 +216,9 @@ def _merge_scan(bits):
         def answers():
             if not seen:
                 return
-            level = levels.whole()
+            look_up = _scan(levels.whole(), key_bits)
             for block, *entries in seen:
-                beaten, asked = _scan(level, *entries)
+                beaten, asked = look_up(*entries)
                 yield exchange_row(
                     0, current, block, np.packbits(beaten).tobytes(), np.packbits(asked).tobytes(),
                     len(beaten).to_bytes(8, "little"),
@@ -197,7 +229,7 @@ def _merge_scan(bits):
                 if row["bucket"] != current:
                     yield from answers()
                     current, seen, levels = row["bucket"], [], Levels()
-                entries = _receive(row, bits)
+                entries = _receive(row)
                 seen.append((row["block"], *entries))
                 levels.add(*entries)
         yield from answers()
@@ -226,34 +258,36 @@ class Block:
         self.data, self.offsets, self.ids, self.null = read_text_row(row)
         marks, wholes, owner, self.start, self.stop = segments(self.data, self.offsets)
         docs = self.ids[owner]
-        keys, _, least, entry = sparse_array(marks, wholes, docs)
-        beaten, asked = _answers(answers, len(keys))
+        tags, _, least, entry = sparse_array(marks, wholes, docs)
+        beaten, asked = _answers(answers, len(tags))
         self.gone = beaten[entry] | (docs > least[entry])
         open_ = asked[entry] & ~self.gone
         # The windows of open segments: places and documents.
-        size = (self.stop - self.start + 1)[open_]
-        ends = np.cumsum(size)
-        self.place = np.repeat(self.start[open_] - ends + size, size) + np.arange(size.sum())
+        self.open_start, size = self.start[open_], (self.stop - self.start + 1)[open_]
+        self.size = size
+        self.place = _spread(self.open_start, size)
         self.doc = np.repeat(docs[open_], size)
 
     def windows(self):
         """Distinct hashes of the open windows with the least document, and each one's entry."""
-        hashes = np.zeros(len(self.place), U)
-        for a in range(0, len(self.data), 1 << 20):  # windows that start in a stretch
-            lo, hi = np.searchsorted(self.place, [a, a + (1 << 20)])
-            if lo < hi:
-                (some,) = rolling.byte_windows(
-                    self.data[a : a + (1 << 20) + LENGTH - 1], (LENGTH,)
-                )
-                hashes[lo:hi] = some[self.place[lo:hi] - a]
-        order = np.argsort(hashes)
-        key = hashes[order]
-        new = np.append(True, key[1:] != key[:-1])[: len(key)]
-        edge = np.flatnonzero(new)
-        entry = np.empty(len(key), np.int64)
-        entry[order] = np.cumsum(new) - 1
-        least = np.minimum.reduceat(self.doc[order], edge) if len(edge) else self.doc
-        return key[edge], least, entry
+        if not len(self.place):
+            return np.zeros(0, U), None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        hashes = []
+        room = self.size + LENGTH - 1
+        ends = np.cumsum(room)
+        for i in range(0, len(room), 4096):  # the bytes of some segments side by side
+            part = slice(i, i + 4096)
+            some = rolling.byte_windows(self.data[_spread(self.open_start[part], room[part])], LENGTH)
+            hashes.append(some[_spread(ends[part] - room[part] - ends[i] + room[i], self.size[part])])
+        tags, _, least, entry = distinct(
+            np.concatenate(hashes), np.zeros(len(self.place), U), self.doc
+        )
+        return tags, None, least, entry
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each start in a row."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
 
 
 def dedup(documents: DataFrame) -> DataFrame:
@@ -268,31 +302,29 @@ def dedup(documents: DataFrame) -> DataFrame:
             for first, last, data, offsets in slabs(*text_bytes(batch.column("text")), BLOCK_BYTES):
                 name = block_name(batch.column("doc_id").slice(first, last - first), data, offsets)
                 marks, wholes, owner, _, _ = segments(data, offsets)
-                keys, parts, docs, _ = sparse_array(marks, wholes, every[first:last][owner])
-                yield from _send(0, name, buckets, KEY_BITS, keys, parts, docs)
+                entries = sparse_array(marks, wholes, every[first:last][owner])[:3]
+                yield from _send(name, buckets, *entries)
 
     def send_windows(batches):
         for row, answers in with_answers(batches, 1):
-            block = Block(row, answers[0])
-            keys, docs, _ = block.windows()
-            yield from _send(0, row["block"], buckets, WINDOW_BITS, keys, None, docs)
+            yield from _send(row["block"], buckets, *Block(row, answers[0]).windows()[:3])
 
     def cut(batches):
         for row, answers in with_answers(batches, 2):
             block = Block(row, answers[0])
-            keys, least, entry = block.windows()
-            beaten, _ = _answers(answers[1], len(keys))
+            tags, _, least, entry = block.windows()
+            beaten, _ = _answers(answers[1], len(tags))
             gone = block.place[beaten[entry] | (block.doc > least[entry])]
             yield from _kept(block, gone)
 
-    def in_ranges(rows, bits):
-        return by_range(rows, partitions).mapInArrow(_merge_scan(bits), EXCHANGE)
+    def in_ranges(rows, key_bits):
+        return by_range(rows, partitions).mapInArrow(_merge_scan(key_bits), EXCHANGE)
 
     of_segments = written(in_ranges(texts.mapInArrow(send_segments, EXCHANGE), KEY_BITS), "marks")
     open_ = by_block(
         of_segments.unionByName(texts.mapInArrow(text_rows(1), EXCHANGE)), partitions
     )
-    of_windows = in_ranges(open_.mapInArrow(send_windows, EXCHANGE), WINDOW_BITS)
+    of_windows = in_ranges(open_.mapInArrow(send_windows, EXCHANGE), 64)
     together = of_segments.unionByName(of_windows.withColumn("kind", F.lit(1)))
     together = by_block(
         together.unionByName(texts.mapInArrow(text_rows(2), EXCHANGE)), partitions
@@ -304,11 +336,9 @@ def dedup(documents: DataFrame) -> DataFrame:
 
 def _kept(block: Block, gone: np.ndarray):
     n = len(block.data)
-    step = np.zeros(n + 1, np.int64)
-    np.add.at(step, block.start[block.gone], 1)
-    np.add.at(step, block.stop[block.gone] + LENGTH, -1)
-    np.add.at(step, gone, 1)
-    np.add.at(step, gone + LENGTH, -1)
+    start = np.append(block.start[block.gone], gone)
+    stop = np.append(block.stop[block.gone], gone) + LENGTH
+    step = np.bincount(start, minlength=n + 1) - np.bincount(stop, minlength=n + 1)
     removed = np.cumsum(step[:-1]) > 0
     opens = removed.copy()
     opens[1:] &= ~removed[:-1]

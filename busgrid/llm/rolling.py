@@ -94,29 +94,32 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def byte_windows(data: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
-    """Hashes of the byte windows of each size that start at each place, by doubling."""
+def byte_levels(data: np.ndarray, most: int) -> list[np.ndarray]:
+    """Hashes of the windows of 1, 2, 4, ... up to ``most`` bytes that start at each place."""
     levels = [BYTE[data]]
-    while 2 << (len(levels) - 1) <= max(sizes):
+    while 2 << (len(levels) - 1) <= most:
         half = 1 << (len(levels) - 1)
         last = levels[-1]
-        if len(last) <= half:
-            break
-        levels.append(mix_pair(last[:-half], last[half:], len(levels)))
-    out = []
-    for size in sizes:
-        count = len(data) - size + 1
-        if count <= 0:
-            out.append(np.zeros(0, U))
-            continue
-        found, done = None, 0
-        for k in reversed(range(size.bit_length())):
-            if size >> k & 1:
-                part = levels[k][done : done + count]
-                found = part if found is None else mix_pair(found, part, 64 + k)
-                done += 1 << k
-        out.append(mix(found))
-    return out
+        levels.append(mix_pair(last[: max(0, len(last) - half)], last[half:], len(levels)))
+    return levels
+
+
+def windows_at(levels: list[np.ndarray], size: int, places: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the windows of ``size`` bytes at some places, or at all."""
+    count = max(0, len(levels[0]) - size + 1)
+    found, done = None, 0
+    for k in reversed(range(size.bit_length())):
+        if size >> k & 1:
+            level = levels[k]
+            part = level[done : done + count] if places is None else level[places + done]
+            found = part if found is None else mix_pair(found, part, 64 + k)
+            done += 1 << k
+    return mix(found)
+
+
+def byte_windows(data: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the windows of ``size`` bytes that start at each place."""
+    return windows_at(byte_levels(data, size), size)
 
 
 def mix_pair(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
