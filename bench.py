@@ -8,11 +8,13 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 from busgrid.catalog import QUERIES
+from busgrid.session import clean_up
 
 HEADLINES = ("stop_times", "calendar_services", "line_history", "timetable_wide")
 
@@ -29,6 +31,7 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -43,6 +46,7 @@ def main() -> None:
         once(name)
         seconds[name] = round(statistics.median(once(name) for _ in range(runs)), 3)
     version = spark.version
+    clean_up(spark)
     spark.stop()
     print(
         json.dumps(

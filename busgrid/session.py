@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,40 +22,35 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's shared folder for written intermediates.
-
-    It is the session's ``spark.checkpoint.dir``. A local session without that
-    setting, as in tests, gets a temporary folder, a cluster without it none.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder for written intermediates, the session's ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None and spark.sparkContext.master.startswith("local["):
-        folder = _local_folder()
-    return folder and folder.rstrip("/")
-
-
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="busgrid-")
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return f"{folder.rstrip('/')}/busgrid"
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one."""
-    folder = shared_folder(spark)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(rows: DataFrame, name: str) -> DataFrame:
     """Writes rows that several later steps need to the shared folder and reads them back.
 
     This cuts the lineage: a lost executor costs a read, and the steps before run once.
-    Without a shared folder the rows stay as they are and are made again for each step.
     """
     spark = rows.sparkSession
-    if shared_folder(spark) is None:
-        return rows
     folder = work_folder(spark, name)
     rows.write.parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Removes all written intermediates of this shared folder.
+
+    For the end of a job: no frame made from them can be read afterwards.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -21,7 +21,7 @@ def land_new_zips(
     """
 
     def land(files: DataFrame, batch: int) -> None:
-        rows = feeds.decode_files(files)
+        rows = feeds.parsed(feeds.records_of_zips(files))
         below = rows.withColumn("feed_id", feeds.below(rows["feed_id"], root))
         feeds.land(below, f"{landing.rstrip('/')}/batch={batch}")
 
