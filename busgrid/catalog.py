@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from busgrid.functions.keys import line_key, trip_key
 from busgrid.functions.times import has_time
 from busgrid.operators import calendars, history, identity, resolve, stoptimes
 from busgrid.plans import gtfs, wide
-from busgrid.session import written
+from busgrid.session import work_folder
 from busgrid.sources import feeds
+from busgrid.sources.locations import read_locations
 from busgrid.sources.staging import Staged
 from busgrid.sources.tables import SalesTimetable
 
@@ -65,13 +67,14 @@ def _attached(t: SalesTimetable) -> DataFrame:
     return resolve.attached_trips(t.trips, _versions(t))
 
 
-def _trips_with_services(t: SalesTimetable) -> DataFrame:
-    trips = resolve.attached_trips(_flagged_trips(t), _versions(t))
-    return calendars.trip_services(trips, t.time_codes, counted=t.items_per_trip)
+def _signed(t: SalesTimetable) -> DataFrame:
+    return calendars.signed(
+        resolve.attached_trips(_flagged_trips(t), _versions(t)), t.time_codes
+    )
 
 
 def _services(t: SalesTimetable) -> DataFrame:
-    return calendars.services(_trips_with_services(t))
+    return calendars.services(calendars.services_of_signatures(_signed(t)))
 
 
 def _calls(t: SalesTimetable) -> DataFrame:
@@ -125,6 +128,53 @@ def arity_guard(t: SalesTimetable) -> DataFrame:
     )
 
 
+@query
+def record_fields(t: SalesTimetable) -> DataFrame:
+    """Fields of records given as text."""
+    fields = feeds.without_record_end(F.col("fields"))
+    rows = feeds.parsed(t.record_texts).withColumn("f", fields)
+    return rows.select(
+        _long("line_no"),
+        F.size("f").alias("n_fields"),
+        *[F.get("f", F.lit(i)).alias(f"field_{i}") for i in range(4)],
+        F.coalesce("problem", F.lit("")).alias("problem"),
+    )
+
+
+@query
+def call_layout(t: SalesTimetable) -> DataFrame:
+    """Calls read by the layout of their feed's version, without those that cannot be read."""
+    accepted, _ = feeds.with_layout(t.raw_calls)
+    return Staged(accepted).calls.select(
+        "feed_id",
+        "line_number",
+        "line_discriminator",
+        _long("trip_number"),
+        "tariff_number",
+        _long("stop_number"),
+        "km",
+        "arrival",
+        "departure",
+        _int("drops_untimed"),
+    )
+
+
+@query
+def rejects(t: SalesTimetable) -> DataFrame:
+    """Call rows that are not taken, by feed and reason."""
+    accepted, of_layout = feeds.with_layout(t.raw_calls)
+    found = reduce(DataFrame.unionByName, Staged(accepted).rejects(), of_layout)
+    return found.groupBy("feed_id", "table", "reason").agg(F.count("*").alias("n_rows"))
+
+
+@query
+def fixed_code_dictionary(t: SalesTimetable) -> DataFrame:
+    """Meaning of each code number of a feed; the last row of a number counts."""
+    return resolve.code_dictionary(t.fixed_codes).select(
+        "feed_id", F.explode("meanings").alias("code_id", "meaning")
+    )
+
+
 # --- calls and their times
 
 
@@ -195,7 +245,11 @@ def stops_by_id(t: SalesTimetable) -> DataFrame:
 
 @query
 def stop_locations(t: SalesTimetable) -> DataFrame:
-    return t.locations_by_name
+    """Locations written as a file and read from it."""
+    folder = work_folder(t.spark, "locations")
+    rows = t.locations_by_name.select("stop_name", "x", "y")
+    rows.write.option("escape", '"').csv(folder)
+    return read_locations(t.spark, folder)
 
 
 @query
@@ -281,7 +335,10 @@ def trip_carrier(t: SalesTimetable) -> DataFrame:
 
 @query
 def gtfs_trips(t: SalesTimetable) -> DataFrame:
-    return gtfs.trips(_trips_with_services(t))
+    trips = _signed(t)
+    return gtfs.trips(
+        calendars.with_service_id(trips, calendars.services_of_signatures(trips))
+    )
 
 
 # --- calendars
@@ -293,6 +350,12 @@ def holidays(t: SalesTimetable) -> DataFrame:
     return hol.holiday_table(years).select(_text("day"))
 
 
+@query
+def holidays_with_freedom_day(t: SalesTimetable) -> DataFrame:
+    years = t.orders.select(F.col("feed_id").alias("year"))
+    return hol.holiday_table(years, (hol.FREEDOM_DAY,)).select(_text("day"))
+
+
 @query
 def holidays_class(t: SalesTimetable) -> DataFrame:
     start, end = F.col("valid_from"), F.col("valid_to")
@@ -477,18 +540,19 @@ def terminus_flags(t: SalesTimetable) -> DataFrame:
 @query
 def timetable_wide(t: SalesTimetable) -> DataFrame:
     all_lines = _lines(t)
-    attached = resolve.attached_trips(_flagged_trips(t), all_lines)
-    with_services = written(
-        calendars.trip_services(attached, t.time_codes, counted=t.items_per_trip), "trips"
+    trips = calendars.signed(
+        resolve.attached_trips(_flagged_trips(t), all_lines), t.time_codes
     )
+    # The signature serves as key of the service: no table of services is made.
+    services = calendars.services_of_signatures(trips).drop("service_id")
     table = wide.timetable(
         _calls(t),
         all_lines,
-        with_services,
-        calendars.services(with_services),
+        trips.withColumnRenamed("signature", "service_id"),
+        services.withColumnRenamed("signature", "service_id"),
         identity.stops(t.stops),
         identity.carriers(t.carriers),
-        counted=t.items_per_trip,
+        hot_rows=None,
     )
     days = ("valid_from", "valid_to", "period_from", "period_to")
     return table.withColumns({d: iso(d) for d in days})

@@ -1,8 +1,9 @@
 """Service calendars: weekday codes, dated codes and holidays become sets of days.
 
-Everything is a projection over one row per trip. The dated codes of a trip
-travel in an array; trips with very many of them take the exploded path, in which
-the days are made and merged by rows.
+What decides about the days of a trip, its flags, period and distinct dated codes, is its
+signature. Timetables have few of them, so days are worked out once per signature, as a
+projection over one row each; trips carry the key only. The distinct codes of a trip are
+an array: a code is a type and two days, and staging rejects spans of more than a century.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ from busgrid.functions.holidays import (
     monday_to_friday,
 )
 from busgrid.functions.keys import content_key
-from busgrid.operators.sequences import hot_keys, split
 
 TRIP_OF_FEED = ["feed_id", "line_number", "trip_number"]
 
@@ -55,8 +55,16 @@ LISTED_DAYS_ONLY = (RUNS_IN, RUNS_ONLY, ODD_WEEKS, EVEN_WEEKS, ODD_WEEKS_IN, EVE
 
 CODES_TYPE = "array<struct<code_type:string,code_from:date,code_to:date>>"
 SPANS_TYPE = "array<struct<code_type:string,code_from:date,code_to:date,parity:int>>"
-# A trip with more dated codes than this takes the exploded path.
-ARRAY_CODES = 100_000
+# What tells signatures apart.
+SIGNED = [
+    "weekday_mask",
+    "on_working_days",
+    "on_holidays",
+    "loaded_from",
+    "loaded_to",
+    "n_codes",
+    "codes",
+]
 
 
 def weekly_mask(mask: Column, working: Column, holidays: Column) -> Column:
@@ -275,97 +283,45 @@ def service_content(trips: DataFrame) -> DataFrame:
     return days.withColumn("service_id", F.when(F.col("uses_calendar"), weekly).otherwise(listed))
 
 
-def _few_codes(trips: DataFrame, codes: DataFrame, extra: Extra) -> DataFrame:
-    periods = service_period(with_codes(trips, codes))
-    return days_of_codes(with_national_holidays(periods, extra)).drop("n_codes", "codes")
+def signed(trips: DataFrame, codes: DataFrame) -> DataFrame:
+    """Trips with their dated codes and signature.
+
+    ``trips`` carry the flags of ``fixed_code_flags`` and the validity of their line. No
+    rows are exchanged but for the join with the codes.
+    """
+    rows = with_codes(trips, codes).withColumn("n_codes", F.least("n_codes", F.lit(2)))
+    # More than one code is all that the rules ask about the number.
+    return rows.withColumn("signature", F.md5(F.to_json(F.struct(*SIGNED))))
 
 
-def _many_codes(trips: DataFrame, codes: DataFrame, extra: Extra) -> DataFrame:
-    """The same result from rows: distinct codes, then distinct days per trip.
+def services_of_signatures(signed_trips: DataFrame, extra: Extra = ()) -> DataFrame:
+    """One row per signature: its service with mask, period, ``runs`` and ``runs_not``.
 
-    For the few trips whose codes must not be gathered in one array. What is
-    gathered in the end are distinct days, of which a calendar has a limited number.
+    The columns of services that only list days are empty but for those days.
     """
-    known = (
-        codes.filter(F.col("code_type").isin(*KNOWN_TYPES))
-        .select(*TRIP_OF_FEED, "code_type", "code_from", "code_to")
-        .distinct()
-    )
-    span = known.groupBy(*TRIP_OF_FEED).agg(
-        F.max(F.col("code_type").isin(*LISTED_DAYS_ONLY)).alias("listed"),
-        F.least(F.min("code_from"), F.min("code_to")).alias("first"),
-        F.greatest(F.max("code_from"), F.max("code_to")).alias("last"),
-    )
-    mask = weekly_mask(F.col("weekday_mask"), F.col("on_working_days"), F.col("on_holidays"))
-    start, end = F.least("loaded_from", "first"), F.greatest("loaded_to", "last")
-    heavy = (
-        trips.join(span, TRIP_OF_FEED, "left")
-        .withColumns({"first": start, "last": end})
-        .withColumns(
-            {
-                "mask": mask,
-                "period_from": F.col("loaded_from"),
-                "period_to": F.col("loaded_to"),
-                "uses_calendar": ~F.coalesce("listed", F.lit(False)),
-                "holidays": _holidays_of_span(extra),
-            }
-        )
-        .drop("listed", "first", "last")
-    )
-    trip = [*TRIP_OF_FEED, "line_discriminator"]
-    inputs = ["mask", "on_working_days", "on_holidays", "loaded_from", "loaded_to", "holidays"]
-    code = F.col("code")
-
-    def marked(days: Column, runs: bool) -> Column:
-        return F.transform(days, lambda d: F.struct(F.lit(runs).alias("runs"), d.alias("day")))
-
-    named = (
-        known.join(F.broadcast(heavy.select(*trip, *inputs)), TRIP_OF_FEED)
-        .withColumn("code", F.struct("code_type", "code_from", "code_to"))
-        .withColumn("code", spanned(code))
-        .withColumn("code", with_days(code))
-        .select(
-            *trip,
-            F.inline(F.concat(marked(days_added(code), True), marked(days_excluded(code), False))),
-        )
-    )
-    days = (
-        named.distinct()
-        .groupBy(*trip)
-        .agg(
-            F.collect_list(F.when(F.col("runs"), F.col("day"))).alias("added"),
-            F.collect_list(F.when(~F.col("runs"), F.col("day"))).alias("excluded"),
-        )
-    )
-    return heavy.join(days, trip, "left").withColumns(
-        {"added": F.coalesce("added", no_days()), "excluded": F.coalesce("excluded", no_days())}
-    )
+    once = signed_trips.select("signature", *SIGNED).dropDuplicates(["signature"])
+    dated = days_of_codes(with_national_holidays(service_period(once), extra))
+    content = service_content(with_holidays(dated.drop("n_codes", "codes")).drop("holidays"))
+    own = {
+        c: F.when(F.col("uses_calendar"), F.col(c))
+        for c in ("mask", "period_from", "period_to", "on_working_days", "on_holidays")
+    }
+    return content.withColumns(own).select("signature", *SERVICE_COLUMNS)
+
+
+def with_service_id(signed_trips: DataFrame, by_signature: DataFrame) -> DataFrame:
+    """Trips with the key of their service, without what it is made of."""
+    keys = by_signature.select("signature", "service_id")
+    return signed_trips.join(keys, "signature").drop("n_codes", "codes", "signature")
 
 
 def trip_services(
-    trips: DataFrame,
-    codes: DataFrame,
-    extra: Extra = (),
-    array_codes: int | None = ARRAY_CODES,
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """Each trip with its service: mask, period, ``runs``, ``runs_not`` and ``service_id``.
-
-    ``trips`` carry the flags of ``fixed_code_flags`` and the validity of their line.
-    No rows are exchanged but for the join with the codes. A count of the codes per
-    trip is run first; trips above ``array_codes`` take a path of their own. None
-    leaves that check out. ``counted`` are the rows to count, by default the codes.
-    """
-    many = hot_keys(counted or codes, TRIP_OF_FEED, array_codes)
-    if many is None:
-        days = _few_codes(trips, codes, extra)
-    else:
-        few_trips, many_trips = split(trips, many)
-        few_codes, many_codes = split(codes, many)
-        days = _few_codes(few_trips, few_codes, extra).unionByName(
-            _many_codes(many_trips, many_codes, extra)
-        )
-    return service_content(with_holidays(days).drop("holidays"))
+    trips: DataFrame, codes: DataFrame, extra: Extra = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Trips with ``service_id``, and the services."""
+    rows = signed(trips, codes)
+    by_signature = services_of_signatures(rows, extra)
+    return with_service_id(rows, by_signature), services(by_signature)
 
 
 SERVICE_COLUMNS = [
@@ -381,17 +337,9 @@ SERVICE_COLUMNS = [
 ]
 
 
-def services(trips: DataFrame) -> DataFrame:
-    """Distinct services of trips that went through ``trip_services``.
-
-    Services that only list days have no mask, flags or period of their own.
-    """
-    own = {
-        c: F.when(F.col("uses_calendar"), F.col(c))
-        for c in ("mask", "period_from", "period_to", "on_working_days", "on_holidays")
-    }
-    content = trips.withColumns(own).select(*SERVICE_COLUMNS)
-    return first_content(content)
+def services(by_signature: DataFrame) -> DataFrame:
+    """Distinct services; different signatures may come to the same days."""
+    return first_content(by_signature.select(*SERVICE_COLUMNS))
 
 
 def first_content(content: DataFrame) -> DataFrame:

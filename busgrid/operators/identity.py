@@ -28,6 +28,12 @@ def last_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(last.alias("last")).select(*keys, "last.*")
 
 
+def earlier_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows that ``last_rows`` leaves out."""
+    last = rows.groupBy(*keys).agg(F.max("line_no").alias("last_no"))
+    return rows.join(last, keys).filter("line_no < last_no").drop("last_no")
+
+
 def carriers(staged: DataFrame) -> DataFrame:
     """Carriers are the same when company number, name and seat are."""
     return first_rows(staged.withColumn("carrier_key", carrier_key()), "carrier_key")

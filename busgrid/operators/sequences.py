@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from busgrid.session import written
@@ -21,7 +21,8 @@ def hot_keys(
     Runs one job that reads the key columns, counts per key (with partial counts
     before the shuffle) and brings a single number to the driver, so that plans
     for hot keys are only made where such keys exist. There is at most one hot key
-    per ``hot_rows`` rows of input, a bound that allows to broadcast them.
+    per ``hot_rows`` rows of input; joins with them are left to adaptive execution, which
+    measures.
 
     Rows may lack some of the key columns; the keys are then wider, which only finds more.
     """
@@ -39,8 +40,8 @@ def split(rows: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of the usual keys and rows of the hot ones."""
     keys = hot.columns
     return (
-        rows.join(F.broadcast(hot), keys, "left_anti"),
-        rows.join(F.broadcast(hot), keys, "left_semi"),
+        rows.join(hot, keys, "left_anti"),
+        rows.join(hot, keys, "left_semi"),
     )
 
 
@@ -69,19 +70,10 @@ def numbered_by_levels(
 
     before, prefix = groups.drop("n"), list(keys)
     for i, level in enumerate(levels):
-        running = (
-            Window.partitionBy(*prefix)
-            .orderBy(level)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
         counts = groups.groupBy(*prefix, level).agg(F.sum("n").alias("n"))
+        sums = _running_sums(counts, prefix, level, f"before_{i}")
         prefix = [*prefix, level]
-        before = before.join(
-            counts.select(
-                *prefix, F.coalesce(F.sum("n").over(running), F.lit(0)).alias(f"before_{i}")
-            ),
-            prefix,
-        )
+        before = before.join(sums.select(*prefix, f"before_{i}"), prefix)
     parts = [f"before_{i}" for i in range(len(levels))]
     offset = sum((F.col(p) for p in parts), F.lit(0))
     within = F.row_number().over(Window.partitionBy(*prefix).orderBy(last))
@@ -90,3 +82,28 @@ def numbered_by_levels(
         .withColumn(name, (offset + within).cast("int"))
         .drop(block, *parts)
     )
+
+
+def _running_sums(counts: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """The sum of ``n`` before each value of a key, in two steps.
+
+    Values are cut into stretches of their order: numbers of 2^16, texts by their first
+    four characters. Sums run inside a stretch and over stretches, so no task gets a row
+    for each value of a key.
+    """
+    kind = dict(counts.dtypes)[value]
+    stretch = F.substring(value, 1, 4) if kind == "string" else F.shiftright(F.col(value), 16)
+    cut = counts.withColumn("stretch", stretch)
+
+    def earlier(columns: list[str], by: str) -> Column:
+        window = Window.partitionBy(*columns).orderBy(by)
+        return F.coalesce(
+            F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        )
+
+    whole = cut.groupBy(*keys, "stretch").agg(F.sum("n").alias("n"))
+    whole = whole.select(*keys, "stretch", earlier(keys, "stretch").alias("of_stretches"))
+    inside = cut.withColumn("inside", earlier([*keys, "stretch"], value))
+    return inside.join(whole, [*keys, "stretch"]).withColumn(
+        name, F.col("inside") + F.col("of_stretches")
+    )

@@ -85,11 +85,15 @@ class Timetable:
         )
 
 
+def _kept(rows: DataFrame, folder: str) -> DataFrame:
+    rows.write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def timetable(
     staged: Staged, layout_rejects: DataFrame, work: str, options: Options = Options()
 ) -> Timetable:
     """Resolves the staged tables. Trips with their services are written to ``work`` once."""
-    spark = staged.rows.sparkSession
     line_rows = resolve.lines(identity.last_rows(staged.lines, resolve.LINE), staged.carriers)
     no_carrier = F.col("carrier_key").isNull()
     with_versions = history.line_history if options.keep_history else history.without_history
@@ -105,9 +109,12 @@ def timetable(
         staged.carriers,
     )
     attached = resolve.attached_trips(with_carrier, lines)
-    with_services = calendars.trip_services(attached, staged.time_codes, options.extra_holidays)
-    with_services.write.mode("overwrite").parquet(f"{work}/trips")
-    trips = spark.read.parquet(f"{work}/trips")
+    kept_codes = staged.time_codes
+    signed = _kept(calendars.signed(attached, kept_codes), f"{work}/signed")
+    by_signature = _kept(
+        calendars.services_of_signatures(signed, options.extra_holidays), f"{work}/services"
+    )
+    trips = _kept(calendars.with_service_id(signed, by_signature), f"{work}/trips")
 
     calls = resolve.stop_calls(staged.calls, staged.stops, options.by_number)
     no_stop = F.col("stop_key").isNull()
@@ -115,8 +122,16 @@ def timetable(
     no_alternative = resolve.with_company(staged.trip_carriers).join(
         identity.carriers_of_feed(staged.carriers), resolve.CARRIER_OF_FEED, "left_anti"
     )
-    no_trip = resolve.served_calls(staged.calls).join(
-        trip_rows.select(*resolve.TRIP), resolve.TRIP, "left_anti"
+    # Calls and codes of trips that were rejected are told apart from those of unknown ones.
+    served = resolve.served_calls(staged.calls)
+    no_trip = served.join(trip_rows.select(*resolve.TRIP), resolve.TRIP, "left_anti")
+    lost = trip_rows.select(*resolve.TRIP).join(
+        with_carrier.select(*resolve.TRIP), resolve.TRIP, "left_anti"
+    )
+    of_lost = served.join(lost, resolve.TRIP, "left_semi")
+    trip_of_feed = calendars.TRIP_OF_FEED
+    codes_of_none = kept_codes.join(
+        trip_rows.select(*trip_of_feed).distinct(), trip_of_feed, "left_anti"
     )
     everything = F.lit(True)
     rejects = [
@@ -128,14 +143,22 @@ def timetable(
         resolve.rejected(no_alternative, "trip_carriers", "unknown carrier", everything),
         resolve.rejected(calls, "calls", "unknown stop", no_stop),
         resolve.rejected(no_trip, "calls", "unknown trip", everything),
+        resolve.rejected(of_lost, "calls", "rejected trip", everything),
+        resolve.rejected(codes_of_none, "time_codes", "unknown trip", everything),
+        resolve.rejected(
+            identity.earlier_rows(staged.lines, resolve.LINE), "lines", "repeated key", everything
+        ),
+        resolve.rejected(
+            identity.earlier_rows(staged.trips, resolve.TRIP), "trips", "repeated key", everything
+        ),
     ]
     return Timetable(
         carriers=identity.carriers(staged.carriers),
         stops=identity.stops(staged.stops, options.by_number),
         stop_posts=staged.stop_posts,
         lines=lines,
-        trips=trips.drop("runs", "runs_not"),
-        services=calendars.services(trips),
+        trips=trips,
+        services=calendars.services(by_signature),
         located_calls=calls,
         rejects=reduce(DataFrame.unionByName, rejects),
         staged_calls=staged.calls,

@@ -67,26 +67,21 @@ class SalesTimetable:
 
     @cached_property
     def fixed_codes(self) -> DataFrame:
-        """The dictionary of each feed: every code number its trips use."""
+        """The dictionary of each feed: every code number its trips use.
+
+        Each number is given twice, first with another meaning; the last row counts.
+        """
         used = self.trips.select("feed_id", F.explode("code_ids").alias("code_id")).distinct()
-        return used.select(
-            "feed_id",
-            "code_id",
-            F.substring("code_id", 2, 1).alias("meaning"),
-            F.lit(1).alias("line_no"),
+        given = F.array(
+            F.struct(F.lit("7").alias("meaning"), F.lit(0).alias("line_no")),
+            F.struct(F.substring("code_id", 2, 1).alias("meaning"), F.lit(1).alias("line_no")),
         )
+        return used.select("feed_id", "code_id", F.inline(given))
 
     @cached_property
     def feeds(self) -> DataFrame:
         return self.orders.select("feed_id", "feed_seq").distinct()
 
-    def _in_every_feed(self, rows: DataFrame) -> DataFrame:
-        """Repeats master data in every feed; there are as many feeds as years."""
-        all_feeds = self.feeds.agg(
-            F.sort_array(F.collect_list(F.struct("feed_id", "feed_seq")))
-        ).scalar()
-        return rows.select(F.inline(all_feeds), "*")
-
     @cached_property
     def suppliers(self) -> Column:
         return self.table("supplier").agg(F.count("*")).scalar()
@@ -128,7 +123,17 @@ class SalesTimetable:
         )
         renamed = (number % 10 == 0) & (F.col("feed_id") >= 1999)
         web = F.concat(F.lit("www.c"), number.cast("string"), F.lit(".example"))
-        return self._in_every_feed(self.table("supplier").join(seats, "s_nationkey")).select(
+        own = (F.col("line_number").cast("int") % self.suppliers).alias("s_suppkey")
+        alternative = (F.col("trip_number") % self.suppliers).alias("s_suppkey")
+        feed = ["feed_id", "feed_seq"]
+        # Each feed lists the carriers that its lines and trips name.
+        used = (
+            self.orders.select(*feed, own)
+            .unionByName(self.orders.filter("trip_number % 9 = 0").select(*feed, alternative))
+            .distinct()
+        )
+        known = self.table("supplier").join(seats, "s_nationkey")
+        return used.join(known, "s_suppkey").select(
             "feed_id",
             "feed_seq",
             number.alias("line_no"),
@@ -145,7 +150,13 @@ class SalesTimetable:
 
     @cached_property
     def stops(self) -> DataFrame:
-        return self._in_every_feed(self.table("part")).select(
+        # Each feed lists the stops that its trips call at.
+        items = self.table("lineitem").select(
+            F.col("l_orderkey").alias("trip_number"), F.col("l_partkey").alias("p_partkey")
+        )
+        trips = self.orders.select("trip_number", "feed_id", "feed_seq")
+        used = items.join(trips, "trip_number").drop("trip_number").distinct()
+        return used.join(self.table("part"), "p_partkey").select(
             "feed_id",
             "feed_seq",
             F.col("p_partkey").alias("line_no"),
@@ -175,13 +186,13 @@ class SalesTimetable:
 
     @cached_property
     def time_codes(self) -> DataFrame:
-        """Dated codes of all eight types."""
+        """Dated codes of all eight types: every item of a trip that has codes."""
         kind = F.col("l_partkey") % 8
         start = F.col("l_shipdate").cast("date")
         ranged = kind.isin(6, 7) | (kind.isin(0, 3) & (F.col("l_suppkey") % 5 != 0))
         codes = (
             self.table("lineitem")
-            .filter("l_linenumber <= 2 and l_orderkey % 4 <> 0")
+            .filter("l_orderkey % 4 <> 0")  # every fourth trip has no dated code
             .select(
                 F.col("l_orderkey").alias("trip_number"),
                 (kind + 1).cast("string").alias("code_type"),
@@ -286,6 +297,53 @@ class SalesTimetable:
             )
         )
 
+    @cached_property
+    def raw_calls(self) -> DataFrame:
+        """Call records as text fields in the layouts of ``raw_rows``, with version records.
+
+        The km of some calls and the arrival of others cannot be read.
+        """
+        version = F.concat(F.lit("1."), (8 + F.col("feed_id") % 5).cast("string"))
+        trip, tariff = F.col("trip_number"), F.col("tariff_number")
+        km = F.when((trip % 17 == 0) & (tariff == 1), "x").otherwise(
+            F.coalesce(F.col("km").cast("string"), F.lit(""))
+        )
+        arrival = F.when((trip % 19 == 0) & (tariff == 2), "8:10").otherwise(F.col("arrival"))
+        text = lambda name: F.col(name).cast("string")
+        head = [F.col("line_number"), text("trip_number"), text("tariff_number"), text("stop_number")]
+        blank = F.lit("")
+        times = [km, arrival, F.col("departure")]
+        old = F.array(*head, *[blank] * 3, *times)
+        newer = F.array(*head, *[blank] * 4, *times, F.lit("1"))
+        newest = F.array(*head, *[blank] * 5, *times, blank, blank, F.lit("1"))
+        f = F.when(version == "1.11", newest).when(version == "1.10", newer).otherwise(old)
+        last = F.concat(F.element_at("f", -1), F.lit(";"))
+        calls = self.calls.withColumn("f", f).select(
+            F.col("feed_id").cast("string").alias("feed_id"),
+            F.lit("calls").alias("table"),
+            F.col("line_no").cast("long").alias("line_no"),
+            F.concat(F.slice("f", F.lit(1), F.size("f") - 1), F.array(last)).alias("fields"),
+            F.lit(None).cast("string").alias("problem"),
+        )
+        return calls.unionByName(self.raw_rows.filter("table = 'version'"))
+
+    @cached_property
+    def record_texts(self) -> DataFrame:
+        """Records of stops as a file has them, with quotes, commas and line breaks in fields."""
+        quoted = lambda c: F.concat(
+            F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')
+        )
+        name = F.concat(F.lit('"'), F.col("p_name"), F.lit('", '), F.col("p_brand"))
+        place = F.concat(F.col("p_type"), F.lit("\r\n,"), F.col("p_name"))
+        fields = [F.col("p_partkey").cast("string"), name, F.lit(""), place]
+        return self.table("part").select(
+            F.lit("parts").alias("feed_id"),
+            F.lit("stops").alias("table"),
+            F.col("p_partkey").cast("long").alias("line_no"),
+            F.concat_ws(",", *map(quoted, fields)).alias("text"),
+            F.lit(None).cast("string").alias("problem"),
+        )
+
     @cached_property
     def items_per_trip(self) -> DataFrame:
         """The rows that calls and dated codes are made of, by trip number only."""
@@ -294,6 +352,7 @@ class SalesTimetable:
     @cached_property
     def locations_by_number(self) -> DataFrame:
         number = F.col("p_partkey")
+        # Every fourth stop has no location.
         return self.table("part").filter("p_partkey % 4 <> 0").select(
             number.alias("stop_number"),
             (F.lit(49.0) + (number % 1000).cast("double") / 1000).alias("x"),

@@ -187,3 +187,38 @@ def test_arriving_zips_land_once_and_locations_match(spark, tmp_path):
     assert {r.stop_name.split(",")[2]: (r.stop_lat, r.stop_lon) for r in located} == {
         "Vřesinská": (49.8, 18.2), "Hlavní": (0.0, 0.0), "Nová": (49.9, 18.3),
     }
+
+
+def test_no_row_is_lost_between_stages(spark, tmp_path):
+    files = ff.feed(
+        lines=[{"name": "old"}, {}, {"number": "100002", "ico": "9"}],
+        trips=[{"codes": ("2",)}, {}, {"number": "2", "codes": ("9",)}, {"line": "100002", "number": "3"},
+               {"line": "100003", "number": "4"}],
+        calls=[
+            {"departure": "0800"}, {"tariff": "2", "km": "5", "arrival": "0810"},
+            {"trip": "2", "departure": "0900"}, {"line": "100002", "trip": "3", "departure": "0900"},
+            {"line": "100003", "trip": "4", "departure": "0900"}, {"trip": "7", "departure": "1000"},
+            {"tariff": "3", "km": "x", "arrival": "0900"},
+        ],
+        codes=[{"kind": "2", "frm": "24122024"}, {"trip": "8", "kind": "2", "frm": "24122024"}],
+    )
+    ff.write_folder(tmp_path / "in", "a", files)
+    rows = feeds.land(feeds.read_rows(spark, str(tmp_path / "in")), str(tmp_path / "rows"))
+    result = resolve_feeds(spark, rows)
+    lost = {(r.table, r.reason): r["count"] for r in result.rejects.groupBy("table", "reason").count().collect()}
+    assert lost == {
+        ("lines", "repeated key"): 1,
+        ("lines", "unknown carrier"): 1,
+        ("trips", "repeated key"): 1,
+        ("trips", "unknown fixed code"): 1,
+        ("trips", "unknown line"): 2,
+        ("calls", "rejected trip"): 3,
+        ("calls", "unknown trip"): 1,
+        ("calls", "missing or malformed value"): 1,
+        ("time_codes", "unknown trip"): 1,
+    }
+    kept = {"lines": result.lines, "trips": result.trips, "calls": result.calls}
+    staged = {r.table: r["count"] for r in rows.groupBy("table").count().collect()}
+    for name, frame in kept.items():
+        rejected = sum(n for (table, _), n in lost.items() if table == name)
+        assert frame.count() + rejected == staged[name]
