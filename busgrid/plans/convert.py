@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -36,10 +37,25 @@ class Options:
     extra_holidays: Extra = ()
 
 
+# The tables that are kept between loads.
+TABLES = (
+    "feeds",
+    "carriers",
+    "stops",
+    "stop_posts",
+    "lines",
+    "trips",
+    "services",
+    "calls",
+    "rejects",
+)
+
+
 @dataclass(frozen=True)
 class Timetable:
     """Resolved tables of all feeds, and what could not be resolved."""
 
+    feeds: DataFrame
     carriers: DataFrame
     stops: DataFrame
     stop_posts: DataFrame
@@ -56,8 +72,7 @@ class Timetable:
         return resolve.attached_calls(self.located_calls, self.trips)
 
     def tables(self) -> dict[str, DataFrame]:
-        names = ("carriers", "stops", "stop_posts", "lines", "trips", "services", "calls", "rejects")
-        return {name: getattr(self, name) for name in names}
+        return {name: getattr(self, name) for name in TABLES}
 
     def gtfs(self, locations: DataFrame | None = None, by_number: bool = False) -> dict:
         return {
@@ -91,13 +106,27 @@ def _kept(rows: DataFrame, folder: str) -> DataFrame:
 
 
 def timetable(
-    staged: Staged, layout_rejects: DataFrame, work: str, options: Options = Options()
+    staged: Staged,
+    layout_rejects: DataFrame,
+    feed_order: DataFrame,
+    work: str,
+    options: Options = Options(),
+    kept_lines: DataFrame | None = None,
 ) -> Timetable:
-    """Resolves the staged tables. Trips with their services are written to ``work`` once."""
+    """Resolves the staged tables. Trips and their services are written to ``work`` once.
+
+    ``kept_lines`` are the lines of earlier loads, which the lines of this one follow.
+    """
     line_rows = resolve.lines(identity.last_rows(staged.lines, resolve.LINE), staged.carriers)
     no_carrier = F.col("carrier_key").isNull()
     with_versions = history.line_history if options.keep_history else history.without_history
-    lines = with_versions(line_rows.filter(~no_carrier))
+    arriving = line_rows.filter(~no_carrier)
+    if kept_lines is None:
+        lines = with_versions(arriving)
+    elif options.keep_history:
+        lines = _kept(history.extend_history(kept_lines, arriving), f"{work}/lines")
+    else:
+        lines = kept_lines.unionByName(with_versions(arriving))
 
     trip_rows = identity.last_rows(staged.trips, resolve.TRIP)
     flagged = resolve.fixed_code_flags(trip_rows, staged.fixed_codes, options.code_slots)
@@ -153,6 +182,7 @@ def timetable(
         ),
     ]
     return Timetable(
+        feeds=feed_order,
         carriers=identity.carriers(staged.carriers),
         stops=identity.stops(staged.stops, options.by_number),
         stop_posts=staged.stop_posts,
@@ -177,7 +207,47 @@ def resolve_feeds(
     if feed_order is None:
         feed_order = feeds.path_order(rows, f"{work}/feeds")
     accepted, rejects = feeds.with_layout(rows, feed_order)
-    return timetable(Staged(accepted), rejects, work, options)
+    return timetable(Staged(accepted), rejects, feed_order, work, options)
+
+
+def append_feeds(
+    spark: SparkSession,
+    kept: Mapping[str, DataFrame],
+    rows: DataFrame,
+    options: Options = Options(),
+    work: str | None = None,
+) -> dict[str, DataFrame]:
+    """The tables after more feeds were landed, equal to a load of all feeds in this order.
+
+    ``kept`` are the tables of earlier loads as ``sinks.keep_tables`` wrote them. New feeds
+    are numbered after those; feeds that are known already are left out. Kept carriers and
+    stops stay the first ones; lines that the new feeds touch are worked out again, and
+    only the currency of their trips changes.
+    """
+    work = work or work_folder(spark, "append")
+    new_rows = rows.join(kept["feeds"].select("feed_id"), "feed_id", "left_anti")
+    order = feeds.path_order(new_rows, f"{work}/feeds", kept["feeds"])
+    accepted, rejects = feeds.with_layout(new_rows, order)
+    new = timetable(Staged(accepted), rejects, order, work, options, kept["lines"]).tables()
+
+    def first(name: str, key: str) -> DataFrame:
+        unseen = new[name].join(kept[name].select(key), key, "left_anti")
+        return kept[name].unionByName(unseen)
+
+    state = new["lines"].select("line_key", "is_current")
+    trips = kept["trips"].drop("is_current").join(state, "line_key")
+    return {
+        "feeds": new["feeds"],
+        "carriers": first("carriers", "carrier_key"),
+        "stops": first("stops", "stop_key"),
+        "lines": new["lines"],
+        "trips": trips.unionByName(new["trips"]),
+        "services": first("services", "service_id"),
+        **{
+            name: kept[name].unionByName(new[name])
+            for name in ("stop_posts", "calls", "rejects")
+        },
+    }
 
 
 def convert(

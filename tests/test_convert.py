@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from busgrid import sinks
 from busgrid.functions.keys import content_key
 from busgrid.plans import integrity
-from busgrid.plans.convert import Options, convert, resolve_feeds
+from busgrid.plans.convert import TABLES, Options, append_feeds, convert, resolve_feeds
 from busgrid.sources import feeds
 from busgrid.streaming.arrivals import land_new_zips
 
@@ -222,3 +222,36 @@ def test_no_row_is_lost_between_stages(spark, tmp_path):
     for name, frame in kept.items():
         rejected = sum(n for (table, _), n in lost.items() if table == name)
         assert frame.count() + rejected == staged[name]
+
+
+@pytest.mark.parametrize("keep_history", [False, True])
+def test_appended_feeds_equal_a_load_of_all(spark, tmp_path, keep_history):
+    feed = lambda year, **more: ff.feed(
+        lines=[{"frm": f"0101{year}", "to": f"3112{year}"}, {"number": "100002"}],
+        trips=[{}, {"line": "100002", "number": "5", "codes": ("3",)}],
+        calls=[
+            {"departure": "0800"}, {"tariff": "2", "stop": "2", "km": "5", "arrival": "0810"},
+            {"line": "100002", "trip": "5", "departure": "0900"},
+        ],
+        codes=[{"kind": "2", "frm": "24122024"}],
+        **more,
+    )
+    ff.write_folder(tmp_path / "in", "2024", feed(2024))
+    first = feeds.land(feeds.read_rows(spark, str(tmp_path / "in")), str(tmp_path / "rows1"))
+    ff.write_folder(tmp_path / "in", "2023", feed(2023, carriers=[{"www": "later"}, {"ico": "7", "name": "New"}]))
+    ff.write_folder(tmp_path / "in", "2025", feed(2025, stops=[{"number": "2"}, {"number": "1", "place": "Jiná"}]))
+    every = feeds.land(feeds.read_rows(spark, str(tmp_path / "in")), str(tmp_path / "rows2"))
+    options = Options(keep_history=keep_history)
+    sinks.keep_tables(resolve_feeds(spark, first, options).tables(), str(tmp_path / "kept"))
+    kept = {name: spark.read.parquet(f"{tmp_path}/kept/{name}") for name in TABLES}
+    found = append_feeds(spark, kept, every, options)
+    want = resolve_feeds(spark, every, options, feed_order=found["feeds"]).tables()
+
+    def rows(frame):
+        # Line numbers tell the order of a file's rows; they depend on how files share tasks.
+        columns = sorted(set(frame.columns) - {"line_no"})
+        return sorted(map(str, frame.select(*columns).collect()))
+
+    for name in TABLES:
+        assert rows(found[name]) == rows(want[name]), name
+    assert found["trips"].count() > kept["trips"].count()
