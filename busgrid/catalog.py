@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from busgrid.functions import holidays as hol
 from busgrid.functions.days import compact, day_numbers, iso, joined_days
 from busgrid.functions.keys import line_key, trip_key
-from busgrid.functions.times import has_time
+from busgrid.functions.times import gtfs_time_by_minute, has_time
 from busgrid.operators import calendars, history, identity, resolve, stoptimes
 from busgrid.plans import gtfs, wide
 from busgrid.session import work_folder
@@ -202,6 +202,13 @@ def stop_times(t: SalesTimetable) -> DataFrame:
     return gtfs.stop_times(_calls(t), _attached(t), counted=t.items_per_trip)
 
 
+@query
+def stop_times_by_minute(t: SalesTimetable) -> DataFrame:
+    """Stop times where any time before the first departure is of the next day."""
+    clock = gtfs_time_by_minute
+    return gtfs.stop_times(_calls(t), _attached(t), counted=t.items_per_trip, clock=clock)
+
+
 # --- carriers, stops, lines, trips
 
 

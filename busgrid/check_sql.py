@@ -337,6 +337,34 @@ _SHIFTED = """case when try_cast(substring({t},1,1) as int) < try_cast(substring
             then cast(cast(substring({t},1,2) as int)+24 as varchar)
             else substring({t},1,2) end || ':' || substring({t},3,2) || ':00'"""
 
+_SHIFTED_BY_MINUTE = """case when prvni<>'' and {t}<prvni
+            then cast(cast(substring({t},1,2) as int)+24 as varchar)
+            else substring({t},1,2) end || ':' || substring({t},3,2) || ':00'"""
+
+
+def _stop_times(clock: str) -> str:
+    arrival, departure = clock.format(t="pr"), clock.format(t="od")
+    return _check(f"""
+        , timed as (
+          select c.*, a.spoj_id, s.zastavka_id,
+            first_value(odjezd) over (partition by c.cislo_spoj order by
+              case when c.cislo_spoj%2=1 then cislo_tarifni end,
+              case when c.cislo_spoj%2=0 then cislo_tarifni end desc) as prvni,
+            case when prijezd='' then odjezd else prijezd end as pr,
+            case when odjezd='' then prijezd else odjezd end as od
+          from served c join attached a using (cislo_spoj)
+          join stop_rows s on s.feed_id=c.feed_id and s.cislo_zastavka=c.cislo_zastavka
+          where a.aktualni and (prijezd<>'' or odjezd<>'')),
+        shifted as (
+          select *, {arrival} as arrival_time,
+            {departure} as departure_time from timed)
+        select spoj_id as trip_id, arrival_time, departure_time, zastavka_id as stop_id,
+          cast(row_number() over (partition by spoj_id order by km nulls last, departure_time,
+            arrival_time, case when cislo_spoj%2=1 then cislo_tarifni else -cislo_tarifni end,
+            zastavka_id, cislo_tarifni) as int) as stop_sequence
+        from shifted""")
+
+
 CHECKS = {
     "version_layout": _check("""
         , v as (select distinct feed_id, '1.' || cast(8 + feed_id%5 as varchar) as verze from feeds)
@@ -375,25 +403,8 @@ CHECKS = {
         qualify row_number() over (partition by cislo_spoj order by
           case when cislo_spoj%2=1 then cislo_tarifni end,
           case when cislo_spoj%2=0 then cislo_tarifni end desc)=1"""),
-    "stop_times": _check(f"""
-        , timed as (
-          select c.*, a.spoj_id, s.zastavka_id,
-            first_value(odjezd) over (partition by c.cislo_spoj order by
-              case when c.cislo_spoj%2=1 then cislo_tarifni end,
-              case when c.cislo_spoj%2=0 then cislo_tarifni end desc) as prvni,
-            case when prijezd='' then odjezd else prijezd end as pr,
-            case when odjezd='' then prijezd else odjezd end as od
-          from served c join attached a using (cislo_spoj)
-          join stop_rows s on s.feed_id=c.feed_id and s.cislo_zastavka=c.cislo_zastavka
-          where a.aktualni and (prijezd<>'' or odjezd<>'')),
-        shifted as (
-          select *, {_SHIFTED.format(t="pr")} as arrival_time,
-            {_SHIFTED.format(t="od")} as departure_time from timed)
-        select spoj_id as trip_id, arrival_time, departure_time, zastavka_id as stop_id,
-          cast(row_number() over (partition by spoj_id order by km nulls last, departure_time,
-            arrival_time, case when cislo_spoj%2=1 then cislo_tarifni else -cislo_tarifni end,
-            zastavka_id, cislo_tarifni) as int) as stop_sequence
-        from shifted"""),
+    "stop_times": _stop_times(_SHIFTED),
+    "stop_times_by_minute": _stop_times(_SHIFTED_BY_MINUTE),
     "carriers": _check("""
         select md5(concat_ws(chr(31), ico, jmeno, sidlo)) as carrier_id, ico,
           jmeno as carrier_name, sidlo as seat, www, cast(feed_seq as int) as first_feed

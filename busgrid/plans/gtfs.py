@@ -75,8 +75,9 @@ def stop_times(
     trips: DataFrame,
     hot_rows: int | None = sequences.HOT_ROWS,
     counted: DataFrame | None = None,
+    clock: stoptimes.Clock = stoptimes.gtfs_time,
 ) -> DataFrame:
-    return stoptimes.stop_times(calls, trips, hot_rows, counted).select(
+    return stoptimes.stop_times(calls, trips, hot_rows, counted, clock).select(
         F.col("trip_key").alias("trip_id"),
         "arrival_time",
         "departure_time",
