@@ -195,11 +195,9 @@ def disclosing(found: DataFrame, documents: DataFrame) -> DataFrame:
         return found.sparkSession.createDataFrame([], kind)
     n = float(found.count())
     terms = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
-    frequent = (
-        documents.select(F.explode(terms).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("n_t"))
-        .join(pairs.select("term").distinct(), "term", "left_semi")
+    # All words are counted first, with partial counts; a row a word then meets the pairs.
+    frequent = documents.select(F.explode(terms).alias("term")).groupBy("term").agg(
+        F.count("*").alias("n_t")
     )
     pmi = F.log2(F.col("n_ct") * n / (F.col("n_c") * F.col("n_t")))
     information = F.log2(F.lit(n) / F.col("n_c"))
