@@ -38,7 +38,7 @@ def odd(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("odd"))
     rows = awkward()
     table_of(spark, folder, rows)
-    labels_of(spark, folder, [(i, i % 2, i % 3 == 0) for i in range(60)] + [(None, 1, 1), (9, None, None)])
+    labels_of(spark, folder, [(i, i % 2, int(i % 3 == 0)) for i in range(60)] + [(None, 1, 1), (9, None, None)])
     return folder, rows
 
 
