@@ -32,8 +32,8 @@ _ONE[list(SHORT_ONE)] = True
 
 def plain(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Which texts have only characters below PLAIN."""
-    late = np.append(0, np.cumsum(data >= 0xC0 + (PLAIN >> 6)))
-    return late[offsets[1:]] == late[offsets[:-1]]
+    late = np.searchsorted(np.flatnonzero(data >= 0xC0 + (PLAIN >> 6)), offsets)
+    return late[1:] == late[:-1]
 
 
 def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
