@@ -29,11 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busgrid.llm import rolling
-from busgrid.llm.common import shuffle_partitions, slabs, table, text_bytes
-from busgrid.llm.packing import BLOCK_BYTES, block_name, pack, unpack
+from busgrid.llm.common import lean, shuffle_partitions, slabs, table, text_bytes
+from busgrid.llm.packing import block_name, pack, unpack
 from busgrid.llm.pretokens import cuts, expand
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+BLOCK_BYTES = 4 << 20
 
 WORDS = "bucket int, block long, sizes binary, pieces binary"
 IDS = "bucket int, block long, sizes binary, pieces binary"
@@ -98,6 +99,8 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
     buckets = 2 * partitions
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
+    @lean
+
     def send_words(batches):
         for name, _, data, _, starts, hashes in _blocks(batches):
             first, _ = _distinct(hashes)
@@ -118,6 +121,8 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
                     }
                 )
 
+    @lean
+
     def send_positions(batches):
         for name, doc_ids, data, offsets, starts, hashes in _blocks(batches):
             first, number = _distinct(hashes)
@@ -136,6 +141,8 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
                 }
             )
 
+    @lean
+
     def encode_words(batches):
         """Rows come ordered by bucket; its pieces are encoded as they first appear."""
         coder, current, known, found = encoding(path), None, {}, []
@@ -164,6 +171,8 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
                     }
                 )
 
+    @lean
+
     def reassemble(batches):
         """Rows come ordered by block and bucket, positions last."""
         current, ids = None, {}
@@ -248,6 +257,8 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
 def digests(rows: DataFrame, path: str) -> DataFrame:
     """Counts and digests of ids and of what they decode to."""
 
+    @lean
+
     def digest(batches):
         for batch in batches:
             at, ids = _lists(batch.column("ids"))

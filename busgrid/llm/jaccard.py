@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busgrid.llm import rolling
-from busgrid.llm.common import shuffle_partitions, slabs, table, text_bytes, written
+from busgrid.llm.common import lean, shuffle_partitions, slabs, table, text_bytes, written
 from busgrid.llm.components import components
 from busgrid.llm.packing import (
     BLOCK_BYTES,
@@ -91,6 +91,9 @@ def _classes(tokens: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return rolling.mix(name + size).view(np.int64)
 
 
+@lean
+
+
 def _sets(batches):
     """doc_id, number of shingles, class and the hash of the text of each document."""
     for batch in batches:
@@ -127,6 +130,7 @@ def _of_rows(tokens, edges, rows):
 
 
 def _send_keys(buckets):
+    @lean
     def run(batches):
         for batch in batches:
             for first, last, data, offsets in slabs(*text_bytes(batch.column("text")), BLOCK_BYTES):
@@ -148,6 +152,9 @@ def _send_keys(buckets):
     return run
 
 
+@lean
+
+
 def _count_keys(batches):
     """Rows come ordered by range; answers 0 for a key seen once, else its rank of frequency."""
     current, seen = None, []
@@ -181,6 +188,9 @@ def _count_keys(batches):
     yield from answers()
 
 
+@lean
+
+
 def _survivors(batches):
     """Sets with enough shared shingles: class, size, shared tokens, first tokens and places."""
     for row, (answers,) in with_answers(batches, 1):
@@ -317,6 +327,9 @@ class Group:
                     yield self.rows[x]["class"], self.rows[z]["class"]
 
 
+@lean
+
+
 def _join_groups(batches):
     """Rows come ordered by family and group."""
     current, rows = None, []

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from busgrid.llm.common import hash_sample, held_out, slabs, table, text_bytes
+from busgrid.llm.common import hash_sample, held_out, lean, slabs, table, text_bytes
 
 WINDOW, WIDTHS, FILTERS, DIM = 256, (2, 3, 4), 16, 6
 PER_LANGUAGE, WINDOWS_PER_TEXT = 400, 3
@@ -133,9 +133,12 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Network | Non
     known = documents.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     ).select("doc_id", F.col("lang").alias("lang"), "text")
-    # Rows are chosen before any text is read into Python.
+    # Rows are chosen before any text is read into Python. The counts that go to all tasks
+    # are as many as the network has outputs.
     chosen = hash_sample(known, "doc_id", per_language, by="lang")
 
+    @lean
+
     def windows_of(batches):
         for batch in batches:
             names = batch.column("lang")
@@ -173,6 +176,8 @@ def _predict(texts: pa.Array, network: Network | None) -> tuple[np.ndarray, np.n
 def identify(documents: DataFrame, network: Network | None) -> DataFrame:
     """doc_id, held_out, lang_pred and score of each document."""
 
+    @lean
+
     def predict(batches):
         for batch in batches:
             names, scores = _predict(batch.column("text"), network)
@@ -197,6 +202,8 @@ def identify(documents: DataFrame, network: Network | None) -> DataFrame:
 def accepted(documents: DataFrame, network: Network | None) -> DataFrame:
     """The documents whose language is known."""
 
+    @lean
+
     def keep(batches):
         for batch in batches:
             names, _ = _predict(batch.column("text"), network)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+
 from busgrid.llm.bpe import op5_bpe
+from busgrid.llm.common import bound_batches
 from busgrid.llm.jaccard import OP9_SQL, op9_jaccard
 from busgrid.llm.langid import op6_language
 from busgrid.llm.mixing import OP7_SQL, op7_mixing
@@ -13,7 +16,17 @@ from busgrid.llm.repeats import OP8_SQL, op8_repeats
 from busgrid.llm.token_files import op3_token_files
 from busgrid.llm.toxicity import op1_toxicity
 
-QUERIES = {
+
+def _bounded(query):
+    @functools.wraps(query)
+    def run(spark, sf_dir):
+        bound_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_pii": op2_pii,
     "op3_token_files": op3_token_files,
@@ -25,6 +38,8 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
 }
+QUERIES = {name: _bounded(query) for name, query in _QUERIES.items()}
+
 #: The other operators learn from labels or call tokenizer libraries.
 SQL = {
     "op2_pii": OP2_SQL,

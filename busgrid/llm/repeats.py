@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busgrid.llm import rolling
-from busgrid.llm.common import shuffle_partitions, slabs, table, text_bytes, written
+from busgrid.llm.common import lean, shuffle_partitions, slabs, table, text_bytes, written
 from busgrid.llm.packing import (
     BLOCK_BYTES,
     EXCHANGE,
@@ -209,6 +209,7 @@ def _scan(level, key_bits):
 
 
 def _merge_scan(key_bits):
+    @lean
     def run(batches):
         """Rows come ordered by bucket; its batches form the levels, then are scanned."""
         current, seen, levels = None, [], Levels()
@@ -296,6 +297,8 @@ def dedup(documents: DataFrame) -> DataFrame:
     buckets = 2 * partitions
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
+    @lean
+
     def send_segments(batches):
         for batch in batches:
             every = row_ids(batch)
@@ -305,10 +308,14 @@ def dedup(documents: DataFrame) -> DataFrame:
                 entries = sparse_array(marks, wholes, every[first:last][owner])[:3]
                 yield from _send(name, buckets, *entries)
 
+    @lean
+
     def send_windows(batches):
         for row, answers in with_answers(batches, 1):
             yield from _send(row["block"], buckets, *Block(row, answers[0]).windows()[:3])
 
+    @lean
+
     def cut(batches):
         for row, answers in with_answers(batches, 2):
             block = Block(row, answers[0])

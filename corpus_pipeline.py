@@ -12,14 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from busgrid.llm import bpe, jaccard, langid, mixing, pii
-from busgrid.llm.common import table, written
+from busgrid.llm.common import bound_batches, table, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return langid.accepted(docs, langid.fit(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return jaccard.one_of_each(docs)
 
 
@@ -33,6 +35,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     ids = bpe.encode(docs, public_tokenizers.path(bpe.VOCABULARY))
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
