@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +25,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder for written intermediates, the session's ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared folder for written intermediates, the session's ``spark.checkpoint.dir``.
+
+    A session on one machine without that setting, as in a test, gets a folder of its own;
+    a cluster without it is an error.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder and re.match(r"local($|\[)", context.master):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="busgrid-"))
+        folder = context.getCheckpointDir()
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     return f"{folder.rstrip('/')}/busgrid"
