@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import functools
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Rows that several steps need are written once below the shared folder.
+from busgrid.session import work_folder, written  # noqa: F401
+
 BATCH_BYTES = 8 << 20
 
 
@@ -40,21 +42,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which driver and executors share."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(rows: DataFrame, name: str) -> DataFrame:
-    """Rows that several steps need, written once to the shared folder and read back."""
-    folder = work_folder(rows.sparkSession, name)
-    rows.write.parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
