@@ -1,26 +1,36 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are those words whose presence goes with the label in a sample of about ``SAMPLE``
-labelled documents (G² of at least ``ASSOCIATION``); near copies, which share the least
-hash of their word triples, count once there. Document frequencies of these terms are counted
-over all documents. The examples stand in an inverted index whose lists are cut into
-blocks of examples with the largest weight of each block; blocks are searched in the order
-of their bounds until the bound falls below the k-th best similarity, so the neighbours
-are exact. Neighbours vote with their similarity; the votes are calibrated on examples
-that were left out of their own search. The best neighbours are returned as evidence.
-
-A text without any term (null, empty, or of other words) has the share of toxic ones among
-examples without a term as its score. A document labelled more than once is toxic if one
-label says so. Without labels of both kinds the score is the smoothed share of toxic ones.
-Repeated rows each get a row; ties in similarity go to the smaller document id.
+The examples are a sample of about ``SAMPLE`` labelled documents. All their words count,
+with document frequencies over all documents; a word that no example has counts in the
+norm of a text as one that a single document has. The cosine of a text and each example is
+exact (``Texts``); its best neighbours are returned as evidence.
+
+The score mixes two votes of neighbours. The first is among the nearest whole texts. In
+long texts few words decide, so the second is among the nearest by those words whose
+presence goes with the label (G² of at least ``ASSOCIATION``; near copies, which share the
+least hash of their word triples, count once there): these examples stand in an inverted
+index whose lists are cut into blocks with the largest weight of each, and blocks are
+searched in the order of their bounds until the bound falls below the k-th best
+similarity. Each whole text votes by a power of its similarity and as far as it agrees in
+those words; the vote by them counts as much as some copies (``COPIES``, two at least, so
+that one label, which may be a slip, does not decide alone). Power and number of copies
+are learned from examples that were left out of their own search.
+
+A text without any such term (null, empty, or of other words) has the share of toxic ones
+among examples without a term as its second vote. A document labelled more than once is
+toxic if one label says so. Without labels of both kinds the second vote is the smoothed
+share of toxic ones. Repeated rows each get a row; ties in similarity go to the smaller
+document id.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +39,9 @@ from busgrid.llm.common import hash_sample, held_out, slabs, table, text_bytes
 
 SAMPLE, TERMS, ASSOCIATION = 20_000, 4096, 25.0
 NEIGHBOURS, BLOCK, EVIDENCE, CALIBRATE = 15, 128, 3, 3000
+#: Words of one in so many examples stand in a matrix; so many texts are compared at a time.
+OFTEN, TEXTS = 16, 64
+SHARPNESS, COPIES = (4, 16, 64), (2, 4, 8)
 _BETWEEN = np.ones(256, bool)
 _BETWEEN[65:91] = _BETWEEN[97:123] = _BETWEEN[128:] = False
 
@@ -51,6 +64,137 @@ def _term_counts(terms: np.ndarray, data, offsets):
     return pairs // len(terms), pairs % len(terms), counts
 
 
+def _word_counts(words: np.ndarray, data, offsets):
+    """(text, word, count) as for terms, and the sum of squares of each text's other words."""
+    hashes, _, _, owner = _words(data, offsets)
+    n = len(offsets) - 1
+    at = np.minimum(np.searchsorted(words, hashes), max(len(words) - 1, 0))
+    hit = words[at] == hashes if len(words) else np.zeros(len(hashes), bool)
+    pairs, counts = np.unique(owner[hit] * max(len(words), 1) + at[hit], return_counts=True)
+    tagged = rolling.mix(hashes[~hit] ^ rolling.mix(owner[~hit].astype(rolling.U)))
+    _, first, times = np.unique(tagged, return_index=True, return_counts=True)
+    rest = np.bincount(owner[~hit][first], (1 + np.log(times)) ** 2, minlength=n)
+    return pairs // max(len(words), 1), pairs % max(len(words), 1), counts, rest
+
+
+@dataclass
+class Texts:
+    """Unit vectors of whole examples; words are sorted hashes, examples ordered by id."""
+
+    words: np.ndarray
+    idf: np.ndarray
+    other: float  # idf of a word that no example has
+    ids: np.ndarray
+    toxic: np.ndarray
+    edges: np.ndarray  # of each example's words
+    word: np.ndarray
+    count: np.ndarray
+    deciding: np.ndarray  # whether a word's presence goes with the label
+    norm: np.ndarray = field(init=False)
+    first: np.ndarray = field(init=False)  # of each word's list, empty for frequent words
+    example: np.ndarray = field(init=False)
+    weight: np.ndarray = field(init=False)
+    row: np.ndarray = field(init=False)  # of each frequent word in the matrix, or -1
+    matrix: np.ndarray = field(init=False)
+    sharpness: float = 16.0
+    copies: float = 4.0
+
+    def __getstate__(self):
+        """What the rest is worked out from, packed: tasks get it."""
+        most = int(self.count.max()) if len(self.count) else 0
+        packed = {
+            "words": self.words, "idf": self.idf, "ids": self.ids, "toxic": self.toxic, "edges": self.edges,
+            "word": self.word, "count": self.count.astype(np.min_scalar_type(most)),
+            "deciding": self.deciding,
+        }
+        state = {k: (str(v.dtype), zlib.compress(v.tobytes(), 1)) for k, v in packed.items()}
+        return state, (self.other, self.sharpness, self.copies)
+
+    def __setstate__(self, given):
+        state, (self.other, self.sharpness, self.copies) = given
+        for k, (kind, data) in state.items():
+            setattr(self, k, np.frombuffer(zlib.decompress(data), kind))
+        self.count = self.count.astype(np.int32)
+        self.__post_init__()
+
+    def __post_init__(self):
+        n = len(self.ids)
+        owner = np.repeat(np.arange(n), np.diff(self.edges))
+        weight = (1 + np.log(self.count)) * self.idf[self.word]
+        self.norm = np.sqrt(np.bincount(owner, weight**2, minlength=n))
+        weight = (weight / self.norm[owner]).astype(np.float32)
+        lists = np.bincount(self.word, minlength=len(self.words))
+        often = np.flatnonzero(lists > max(n // OFTEN, TEXTS))
+        self.row = np.full(len(self.words), -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        self.matrix = np.zeros((len(often), n), np.float32)
+        dense = self.row[self.word] >= 0
+        self.matrix[self.row[self.word[dense]], owner[dense]] = weight[dense]
+        word, owner, weight = self.word[~dense], owner[~dense], weight[~dense]
+        by_word = np.argsort(word, kind="stable")
+        self.first = np.searchsorted(word[by_word], np.arange(len(self.words) + 1))
+        self.example, self.weight = owner[by_word].astype(np.int32), weight[by_word]
+
+    def near(self, queries: list[tuple[np.ndarray, np.ndarray, float]], k: int, skip=None):
+        """The k most similar examples of each (words, counts, rest), best first.
+
+        With them come the similarities and those of the deciding words alone, which are 1
+        where neither text has any.
+
+        Sums in single precision choose examples with a margin; those are compared exactly.
+        """
+        for start in range(0, len(queries), TEXTS):
+            part = queries[start : start + TEXTS]
+            weights = []
+            for words, counts, rest in part:
+                weight = (1 + np.log(counts)) * self.idf[words]
+                weights.append(weight / max(np.sqrt((weight**2).sum() + rest * self.other**2), 1e-300))
+            left = np.zeros((len(part), len(self.matrix)), np.float32)
+            for i, (words, _, _) in enumerate(part):
+                dense = self.row[words] >= 0
+                left[i, self.row[words[dense]]] = weights[i][dense]
+            total = left @ self.matrix
+            for i, (words, _, _) in enumerate(part):
+                own = -1 if skip is None else skip[start + i]
+                yield self._best(words, weights[i], total[i], k, own)
+
+    def _best(self, words, weights, total, k, skip):
+        size = self.first[words + 1] - self.first[words]
+        end = np.cumsum(size)
+        at = np.arange(end[-1] if len(end) else 0) + np.repeat(self.first[words] - end + size, size)
+        more = np.repeat(weights.astype(np.float32), size) * self.weight[at]
+        total = total + np.bincount(self.example[at], more, minlength=len(self.ids))
+        if 0 <= skip:
+            total[skip] = 0
+        least = np.partition(total, len(total) - k)[-k] if len(total) > k else 0.0
+        some = np.flatnonzero((total > 0) & (total >= least - 1e-4))
+        if not len(some):
+            return some, np.zeros(0), np.zeros(0)
+        size = self.edges[some + 1] - self.edges[some]
+        end = np.cumsum(size)
+        at = np.arange(end[-1]) + np.repeat(self.edges[some] - end + size, size)
+        which = np.repeat(np.arange(len(some)), size)
+        theirs = (1 + np.log(self.count[at])) * self.idf[self.word[at]] / self.norm[some[which]]
+        decides = self.deciding[self.word[at]]
+        their_part = np.bincount(which, theirs**2 * decides, minlength=len(some))
+        place = np.minimum(np.searchsorted(words, self.word[at]), len(words) - 1)
+        same = words[place] == self.word[at]
+        which, products = which[same], weights[place[same]] * theirs[same]
+        sims = np.minimum(np.bincount(which, products, minlength=len(some)), 1.0)
+        common = np.bincount(which, products * decides[same], minlength=len(some))
+        both = np.sqrt(their_part * (weights[self.deciding[words]] ** 2).sum())
+        neither = (their_part == 0) & (not self.deciding[words].any())
+        agree = np.where(neither, 1.0, common / np.maximum(both, 1e-300))
+        best = np.lexsort((self.ids[some], -np.round(sims, 12)))[:k]
+        return some[best], sims[best], agree[best]
+
+    def mixed(self, value: float, found, sims, agree, sharpness=None, copies=None) -> float:
+        """The value by terms, which counts as some copies, and the votes of whole texts."""
+        near = sims ** (sharpness or self.sharpness) * agree
+        copies = copies or self.copies
+        return float(((near * self.toxic[found]).sum() + copies * value) / (near.sum() + copies))
+
+
 @dataclass
 class Index:
     """Blocked inverted lists over unit vectors of examples; terms are sorted hashes."""
@@ -68,6 +212,16 @@ class Index:
     n_blocks: int
     without_terms: float
     calibration: np.ndarray = field(default_factory=lambda: np.array([1.0, 0.0, 0.0]))
+    place: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # of a given example, or -1
+
+    def value(self, terms, counts, skip: int = -1) -> float:
+        """The score of a text by its terms."""
+        if not len(terms):
+            return self.without_terms
+        found, sims = self.search(terms, self.vector(terms, counts), NEIGHBOURS, skip)
+        if not len(found):
+            return self.without_terms
+        return self.score(self.evidence(found, sims, terms, counts))
 
     def weights(self, terms, counts):
         return (1 + np.log(counts)) * self.idf[terms]
@@ -117,14 +271,17 @@ def build(terms, idf, examples: list[tuple[int, int, np.ndarray, np.ndarray]]) -
     every = [toxic for _, toxic, _, _ in examples]
     base = (sum(bare) + (sum(every) + 1) / (len(every) + 2)) / (len(bare) + 1)
     some = [e for e in examples if len(e[2])]
+    given = [i for i, e in enumerate(examples) if len(e[2])]
     index = Index(
         terms, idf, *(np.zeros(0, np.int64),) * 8, n_blocks=0, without_terms=float(base)
     )
     index.first = np.zeros(len(terms) + 1, np.int64)
+    index.place = np.full(len(examples), -1)
     if not some:
         return index
     vectors = [index.vector(t, c) for _, _, t, c in some]
     order = sorted(range(len(some)), key=lambda i: (some[i][2][vectors[i].argmax()], some[i][0]))
+    index.place[[given[i] for i in order]] = np.arange(len(order))
     some, vectors = [some[i] for i in order], [vectors[i] for i in order]
     index.ids = np.array([e[0] for e in some])
     index.toxic = np.array([e[1] for e in some], float)
@@ -165,8 +322,28 @@ def _calibrate(index: Index, examples, vectors) -> None:
     index.calibration = w
 
 
-def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
-    """The index of about ``sample`` labelled documents that are not held out."""
+def _sharpen(texts: Texts, index: Index, numbers: np.ndarray) -> None:
+    """How alike texts must be to decide, from examples left out of their searches."""
+    step = max(1, len(texts.ids) // CALIBRATE)
+    chosen = list(range(0, len(texts.ids), step))
+    queries, values = [], []
+    for i in chosen:
+        words = slice(texts.edges[i], texts.edges[i + 1])
+        queries.append((texts.word[words], texts.count[words], 0.0))
+        own = numbers[texts.word[words]]
+        values.append(index.value(own[own >= 0], texts.count[words][own >= 0], index.place[i]))
+    ways = [(sharpness, copies) for sharpness in SHARPNESS for copies in COPIES]
+    loss = np.zeros(len(ways))
+    for i, value, near in zip(chosen, values, texts.near(queries, NEIGHBOURS, chosen), strict=True):
+        for j, way in enumerate(ways):
+            p = min(max(texts.mixed(value, *near, *way), 1e-3), 1 - 1e-3)
+            loss[j] -= np.log(p if texts.toxic[i] else 1 - p)
+    if chosen:
+        texts.sharpness, texts.copies = ways[int(loss.argmin())]
+
+
+def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Index, Texts]:
+    """About ``sample`` labelled documents that are not held out, by their terms and as whole texts."""
     known = (
         labels.where(
             F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))
@@ -179,84 +356,96 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
     sampled = texts.join(chosen, "doc_id").select("doc_id", "toxic", "text")
 
     def words_of(batches):
-        """Distinct words of each example and the least hash of its word triples."""
+        """Words and counts of each example, and the least hash of its word triples."""
         for batch in batches:
-            toxic = batch.column("toxic").to_numpy()
             data, offsets = text_bytes(batch.column("text"))
             for first, last, part, at in slabs(data, offsets):
-                hashes, starts, ends, owner = _words(part, at)
-                tagged = rolling.mix(hashes ^ rolling.mix(owner.astype(rolling.U)))
-                once = np.unique(tagged, return_index=True)[1]
+                hashes, _, _, owner = _words(part, at)
+                # A text without triples is like those with the same words.
+                every = np.bincount(owner, minlength=last - first)
                 least = np.full(last - first, np.iinfo(np.uint64).max, np.uint64)
+                few = np.flatnonzero(every[owner] < 3)
+                least[owner[few]] = 0
+                np.add.at(least, owner[few], hashes[few])
                 triples = rolling.windows(hashes, 3)
                 within = owner[: len(triples)] == owner[2:]
                 np.minimum.at(least, owner[: len(triples)][within], triples[within])
-                if len(once):
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "term": pa.array(hashes[once].view(np.int64)),
-                            "toxic": pa.array(toxic[first:last][owner[once]].astype(np.int32)),
-                            "like": pa.array(least[owner[once]].view(np.int64)),
-                        }
-                    )
-
-    words = sampled.mapInArrow(words_of, "term long, toxic int, like long").distinct()
-    totals = known.groupBy("toxic").count().collect()
-    n = {row["toxic"]: row["count"] for row in totals}
-    kinds = {row["toxic"]: row["n"] for row in words.groupBy("toxic").agg(
-        F.approx_count_distinct("like", 0.02).alias("n")).collect()}
-    n1, n0 = float(kinds.get(1, 0)), float(kinds.get(0, 0))
-    terms = np.zeros(0, np.uint64)
-    if n.get(1) and n.get(0) and n1 and n0:
-        a, b = F.sum("toxic"), F.sum(1 - F.col("toxic"))
-        counts = words.groupBy("term").agg(a.alias("a"), b.alias("b")).where("a + b >= 3")
-        share = (F.col("a") + F.col("b")) / (n1 + n0)
-
-        def part(seen, expected):
-            return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-
-        g = 2 * (
-            part(F.col("a"), share * n1)
-            + part(F.col("b"), share * n0)
-            + part(F.greatest(n1 - F.col("a"), F.lit(0.0)), (1 - share) * n1)
-            + part(F.greatest(n0 - F.col("b"), F.lit(0.0)), (1 - share) * n0)
-        )
-        best = (
-            counts.where(share < 1)
-            .select("term", g.alias("g"))
-            .where(F.col("g") >= ASSOCIATION)
-            .orderBy(F.desc("g"), "term")
-            .limit(TERMS)
-        )
-        terms = np.sort(np.array([row["term"] for row in best.collect()], np.int64).view(np.uint64))
-    idf = _document_frequencies(documents, terms)
-
-    def vectors_of(batches):
-        for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            for first, last, part_, at in slabs(data, offsets):
-                text, term, count = _term_counts(terms, part_, at)
-                cut = np.searchsorted(text, np.arange(1, last - first))
+                order = np.lexsort((hashes, owner))
+                hashes, owner = hashes[order], owner[order]
+                new = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+                starts = np.flatnonzero(np.append(True, new)[: len(hashes)])
+                count = np.diff(np.append(starts, len(hashes)))
+                cut = pa.array(np.searchsorted(owner[starts], np.arange(last - first + 1)).astype(np.int32))
+                lists = pa.ListArray.from_arrays
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column("doc_id").slice(first, last - first),
                         "toxic": batch.column("toxic").slice(first, last - first).cast(pa.int32()),
-                        "terms": pa.array(np.split(term, cut), pa.list_(pa.int64())),
-                        "counts": pa.array(np.split(count, cut), pa.list_(pa.int64())),
+                        "like": pa.array(least.view(np.int64)),
+                        "words": lists(cut, pa.array(hashes[starts].view(np.int64))),
+                        "counts": lists(cut, pa.array(count.astype(np.int32))),
                     }
                 )
 
-    schema = "doc_id long, toxic int, terms array<long>, counts array<long>"
-    rows = sampled.mapInArrow(vectors_of, schema).collect()
-    examples = sorted(
-        ((r[0], r[1], np.array(r[2], np.int64), np.array(r[3], np.int64)) for r in rows),
-        key=lambda e: (e[0], e[1], e[2].tolist(), e[3].tolist()),
-    )
-    return build(terms, idf, examples)
-
-
-def _document_frequencies(documents: DataFrame, terms: np.ndarray) -> np.ndarray:
-    """log((1 + N) / (1 + df)) + 1 of each term, over all documents."""
+    schema = "doc_id long, toxic int, like long, words array<long>, counts array<int>"
+    rows = sampled.mapInArrow(words_of, schema).toArrow()
+    ids, toxic, like = (rows[k].to_numpy() for k in ("doc_id", "toxic", "like"))
+    size = pc.list_value_length(rows["words"]).to_numpy().astype(np.int64)
+    words = pc.list_flatten(rows["words"]).to_numpy().view(np.uint64)
+    count = pc.list_flatten(rows["counts"]).to_numpy()
+    del rows
+    # Rows of one id differ, if at all, in their texts.
+    total = np.add.reduceat(np.append(words, rolling.U(0)), np.cumsum(size) - size) if len(size) else like
+    order = np.lexsort((total, size, like, toxic, ids))
+    start, end = np.cumsum(size) - size, np.cumsum(size[order])
+    ids, toxic, like, size = ids[order], toxic[order], like[order], size[order]
+    at = np.arange(len(words)) + np.repeat(start[order] - end + size, size)
+    words, count = words[at], count[at]
+    del at
+    vocabulary, word = np.unique(words, return_inverse=True)
+    del words
+    word, edges = word.astype(np.int32), np.append(0, end).astype(np.int64)
+    chosen_terms = _associated(vocabulary, word, np.repeat(np.arange(len(ids)), size), toxic, like)
+    idf, other = _document_frequencies(documents, vocabulary)
+    numbers = np.full(len(vocabulary), -1)
+    numbers[chosen_terms] = np.arange(len(chosen_terms))
+    by_terms = []
+    for i in range(len(ids)):
+        own, times = numbers[word[edges[i] : edges[i + 1]]], count[edges[i] : edges[i + 1]]
+        by_terms.append((int(ids[i]), int(toxic[i]), own[own >= 0], times[own >= 0]))
+    index = build(vocabulary[chosen_terms], idf[chosen_terms], by_terms)
+    texts = Texts(vocabulary, idf, other, ids, toxic.astype(float), edges, word, count, numbers >= 0)
+    _sharpen(texts, index, numbers)
+    return index, texts
+
+
+def _associated(vocabulary, word, owner, toxic, like) -> np.ndarray:
+    """The numbers of words whose presence goes with the label; near copies count once."""
+    kinds, group = np.unique(np.stack([toxic.astype(np.int64), like]), axis=1, return_inverse=True)
+    kind_toxic = kinds[0] == 1
+    n1, n0 = float(kind_toxic.sum()), float((~kind_toxic).sum())
+    if not n1 or not n0:
+        return np.zeros(0, np.int64)
+    pairs = np.unique(word * np.int64(len(kind_toxic)) + group.ravel()[owner])
+    pair_word, pair_toxic = pairs // len(kind_toxic), kind_toxic[pairs % len(kind_toxic)]
+    a = np.bincount(pair_word[pair_toxic], minlength=len(vocabulary)).astype(float)
+    b = np.bincount(pair_word[~pair_toxic], minlength=len(vocabulary)).astype(float)
+    share = (a + b) / (n1 + n0)
+
+    def part(seen, expected):
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(expected, 1e-300)), 0.0)
+
+    g = 2 * (
+        part(a, share * n1) + part(b, share * n0)
+        + part(n1 - a, (1 - share) * n1) + part(n0 - b, (1 - share) * n0)
+    )
+    some = np.flatnonzero((a + b >= 3) & (share < 1) & (g >= ASSOCIATION))
+    best = np.lexsort((vocabulary[some].view(np.int64), -g[some]))[:TERMS]
+    return np.sort(some[best])
+
+
+def _document_frequencies(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, float]:
+    """log((1 + N) / (1 + df)) + 1 of each word over all documents, and that of a df of 1."""
     n_terms = len(terms)
 
     def count(batches):
@@ -272,45 +461,49 @@ def _document_frequencies(documents: DataFrame, terms: np.ndarray) -> np.ndarray
         )
 
     if not n_terms:
-        return np.zeros(0)
+        return np.zeros(0), 1.0
     rows = documents.select("text").mapInArrow(count, "term long, n long")
-    df = dict(rows.groupBy("term").agg(F.sum("n")).collect())  # a row for each term at most
-    every = df.pop(-1, 0)
-    return np.log((1 + every) / (1 + np.array([df.get(i, 0) for i in range(n_terms)]))) + 1
+    found = rows.groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # a row for each word at most
+    df = np.zeros(n_terms + 1, np.int64)
+    df[found["term"].to_numpy()] = found["n"].to_numpy()  # the last is the number of documents
+    return np.log((1 + df[-1]) / (1 + df[:-1])) + 1, float(np.log((1 + df[-1]) / 2) + 1)
 
 
-def score(documents: DataFrame, index: Index) -> DataFrame:
+def score(documents: DataFrame, index: Index, texts: Texts) -> DataFrame:
     """doc_id, held_out, score, predicted and evidence of each document."""
+    number_of = np.full(len(texts.words), -1)
+    number_of[np.searchsorted(texts.words, index.terms)] = np.arange(len(index.terms))
 
     def judge(batches):
-        known: dict[bytes, tuple[float, list]] = {}
+        values: dict[bytes, float] = {}
+
+        def by_terms(terms, counts):
+            key = terms.tobytes() + counts.tobytes()
+            if key not in values:
+                if len(values) >= 50_000:
+                    values.clear()
+                values[key] = index.value(terms, counts)
+            return values[key]
+
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             scores = np.full(batch.num_rows, index.without_terms)
             evidence: list[list] = [[] for _ in range(batch.num_rows)]
             for first, last, part, at in slabs(data, offsets):
-                text, term, count = _term_counts(index.terms, part, at)
+                text, word, count, rest = _word_counts(texts.words, part, at)
                 edges = np.searchsorted(text, np.arange(last - first + 1))
-                for row in np.flatnonzero(np.diff(edges)):
-                    mine = slice(edges[row], edges[row + 1])
-                    key = term[mine].tobytes() + count[mine].tobytes()
-                    if key not in known:
-                        if len(known) >= 50_000:
-                            known.clear()
-                        found, sims = index.search(
-                            term[mine], index.vector(term[mine], count[mine]), NEIGHBOURS
-                        )
-                        value = index.without_terms
-                        if len(found):
-                            value = index.score(
-                                index.evidence(found, sims, term[mine], count[mine])
-                            )
-                        known[key] = value, [
-                            {"doc_id": int(index.ids[i]), "similarity": float(s),
-                             "toxic": int(index.toxic[i])}
-                            for i, s in zip(found[:EVIDENCE], sims, strict=False)
-                        ]
-                    scores[first + row], evidence[first + row] = known[key]
+                some = np.flatnonzero(np.diff(edges))
+                own = [slice(edges[row], edges[row + 1]) for row in some]
+                near = texts.near([(word[m], count[m], rest[r]) for r, m in zip(some, own, strict=True)], NEIGHBOURS)
+                for row, mine, (found, sims, agree) in zip(some, own, near, strict=True):
+                    terms = number_of[word[mine]]
+                    value = by_terms(terms[terms >= 0], count[mine][terms >= 0])
+                    scores[first + row] = texts.mixed(value, found, sims, agree)
+                    evidence[first + row] = [
+                        {"doc_id": int(texts.ids[i]), "similarity": float(s),
+                         "toxic": int(texts.toxic[i])}
+                        for i, s in zip(found[:EVIDENCE], sims, strict=False)
+                    ]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -321,14 +514,14 @@ def score(documents: DataFrame, index: Index) -> DataFrame:
                 }
             )
 
-    texts = documents.select(
+    rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         held_out(F.col("doc_id")).alias("held_out"),
         "text",
     )
     kind = "array<struct<doc_id: long, similarity: double, toxic: int>>"
     schema = f"doc_id long, held_out boolean, score double, predicted int, evidence {kind}"
-    return texts.mapInArrow(judge, schema)
+    return rows.mapInArrow(judge, schema)
 
 
 _EVIDENCE = pa.list_(
@@ -338,4 +531,4 @@ _EVIDENCE = pa.list_(
 
 def op1_toxicity(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
-    return score(documents, fit(documents, table(spark, sf_dir, "labels")))
+    return score(documents, *fit(documents, table(spark, sf_dir, "labels")))

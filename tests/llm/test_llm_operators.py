@@ -1,6 +1,7 @@
 """Operators beyond their registered queries."""
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -231,3 +232,37 @@ def test_pipeline_on_awkward_rows(spark, tmp_path):
     table_of(spark, str(tmp_path), awkward())
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert rows and all(r.n_tokens == len(r.ids) for r in rows)
+
+
+def test_copies_of_labelled_texts_are_judged_by_them(spark):
+    rng = random.Random(7)
+    common = [f"{a}{b}" for a in "abcdefgh" for b in "klmnopqr"]
+    rows = [(i, " ".join(rng.choice(common) for _ in range(30)) + (" vile" if i % 8 == 0 else ""))
+            for i in range(400)]
+    once = " ".join(rng.choice(common) for _ in range(30)) + " blackguard"
+    held = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 5 == 0]
+    rows += [(i, once) for i in range(1000, 1100)] + [(2000, "hm"), (2001, "hm hm"), (2002, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = [(i, int(i % 8 == 0)) for i in range(400)] + [(i, 1) for i in range(1000, 1100)]
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    index, texts = toxicity.fit(frame, labels)
+    found = {r.doc_id: r for r in toxicity.score(frame, index, texts).collect()}
+    assert len(found) == len(rows) and held
+    assert all(found[i].predicted == 1 and found[i].evidence[0].similarity > 1 - 1e-9 for i in held)
+    # The neighbours are those of a cosine over all words of all texts.
+    split = {i: (t or "").split() for i, t in rows}
+    df = {}
+    for words in split.values():
+        for w in set(words):
+            df[w] = df.get(w, 0) + 1
+
+    def vector(words):
+        v = {w: (1 + np.log(words.count(w))) * (np.log((1 + len(rows)) / (1 + df[w])) + 1) for w in set(words)}
+        size = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / size for w, x in v.items()}
+
+    vectors = {i: vector(w) for i, w in split.items() if w}
+    known = {i for i, _ in marks if zlib.crc32(str(i).encode()) % 5}
+    for i in (5, 8, 77, 399):
+        sims = sorted((-sum(x * vectors[j].get(w, 0) for w, x in vectors[i].items()), j) for j in known)
+        assert np.allclose([e.similarity for e in found[i].evidence], [-s for s, _ in sims[:3]])
