@@ -200,14 +200,18 @@ def identify(documents: DataFrame, network: Network | None) -> DataFrame:
 
 
 def accepted(documents: DataFrame, network: Network | None) -> DataFrame:
-    """The documents whose language is known."""
+    """The documents whose language is known; without a network, those with a letter."""
 
     @lean
 
     def keep(batches):
         for batch in batches:
-            names, _ = _predict(batch.column("text"), network)
-            yield batch.filter(pa.array(names != UNKNOWN))
+            texts = batch.column("text")
+            if network is None:
+                known = np.array([_has_letter(t) for t in texts], bool)
+            else:
+                known = _predict(texts, network)[0] != UNKNOWN
+            yield batch.filter(pa.array(known))
 
     return documents.mapInArrow(keep, documents.schema)
 

@@ -228,6 +228,14 @@ def test_pipeline_stages(spark, sf_dir):
     assert last.columns == ["doc_id", "n_tokens", "ids"] and last.count()
 
 
+def test_a_corpus_without_languages_stays(spark, tmp_path):
+    rows = [(i, t, None, "s", None) for i, t in [(1, "some text"), (2, None), (3, "12 !"), (4, "日本")]]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    frame = spark.createDataFrame(rows, schema)
+    kept = corpus_pipeline.language(spark, frame, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
+
+
 def test_pipeline_on_awkward_rows(spark, tmp_path):
     table_of(spark, str(tmp_path), awkward())
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
