@@ -13,7 +13,7 @@ The patterns say the same as the plain ones they stand for, but hold on to what
 read and start only where a run starts, so that long texts take linear time.
 
 Null text is empty. Entities and words are joined as narrow rows; texts meet the words of
-their document only where there are such words. Rows that share an id share their words.
+their document only where there are such words. Rows that share an id, or have none, share their words.
 Repeated rows each get a row.
 """
 
@@ -228,7 +228,7 @@ def sanitised_spans(documents: DataFrame) -> DataFrame:
         )
         .withColumnRenamed("doc_id", "_of")
     )
-    rows = _with_base(documents).join(of_doc, F.col("doc_id") == F.col("_of"), "left")
+    rows = _with_base(documents).join(of_doc, F.col("doc_id").eqNullSafe(F.col("_of")), "left")
     pattern = {
         kind: F.when(
             F.size(f"_{kind}_words") > 0,

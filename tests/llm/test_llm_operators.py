@@ -121,6 +121,18 @@ def test_words_that_disclose(spark):
     assert all(texts[i] == t for i, t, _ in rows if i % 30)
 
 
+def test_words_go_from_texts_without_an_id(spark):
+    rng = random.Random(3)
+    filler = "lorem ipsum dolor amet consect etur adipis elit tempor labore magna aliqua".split()
+    some = lambda: " ".join(rng.choice(filler) for _ in range(10))
+    rows = [(i, f"{some()} {some()}") for i in range(200)]
+    rows += [(None, f"{some()} Zorblat bob@corp.com {some()}") for _ in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = [r.text for r in pii.sanitise(frame).collect()]
+    assert len(texts) == len(rows) and sum("[EMAIL]" in t for t in texts) == 8
+    assert not any("zorblat" in t.lower() for t in texts)
+
+
 def test_copies_of_a_text_disclose_nothing(spark):
     rows = [(i, "unusual word here bob@corp.com and after it") for i in range(50)]
     rows += [(100 + i, "something else altogether") for i in range(50)]
