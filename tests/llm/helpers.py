@@ -4,11 +4,15 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import permutations
+
+import xxhash
 
 LONG = "lorem ipsum dolor sit amet " * 4000
 CLASHES = (
-    "key h salt base again class n first family root of _n row kind bucket block score held_out "
-    "part term size target copies near seen entity taken"
+    "key h salt base again class n family root of _n row kind bucket block score held_out "
+    "part term size target copies near seen entity taken fp least anchor mine digest flags first "
+    "marks fail a b h1 form output"
 ).split()
 
 
@@ -150,6 +154,94 @@ def near_components(rows, percent=75):
     return [(doc_id, len(sets[k]), least.get(root(k))) for k, (doc_id, _) in enumerate(rows)]
 
 
+def fingerprint(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    grams = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [" ".join(words)] * bool(words)
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def close_components(rows, bits=3):
+    prints = [fingerprint(text) for _, text in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for k, mine in enumerate(prints):
+        for z in range(k):
+            if (mine ^ prints[z]).bit_count() <= bits:
+                parent[root(k)] = root(z)
+    least = {}
+    for k, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root(k)] = min(least.get(root(k), doc_id), doc_id)
+    return [(doc_id, f"{prints[k]:016x}", least.get(root(k))) for k, (doc_id, _) in enumerate(rows)]
+
+
+def middle_row(doc_id, text):
+    text = text or ""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = hashlib.sha256(f"7:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    parts = ["".join(units[i:j]) for i, j in ((0, a), (a, b), (b, None))]
+    form = "spm" if h[3] % 100 < 50 else "psm"
+    output = {"psm": "<P>{0}<S>{2}<M>{1}", "spm": "<S>{2}<P>{0}<M>{1}"}[form].format(*parts)
+    sizes = len(parts[0]), len(parts[1])
+    if not text or re.search("<[PSM]>", text):
+        form, output, sizes = "plain", text, (None, None)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    return doc_id, len(units), form, *sizes, sha(output), sha(text)
+
+
+def audited(rows, labels):
+    """Rows of (doc_id, lang, text), and of (doc_id, quality, toxic): the orders played through."""
+    key = lambda i: 2**63 - 1 if i is None else i
+    least, docs = {}, defaultdict(list)
+    for i, _, text in rows:
+        least[text or ""] = min(least.get(text or "", key(i)), key(i))
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    for i, lang, text in rows:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        fails = "".join(
+            name
+            for name, fail in zip(
+                "ABCDE",
+                (
+                    len(words) < 200,
+                    100 * len(set(words)) < 50 * len(words),
+                    100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+                    re.search("[#$%&*|]", text),
+                    least[text] < key(i),
+                ),
+                strict=True,
+            )
+            if fail
+        )
+        docs[lang or ""].append((fails, i in good, i in toxic))
+    out = []
+    for part, mine in docs.items():
+        shapley, lines = Counter(), []
+        for order in permutations("ABCDE"):
+            left = mine
+            for step, name in enumerate(order):
+                gone = [d for d in left if name in d[0]]
+                left = [d for d in left if name not in d[0]]
+                shapley[name] += len(gone)
+                failing = sum(name in d[0] for d in mine)
+                alone = sum(d[0] == name for d in mine)
+                lines.append((part, "".join(order), step + 1, name, len(left), len(gone), failing - len(gone), alone,
+                              sum(d[1] for d in gone), sum(d[2] for d in gone)))
+        out += [(*line, shapley[line[3]]) for line in lines]
+    return out
+
+
 def quality_counts(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)

@@ -7,10 +7,26 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from helpers import awkward, collected, expected, near_components, table_of
+from helpers import audited, awkward, collected, expected, middle_row, near_components, table_of
 
 import corpus_pipeline
-from busgrid.llm import bpe, jaccard, mixing, pii, pivots, pretokens, quality, repeats, token_files, toxicity
+from busgrid.llm import (
+    audit,
+    bpe,
+    golay,
+    jaccard,
+    middle,
+    mixing,
+    pii,
+    pivots,
+    pretokens,
+    quality,
+    repeats,
+    simhash,
+    token_files,
+    toxicity,
+    wordruns,
+)
 from busgrid.llm.common import text_bytes
 from busgrid.llm.components import components
 
@@ -286,3 +302,111 @@ def test_copies_of_labelled_texts_are_judged_by_them(spark):
     for i in (5, 8, 77, 399):
         sims = sorted((-sum(x * vectors[j].get(w, 0) for w, x in vectors[i].items()), j) for j in known)
         assert np.allclose([e.similarity for e in found[i].evidence], [-s for s, _ in sims[:3]])
+
+
+def test_every_number_is_near_one_codeword():
+    values = np.arange(1 << golay.LENGTH)
+    row, word = golay.anchors(values[::37], 0)
+    assert (row == np.arange(len(row))).all() and len(row) == len(values[::37])
+    assert len(np.unique(word)) == 1 << golay.MESSAGE_BITS
+    # Codewords up to two bits beyond the radius are those found by looking at all of them.
+    nearest = golay.syndromes(values) == 0
+    words = values[nearest]
+    for value in (0, 1, 12345, golay.MASK):
+        far = np.bitwise_count(words ^ value)
+        for excess in (1, 2):
+            _, found = golay.anchors(np.array([value]), excess)
+            assert sorted(found) == sorted(words[far == 3 + excess] >> golay.CHECK_BITS)
+
+
+@pytest.mark.parametrize("blocks,group,pairs", [(2, 4096, 1 << 21), (2, 8, 50), (3, 64, 1 << 21)])
+@pytest.mark.parametrize("threshold", [3, 4])
+def test_no_link_of_fingerprints_is_missed(spark, monkeypatch, blocks, group, pairs, threshold):
+    monkeypatch.setattr(simhash, "GROUP", group)
+    monkeypatch.setattr(simhash, "PAIRS", pairs)
+    rng = random.Random(9)
+    prints = set()
+    for _ in range(25):
+        base = rng.getrandbits(64)
+        for _ in range(60):
+            prints.add(base ^ sum(1 << k for k in rng.sample(range(64), rng.randrange(9))))
+    prints = np.sort(np.array(sorted(prints), np.uint64).view(np.int64))
+    frame = spark.createDataFrame([(int(p),) for p in prints], "fp long").repartition(3)
+    parent = list(range(len(prints)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for k in range(len(prints)):
+        close = np.bitwise_count((prints[:k] ^ prints[k]).view(np.uint64)) <= threshold
+        for z in np.flatnonzero(close).tolist():
+            a, b = root(k), root(z)
+            parent[max(a, b)] = min(a, b)
+    want = {int(p): int(prints[root(k)]) for k, p in enumerate(prints)}
+    found = {r.node: r.root for r in components(simhash.links(frame, threshold, blocks)).collect()}
+    assert {p: found.get(p, p) for p in want} == want
+
+
+def test_long_texts_have_the_words_of_their_runs():
+    rng = random.Random(3)
+    text = "".join(rng.choice("ab é\n\t\x0b") for _ in range(5000)).encode()
+    for most in (1, 7, 100, 10_000):
+        assert [w for run in wordruns.word_runs(text, most) for w in run] == text.split()
+    whole = simhash.fingerprint(text)
+    pieces = wordruns.word_runs
+    try:
+        simhash.word_runs = lambda t: pieces(t, 40)
+        assert simhash.fingerprint(text) == whole
+    finally:
+        simhash.word_runs = pieces
+
+
+def test_fill_in_middle_of_very_long_and_odd_texts(spark):
+    texts = ["x\n" * 1_000_000, "a" * 3_000_000, "a\n\n\n", "\r\nb\u2028c\x85d\re\n", "<S", "<<", "$1 \\n \\\n$3\n"]
+    texts += ["a <P> b\nc", "日本\n😀\n<S>"]
+    rows = list(enumerate(texts)) + [(100 + i, f"{i}\n<\n{i * i}<P\n>S>\n") for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    columns = "doc_id n form prefix_chars middle_chars".split()
+    made = middle.transform(frame)
+    assert collected(made, columns) == expected([middle_row(*r)[:5] for r in rows])
+    back = made.select("doc_id", middle.restored(middle.F.col("form"), middle.F.col("output")).alias("t"))
+    assert {r.doc_id: r.t for r in back.collect()} == dict(rows)
+
+
+def test_sentinels_of_ones_own(spark):
+    rows = [(i, f"{i}\n$\nb\\{i}\n" * 3) for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    own = ("[$pre]", "[\\suf]", "[mid]")
+    made = middle.transform(frame, own, seed=1, rate=50)
+    forms = {r.form for r in made.collect()}
+    assert forms == {"plain", "psm", "spm"}
+    back = made.select("doc_id", middle.restored(middle.F.col("form"), middle.F.col("output"), own).alias("t"))
+    assert {r.doc_id: r.t for r in back.collect()} == dict(rows)
+    with pytest.raises(ValueError):
+        middle.transform(frame, ("<P>", "<P>", "<M>"))
+
+
+def test_unions_by_galloping():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        a, b = (np.unique(rng.integers(0, 200, rng.integers(0, 120))) for _ in range(2))
+        assert audit.merged(a, b).tolist() == sorted(set(a) | set(b))
+        assert audit.common(a, b) == len(set(a) & set(b))
+
+
+@pytest.mark.parametrize("run", [1 << 16, 7])
+def test_audit_in_many_id_ranges(spark, monkeypatch, run):
+    monkeypatch.setattr(audit, "RUN", run)
+    rng = random.Random(8)
+    texts = ["word " * 250, " ".join(f"w{i}" for i in range(220)), "SHOUT " * 300, "a # b", "", None]
+    docs = [(rng.randrange(300), rng.choice(["en", "de", None, ""]), rng.choice(texts)) for _ in range(400)]
+    docs += [(None, "en", "x"), (None, "en", "x"), (5, "xx", "x")]
+    marks = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None])) for i in range(150)] * 2 + [(None, 1, 1)]
+    frame = spark.createDataFrame(docs, "doc_id long, lang string, text string").repartition(5)
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    labels = labels.selectExpr("*", "1 as flags", "2 as marks", "'x' as part", "'y' as lang")
+    found = audit.audit(frame, labels)
+    columns = "part filter_order step filter kept removed redundant unique_fails good_lost toxic_lost shapley"
+    assert collected(found, columns.split()) == expected(audited(docs, marks))

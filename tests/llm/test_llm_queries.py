@@ -11,10 +11,13 @@ import public_tokenizers
 import pytest
 import tiktoken
 from helpers import (
+    audited,
     awkward,
+    close_components,
     collected,
     expected,
     labels_of,
+    middle_row,
     near_components,
     personal_row,
     quality_counts,
@@ -60,7 +63,7 @@ def nothing(spark, tmp_path_factory):
 
 def test_all_operators_and_the_pipeline_are_registered():
     names = [name.split("_")[0] for name in QUERIES]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14))
     assert "pipeline" in contract.queries()
     assert set(SQL) <= set(QUERIES)
 
@@ -83,7 +86,7 @@ def test_empty_tables(spark, nothing, name):
     assert QUERIES[name](spark, nothing).collect() == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op4_top_k"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op4_top_k", "op13_filter_audit"}))
 def test_awkward_rows_each_get_a_row(spark, odd, name):
     folder, rows = odd
     found = QUERIES[name](spark, folder).collect()
@@ -113,6 +116,34 @@ def test_near_components(spark, odd):
     assert collected(found, columns) == expected(near_components(rows))
 
 
+@pytest.mark.parametrize("which", ["odd", "given"])
+def test_fingerprints_and_their_components(spark, sf_dir, odd, which):
+    folder = odd[0] if which == "odd" else sf_dir
+    found = QUERIES["op11_simhash"](spark, folder)
+    columns = ["doc_id", "fingerprint", "component_id"]
+    assert collected(found, columns) == expected(close_components(rows_of(spark, folder)))
+
+
+def test_fill_in_middle(spark, odd):
+    folder, rows = odd
+    found = QUERIES["op12_fill_in_middle"](spark, folder)
+    columns = "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256".split()
+    assert collected(found, columns) == expected([middle_row(*r) for r in rows])
+
+
+def test_filter_audit(spark, odd):
+    folder, _ = odd
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality", "toxic")
+    found = QUERIES["op13_filter_audit"](spark, folder)
+    want = audited([tuple(r) for r in docs.collect()], [tuple(r) for r in labels.collect()])
+    assert len(want) == 3 * 600
+    columns = (
+        "part filter_order step filter kept removed redundant unique_fails good_lost toxic_lost shapley"
+    )
+    assert collected(found, columns.split()) == expected(want)
+
+
 @pytest.mark.parametrize("which", ["odd", "given"])
 def test_quality_counts(spark, sf_dir, odd, which):
     folder = odd[0] if which == "odd" else sf_dir
