@@ -17,6 +17,7 @@ from busgrid.plans import gtfs, wide
 from busgrid.session import work_folder
 from busgrid.sources import feeds
 from busgrid.sources.locations import read_locations
+from busgrid.sources.records import records_of_lines
 from busgrid.sources.staging import Staged
 from busgrid.sources.tables import SalesTimetable
 
@@ -130,9 +131,16 @@ def arity_guard(t: SalesTimetable) -> DataFrame:
 
 @query
 def record_fields(t: SalesTimetable) -> DataFrame:
-    """Fields of records given as text."""
+    """Fields of the records of files given as lines, with line ends of both kinds."""
+    texts = records_of_lines(t.record_lines).select(
+        F.lit("parts").alias("feed_id"),
+        F.lit("stops").alias("table"),
+        F.shiftright("pos", 1).alias("line_no"),  # two lines a record
+        "text",
+        "problem",
+    )
     fields = feeds.without_record_end(F.col("fields"))
-    rows = feeds.parsed(t.record_texts).withColumn("f", fields)
+    rows = feeds.parsed(texts).withColumn("f", fields)
     return rows.select(
         _long("line_no"),
         F.size("f").alias("n_fields"),

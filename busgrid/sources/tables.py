@@ -328,21 +328,28 @@ class SalesTimetable:
         return calls.unionByName(self.raw_rows.filter("table = 'version'"))
 
     @cached_property
-    def record_texts(self) -> DataFrame:
-        """Records of stops as a file has them, with quotes, commas and line breaks in fields."""
+    def record_lines(self) -> DataFrame:
+        """Lines of files of stops, with quotes, commas and line breaks in fields.
+
+        A file holds the parts of one size; a hundred parts are a block of it. Records of odd
+        parts end with LF alone, those of even ones with CR LF, as the format says.
+        """
         quoted = lambda c: F.concat(
             F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')
         )
         name = F.concat(F.lit('"'), F.col("p_name"), F.lit('", '), F.col("p_brand"))
         place = F.concat(F.col("p_type"), F.lit("\r\n,"), F.col("p_name"))
         fields = [F.col("p_partkey").cast("string"), name, F.lit(""), place]
-        return self.table("part").select(
-            F.lit("parts").alias("feed_id"),
-            F.lit("stops").alias("table"),
-            F.col("p_partkey").cast("long").alias("line_no"),
-            F.concat_ws(",", *map(quoted, fields)).alias("text"),
-            F.lit(None).cast("string").alias("problem"),
+        number = F.col("p_partkey").cast("long")
+        end = F.when(number % 2 == 0, ";\r").otherwise(";")
+        record = F.concat(F.concat_ws(",", *map(quoted, fields)), end)
+        lines = self.table("part").select(
+            F.concat(F.lit("parts/"), F.col("p_size").cast("string")).alias("file"),
+            F.floor(number / 100).alias("block"),
+            number.alias("number"),
+            F.posexplode(F.split(record, "\n")).alias("line", "text"),
         )
+        return lines.select("file", "block", (2 * F.col("number") + F.col("line")).alias("pos"), "text")
 
     @cached_property
     def items_per_trip(self) -> DataFrame:

@@ -31,6 +31,7 @@ def land_new_zips(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", feeds.ZIP_FILES)
         .load(root)
+        .select("path")  # so that no content is read here
         .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
