@@ -42,6 +42,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column's name that means that column, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def packed(documents: DataFrame) -> Column:
+    """All columns of a row as one, so that no name can clash with those of an operator."""
+    return F.struct(*[F.col(quoted(name)) for name in documents.columns])
+
+
+def unpacked(documents: DataFrame, row: str, **changed: Column) -> list[Column]:
+    """The columns of ``documents`` from the packed row, with some of them replaced."""
+    return [
+        changed.get(name, F.col(row).getField(name)).alias(name) for name in documents.columns
+    ]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

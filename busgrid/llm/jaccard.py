@@ -29,7 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busgrid.llm import rolling
-from busgrid.llm.common import lean, shuffle_partitions, slabs, table, text_bytes, written
+from busgrid.llm.common import (
+    lean,
+    packed,
+    shuffle_partitions,
+    slabs,
+    table,
+    text_bytes,
+    unpacked,
+    written,
+)
 from busgrid.llm.components import components
 from busgrid.llm.packing import (
     BLOCK_BYTES,
@@ -479,19 +488,26 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     same = kept["doc_id"].eqNullSafe(times["doc_id"]) & (kept["text_hash"] == times["text_hash"])
     kept = written(
         kept.distinct().join(times, same).select(
-            kept["doc_id"].alias("_id"), kept["text_hash"].alias("_hash"), "again"
+            kept["doc_id"].alias("kept_id"), kept["text_hash"].alias("kept_hash"), "again"
         ),
         "kept",
     )
+    every = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "text",
+        F.xxhash64("text").alias("text_hash"),
+        packed(documents).alias("row"),
+    )
 
     def those(again):
         some = kept.where(F.col("again") == again)
-        match = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (
-            F.xxhash64("text") == F.col("_hash")
+        match = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (
+            F.col("text_hash") == F.col("kept_hash")
         )
-        return documents.join(some, match, "left_semi")
+        return every.join(some, match, "left_semi")
 
-    return those(False).unionByName(those(True).dropDuplicates(["doc_id", "text"]))
+    one = those(False).unionByName(those(True).dropDuplicates(["doc_id", "text"]))
+    return one.select(*unpacked(documents, "row"))
 
 
 def op9_jaccard(spark, sf_dir):

@@ -19,7 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from busgrid.llm.common import hash_sample, held_out, lean, slabs, table, text_bytes
+from busgrid.llm.common import (
+    hash_sample,
+    held_out,
+    lean,
+    packed,
+    slabs,
+    table,
+    text_bytes,
+    unpacked,
+)
 
 WINDOW, WIDTHS, FILTERS, DIM = 256, (2, 3, 4), 16, 6
 PER_LANGUAGE, WINDOWS_PER_TEXT = 400, 3
@@ -213,7 +222,8 @@ def accepted(documents: DataFrame, network: Network | None) -> DataFrame:
                 known = _predict(texts, network)[0] != UNKNOWN
             yield batch.filter(pa.array(known))
 
-    return documents.mapInArrow(keep, documents.schema)
+    rows = documents.select("text", packed(documents).alias("row"))
+    return rows.mapInArrow(keep, rows.schema).select(*unpacked(documents, "row"))
 
 
 def _has_letter(text: pa.Scalar) -> bool:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from busgrid.llm.common import table, written
+from busgrid.llm.common import packed, table, unpacked, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -169,11 +169,11 @@ def mixed(documents: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) -> Data
     """The documents as often as the mix takes them."""
     chosen = written(plan(sizes(documents), weights, repeats), "mix-plan")
     source = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
-    row = F.struct(*[F.col(name) for name in documents.columns]).alias("row")
-    keyed = documents.select(row, source.alias("key"), hash48(F.col("doc_id")).alias("h"))
+    keyed = documents.select(packed(documents).alias("row"), source.alias("key"), hash48(F.col("doc_id")).alias("h"))
     taken = _with_sources(keyed, chosen).where(_copies() > 0)
     each = F.explode(F.sequence(F.lit(1).cast("long"), _copies()))
-    return taken.select("row", each.alias("_n")).select("row.*")
+    copies = taken.select("row", each.alias("_n"))
+    return copies.select(*unpacked(documents, "row"))
 
 
 def op7_mixing(spark, sf_dir):

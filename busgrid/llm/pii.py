@@ -12,9 +12,10 @@ surroundings of an entity prove nothing.
 The patterns say the same as the plain ones they stand for, but hold on to what they have
 read and start only where a run starts, so that long texts take linear time.
 
-Null text is empty. Entities and words are joined as narrow rows; texts meet the words of
-their document only where there are such words. Rows that share an id, or have none, share their words.
-Repeated rows each get a row.
+Null text is empty. Entities and words are joined as narrow rows; texts meet their words only
+where there are such words, by id and digest of the text, so that rows that share an id, or
+have none, lose only what their own text discloses. Repeated rows each get a row; an empty
+table gives none. Other columns come along in one packed column, whatever their names are.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from busgrid.llm.common import table, written
+from busgrid.llm.common import packed, table, unpacked, written
 
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
@@ -166,14 +167,19 @@ def _near(text: Column, span: Column) -> Column:
     )
 
 
+def _digest(text: str) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
 def find(documents: DataFrame) -> DataFrame:
-    """doc_id, entities and the words around them, written once; no texts."""
+    """doc_id, digest of the text, entities and the words around them, written once; no texts."""
     found = _with_base(documents.select("doc_id", "text"))
     seen = F.transform(
         "_base",
         lambda s: F.struct(_value(s).alias("entity"), _near(F.col("_t"), s).alias("near")),
     )
-    return written(found.select("doc_id", seen.alias("seen")), "pii-entities")
+    digest = F.when(F.size("_base") > 0, _digest("text")).alias("digest")
+    return written(found.select("doc_id", digest, seen.alias("seen")), "pii-entities")
 
 
 def disclosing(found: DataFrame, documents: DataFrame) -> DataFrame:
@@ -210,16 +216,16 @@ def disclosing(found: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def sanitised_spans(documents: DataFrame) -> DataFrame:
-    """doc_id, text, base spans and all spans of each document."""
+    """doc_id, text, base spans and all spans of each document, and ``_row`` if it is there."""
     found = find(documents)
     words = disclosing(found, documents)
-    holds = found.select("doc_id", F.explode("seen.entity").alias("entity")).distinct()
+    holds = found.select("doc_id", "digest", F.explode("seen.entity").alias("entity")).distinct()
     # An entity has few words around it that pass, so a document's list is short.
     of_doc = (
         holds.join(words, "entity")
-        .groupBy("doc_id", "term")
+        .groupBy("doc_id", "digest", "term")
         .agg(F.max("removed").alias("removed"))
-        .groupBy("doc_id")
+        .groupBy("doc_id", "digest")
         .agg(
             F.sort_array(F.collect_list(F.when(F.col("removed"), F.col("term")))).alias("_remove_words"),
             F.sort_array(F.collect_list(F.when(~F.col("removed"), F.col("term")))).alias(
@@ -228,7 +234,9 @@ def sanitised_spans(documents: DataFrame) -> DataFrame:
         )
         .withColumnRenamed("doc_id", "_of")
     )
-    rows = _with_base(documents).join(of_doc, F.col("doc_id").eqNullSafe(F.col("_of")), "left")
+    rows = _with_base(documents).withColumn("_own", F.when(F.size("_base") > 0, _digest("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("_of")) & (F.col("_own") == F.col("digest"))
+    rows = rows.join(of_doc, same, "left")
     pattern = {
         kind: F.when(
             F.size(f"_{kind}_words") > 0,
@@ -240,12 +248,32 @@ def sanitised_spans(documents: DataFrame) -> DataFrame:
         )
         for kind in ("remove", "general")
     }
+    # Base spans in chunks by place: a word looks at the ends of chunks, then into few of them.
+    meets = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
+    ends = F.transform("_base", lambda s: F.struct(s["start"], s["end"]))
+    chunk = lambda c: F.struct(
+        F.array_min(c)["start"].alias("start"),
+        F.array_max(F.transform(c, lambda s: s["end"])).alias("end"),
+        c.alias("spans"),
+    )
     free = lambda s: ~F.exists(
-        "_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
+        "_near", lambda c: meets(c, s) & F.exists(c["spans"], lambda b: meets(b, s))
+    )
+    rows = (
+        _with_spans(rows, pattern)
+        .withColumn("_ends", F.sort_array(ends))
+        .withColumn("_near", F.transform(_chunks("_ends"), chunk))
     )
     every = F.concat("_base", F.filter("_remove", free), F.filter("_general", free))
-    rows = _with_spans(rows, pattern).withColumn("_all", every)
-    return rows.drop("_of", "_remove_words", "_general_words", "_remove", "_general")
+    kept = [c for c in ("_row",) if c in documents.columns]
+    return rows.select("doc_id", "text", *kept, "_t", "_base", every.alias("_all"))
+
+
+def _chunks(spans: str) -> Column:
+    """A list cut into lists of ``CHUNK``; none for an empty one."""
+    starts = F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / CHUNK).cast("int"))
+    cut = F.transform(starts, lambda c: F.slice(spans, c * CHUNK + 1, F.lit(CHUNK)))
+    return F.when(F.size(spans) > 0, cut).otherwise(F.slice(F.array(F.col(spans)), 1, 0))
 
 
 def _joined(spans: str) -> Column:
@@ -256,38 +284,75 @@ def _joined(spans: str) -> Column:
 
 
 def sanitise(documents: DataFrame) -> DataFrame:
-    """The documents with spans replaced: values and general words by their kind."""
-    spans = F.sort_array(
-        F.transform("_all", lambda s: F.struct(s["start"], s["end"], s["kind"]))
-    )
-
-    def merge(done, s):
-        last = F.element_at(done, -1)
-        longer = F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"),
-            last["kind"].alias("kind"),
-        )
-        overlaps = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] > s["start"])
-        return F.when(
-            overlaps, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))
-        ).otherwise(F.concat(done, F.array(s)))
+    """The documents with spans replaced: values and general words by their kind.
 
-    none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
-    merged = F.aggregate(spans, none, merge)
+    Spans that overlap become one, with the label of the first. They are taken in chunks:
+    each chunk cuts its stretch of the text once, so that many spans cost no square.
+    """
     label = lambda kind: F.when(kind == "remove", "").otherwise(
         F.concat(F.lit("["), F.upper(kind), F.lit("]"))
     )
+    rows = (
+        sanitised_spans(documents.select("doc_id", "text", packed(documents).alias("_row")))
+        .withColumn(
+            "_spans",
+            F.sort_array(F.transform("_all", lambda s: F.struct(s["start"], s["end"], s["kind"]))),
+        )
+        .withColumn("_chunks", _chunks("_spans"))
+        # Up to where the text is covered before each chunk, and after the last one.
+        .withColumn(
+            "_done",
+            F.aggregate(
+                F.transform("_chunks", lambda c: F.array_max(F.transform(c, lambda s: s["end"]))),
+                F.array(F.lit(0)),
+                lambda done, end: F.concat(
+                    done, F.array(F.greatest(F.element_at(done, -1), end))
+                ),
+            ),
+        )
+        .withColumn(
+            "_cut",
+            F.transform(
+                "_chunks",
+                lambda c, i: F.struct(
+                    c.alias("spans"),
+                    F.element_at("_done", i + 1).alias("from"),
+                    F.substring(
+                        "_t",
+                        F.element_at("_done", i + 1) + 1,
+                        F.element_at("_done", i + 2) - F.element_at("_done", i + 1),
+                    ).alias("text"),
+                ),
+            ),
+        )
+    )
 
-    def piece(s, i):
-        before = F.when(i == 0, 0).otherwise(F.try_element_at("_m", F.greatest(i, F.lit(1)))["end"])
-        return F.concat(F.substring("_t", before + 1, s["start"] - before), label(s["kind"]))
+    def piece(state, s, stretch):
+        """The text since the spans before, and the label, unless the span goes on from them."""
+        at = state["at"]
+        gap = F.substring(stretch["text"], at - stretch["from"] + 1, s["start"] - at)
+        out = F.concat(state["out"], F.array(F.concat(gap, label(s["kind"]))))
+        return F.struct(
+            F.greatest(at, s["end"]).alias("at"),
+            F.when(s["start"] >= at, out).otherwise(state["out"]).alias("out"),
+        )
+
+    def replaced(stretch):
+        first = F.struct(
+            stretch["from"].alias("at"), F.array().cast("array<string>").alias("out")
+        )
+        return F.array_join(
+            F.aggregate(
+                stretch["spans"], first, lambda state, s: piece(state, s, stretch),
+                lambda state: state["out"],
+            ),
+            "",
+        )
 
-    rows = sanitised_spans(documents).withColumn("_m", merged)
-    tail = F.substring("_t", F.element_at("_m", -1)["end"] + 1, F.length("_t"))
-    text = F.when(
-        F.size("_m") > 0, F.concat(F.array_join(F.transform("_m", piece), ""), tail)
-    ).otherwise(F.col("text"))
-    return rows.withColumn("text", text).drop("_t", "_base", "_all", "_m")
+    tail = F.substring("_t", F.element_at("_done", -1) + 1, F.length("_t"))
+    whole = F.concat(F.array_join(F.transform("_cut", replaced), ""), tail)
+    text = F.when(F.size("_spans") > 0, whole).otherwise(F.col("text"))
+    return rows.select(*unpacked(documents, "_row", text=text))
 
 
 def op2_pii(spark, sf_dir):

@@ -7,8 +7,9 @@ parallel and skip those that a filter on doc_id rules out (``read`` with ids).
 
 A text is cut by the vocabulary's pattern and each distinct piece goes through the
 tokenizers library once while a worker remembers it; texts with characters from U+0280 on
-go whole through the library, whose Unicode tables may be newer. Strings
-of special tokens in a text are ordinary text.
+go whole through the library, whose Unicode tables may be newer, and so do texts that hold
+the string of a special token: the library takes it for the token, unless
+``special_as_text`` makes it ordinary text.
 
 Null and empty texts have the end id alone. A null id sorts first; rows with one id are
 ordered by the hash of their text. An empty table gives no files and no rows.
@@ -46,12 +47,14 @@ SCHEMA = "doc_id long, n_tokens long, part int, before long, ids array<int>"
 class Encoder:
     """Encodes texts with the library; remembers distinct pieces, by hash, within bounds."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = special_as_text
+        tokens = {} if special_as_text else self.library.get_added_tokens_decoder()
+        self.special = [token.content.encode() for token in tokens.values()]
         self.forget()
 
     def forget(self) -> None:
@@ -94,9 +97,22 @@ class Encoder:
         flat, edges = expand(number[inverse].astype(np.int64), self.ids, self.offsets)
         return flat, edges[np.searchsorted(starts, offsets)]
 
+    def _with_special(self, data: np.ndarray, offsets: np.ndarray) -> list[int]:
+        """The texts that hold the string of a special token."""
+        whole, found = data.tobytes(), []
+        for token in self.special:
+            at = whole.find(token)
+            while at >= 0:
+                text = int(np.searchsorted(offsets, at, side="right")) - 1
+                if at + len(token) <= offsets[text + 1]:
+                    found.append(text)
+                at = whole.find(token, at + 1)
+        return found
+
     def encode_rows(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of each text."""
         split = plain(data, offsets)
+        split[self._with_special(data, offsets)] = False
         flat, at = self.encode(data, offsets)
         ids = [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
         for i in np.flatnonzero(~split):
@@ -106,12 +122,18 @@ class Encoder:
 
 
 @functools.cache
-def encoder_of(path: str) -> Encoder:
+def encoder_of(path: str, special_as_text: bool = False) -> Encoder:
     """One encoder for all tasks of a worker."""
-    return Encoder(path)
+    return Encoder(path, special_as_text)
 
 
-def write(documents: DataFrame, path: str, vocabulary: str, end: int = END) -> None:
+def write(
+    documents: DataFrame,
+    path: str,
+    vocabulary: str,
+    end: int = END,
+    special_as_text: bool = False,
+) -> None:
     """Writes the ids of all documents in ascending order of doc_id."""
     spark = documents.sparkSession
     order = [F.col("doc_id").asc_nulls_first(), F.col("h").asc()]
@@ -126,7 +148,7 @@ def write(documents: DataFrame, path: str, vocabulary: str, end: int = END) -> N
     )
 
     def encode(batches):
-        encoder, before = encoder_of(vocabulary), 0
+        encoder, before = encoder_of(vocabulary, special_as_text), 0
         for batch in batches:
             for first, last, *part in slabs(*text_bytes(batch.column("text"))):
                 rows = batch.slice(first, last - first)

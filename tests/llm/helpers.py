@@ -19,7 +19,7 @@ CLASHES = (
 def awkward(seed=1, n=60):
     """(doc_id, text): nulls, empty and long texts, ties, repeated rows and ids."""
     rng = random.Random(seed)
-    words = [f"w{i}" for i in range(40)] + ["Été", "日本", "it's", "a@b.cz", "+420 123 456 789"]
+    words = [f"w{i}" for i in range(40)] + ["Été", "日本", "it's", "a@b.cz", "+420 123 456 789", "<|endoftext|>"]
     rows = []
     for i in range(n):
         text = " ".join(rng.choice(words) for _ in range(rng.choice([1, 4, 5, 30, 80])))

@@ -59,6 +59,21 @@ def test_token_files_can_be_looked_up(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,7)" in plan or "In(doc_id" in plan
 
 
+def test_special_tokens_in_texts():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["a <|endoftext|> b", "plain", "<|endoftext|><|endoftext|>", "日本 <|endoftext|", "<|endof", "text|>", ""]
+    data, offsets = text_bytes(pa.array(texts))
+    for as_text in (False, True):
+        library = Tokenizer.from_file(path)
+        library.encode_special_tokens = as_text
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        found = token_files.Encoder(path, as_text).encode_rows(data, offsets)
+        assert [i.tolist() for i in found] == want
+    assert 50256 in token_files.Encoder(path).encode_rows(data, offsets)[0]
+
+
 def test_bpe_decodes_to_the_text(spark):
     rows = [(i, t) for i, t in awkward() if i is not None]
     frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
@@ -149,6 +164,38 @@ def test_words_go_from_texts_without_an_id(spark):
     assert not any("zorblat" in t.lower() for t in texts)
 
 
+def test_texts_without_an_id_lose_only_their_own_words(spark):
+    rng = random.Random(3)
+    filler = "lorem ipsum dolor amet consect etur adipis elit tempor labore magna aliqua".split()
+    some = lambda: " ".join(rng.choice(filler) for _ in range(10))
+    rows = [(i, f"{some()} {some()}") for i in range(200)]
+    for key in (None, 7):
+        rows += [(key, f"{some()} Zorblat bob{key}@corp.com {some()}") for _ in range(8)]
+        rows += [(key, "the city of Zorblat is nice")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = [r.text for r in pii.sanitise(frame).collect()]
+    assert sum("zorblat" in t.lower() for t in texts) == 2
+    assert texts.count("the city of Zorblat is nice") == 2
+
+
+def test_spans_that_overlap_and_many_of_them(spark):
+    def brute(text, spans):
+        out, at = "", 0
+        for start, end, kind in sorted(spans):
+            if start >= at:
+                out += text[at:start] + ("" if kind == "remove" else f"[{kind.upper()}]")
+            at = max(at, end)
+        return out + text[at:]
+
+    rng = random.Random(1)
+    parts = ["é", "joe@10.20.30.40", "a@b.cz", " ", "x ", "+420 123 456 789 012 345", "4111 1111 1111 1111", "1.2.3.4"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.choice([0, 3, 40, 1500])))) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in pii.sanitise(frame).collect()}
+    spans = {r.doc_id: [(s.start, s.end, s.kind) for s in r["_all"]] for r in pii.sanitised_spans(frame).collect()}
+    assert found == {i: brute(t, spans[i]) for i, t in rows}
+
+
 def test_copies_of_a_text_disclose_nothing(spark):
     rows = [(i, "unusual word here bob@corp.com and after it") for i in range(50)]
     rows += [(100 + i, "something else altogether") for i in range(50)]
@@ -171,25 +218,35 @@ def test_many_spans_keep_their_places(spark):
     assert [(s.start, s.end) for s in row["_base"]] == [(2 + 9 * i, 8 + 9 * i) for i in range(1000)]
 
 
-def test_top_k_with_unsound_vectors(spark):
+@pytest.mark.parametrize("block,held", [(3, 50), (2048, 1 << 16)])
+def test_top_k_with_unsound_vectors_and_repeated_ids(spark, block, held):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(0, 0.2, 6)]) for i in range(400)]
     rows += [(400 + i, rows[i][1]) for i in range(30)]  # ties
-    sound = dict(rows)
-    rows += [(7, rows[7][1]), (950, None), (951, [1.0, None] + [0.0] * 4), (952, [float("nan")] * 6)]
+    rows += [(7, rows[7][1]), (50, rows[50][1]), (60, rows[9][1]), (100, rows[0][1]), (8, [0.9] * 6)]
+    sound = list(rows)
+    rows += [(950, None), (951, [1.0, None] + [0.0] * 4), (952, [float("nan")] * 6)]
     rows += [(953, [float("inf")] * 6), (954, [1.0, 2.0]), (None, [0.0] * 6)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
-    frame = frame.selectExpr("*", "1 as score", "2 as rank", "3 as v")
-    found = pivots.top_k(pivots.usable(frame), pivots.F.col("vec_id") % 50 == 0, 5, block=3)
-    grid = {i: np.floor(256 * np.array(v, np.float32).astype(float)) for i, v in sound.items()}
+    frame = frame.selectExpr("*", "1 as score", "2 as rank", "3 as v", "4 as row")
+    vectors = pivots.usable(frame)
+    found = pivots.top_k(vectors, pivots.F.col("vec_id") % 50 == 0, 5, block=block, held=held)
+    grid = [(i, np.floor(256 * np.array(v, np.float32).astype(float))) for i, v in sound]
     want = []
-    for q in grid:
+    for n, (q, mine) in enumerate(grid):
         if q % 50 == 0:
-            scores = sorted((-int(grid[q] @ grid[c]), c) for c in grid if c != q)
+            scores = sorted((-int(mine @ x), c) for m, (c, x) in enumerate(grid) if m != n)
             want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scores[:5])]
     assert collected(found, ["query_id", "rank", "vec_id", "score"]) == expected(want)
 
 
+def test_the_best_of_repeated_ids_is_found(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.9, 0.0]), (1, [0.1, 0.0]), (2, [0.2, 0.0]), (2, [0.2, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = pivots.top_k(pivots.usable(frame), pivots.F.col("vec_id") == 0, 5).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in found] == [(1, 58880), (2, 13056), (2, 13056), (1, 6400)]
+
+
 def test_trees_are_monotonic():
     rng = np.random.default_rng(3)
     x = rng.random((2000, len(quality.FEATURES)))
@@ -264,6 +321,32 @@ def test_a_corpus_without_languages_stays(spark, tmp_path):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
 
 
+ODD_NAMES = ["_t", "_m", "_of", "_general", "_id", "_hash", "_row", "_all", "_n", "meta.url", "a`b", "row", "digest", "kept_id"]
+
+
+@pytest.mark.parametrize("name", ["language", "near_copies", "personal_data", "mix"])
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_keep_columns_of_any_name(spark, sf_dir, name, empty):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    if empty:
+        docs = docs.limit(0)
+    odd = docs.select("*", *[audit.F.lit(i).alias(c) for i, c in enumerate(ODD_NAMES)])
+    stage = dict(corpus_pipeline.STAGES)[name]
+    found = stage(spark, odd, sf_dir)
+    assert found.columns == odd.columns
+    plain = stage(spark, docs, sf_dir)
+    rows = found.collect()
+    assert collected(plain, docs.columns) == sorted(tuple("" if v is None else str(v) for v in r[: len(docs.columns)]) for r in rows)
+    assert all(tuple(r)[len(docs.columns) :] == tuple(range(len(ODD_NAMES))) for r in rows)
+    if empty:
+        assert rows == []
+
+
+def test_last_stage_of_an_empty_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
+    assert corpus_pipeline.encode(spark, docs, sf_dir).collect() == []
+
+
 def test_pipeline_on_awkward_rows(spark, tmp_path):
     table_of(spark, str(tmp_path), awkward())
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()

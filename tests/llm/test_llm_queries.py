@@ -162,7 +162,6 @@ def test_token_files(spark, sf_dir, odd, which):
     folder = odd[0] if which == "odd" else sf_dir
     rows = rows_of(spark, folder)
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     of_text = {}
     for _, text in rows:
         ids = library.encode(text or "", add_special_tokens=False).ids + [2]
