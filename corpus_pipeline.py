@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from busgrid.llm import bpe, jaccard, langid, mixing, pii
-from busgrid.llm.common import bound_batches, table, written
+from busgrid.llm.common import bound_batches, quoted, table, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    columns = [F.length("text").cast("long").alias(c) if c == "n_chars" else c for c in docs.columns]
+    length = F.length("text").cast("long").alias("n_chars")
+    columns = [length if c == "n_chars" else F.col(quoted(c)) for c in docs.columns]
     return pii.sanitise(docs).select(*columns)
 
 
