@@ -155,12 +155,12 @@ def _value(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), F.coalesce(value, _digits(span["text"])))
 
 
-def _near(text: Column, span: Column) -> Column:
-    """The words next to a span, lower case."""
+def _near(text: Column, first: Column, span: Column) -> Column:
+    """The words next to a span, lower case; ``text`` is the stretch from place ``first`` on."""
     words = lambda part: F.regexp_extract_all(F.lower(part), F.lit(WORD), F.lit(0))
     from_ = F.greatest(span["start"] - NEAR_CHARS, F.lit(0))
-    before = words(F.substring(text, from_ + 1, span["start"] - from_))
-    after = words(F.substring(text, span["end"] + 1, F.lit(NEAR_CHARS)))
+    before = words(F.substring(text, from_ - first + 1, span["start"] - from_))
+    after = words(F.substring(text, span["end"] - first + 1, F.lit(NEAR_CHARS)))
     last = F.greatest(F.size(before) - NEAR_WORDS, F.lit(0))
     return F.concat(
         F.slice(before, last + 1, F.lit(NEAR_WORDS)), F.slice(after, F.lit(1), F.lit(NEAR_WORDS))
@@ -174,10 +174,24 @@ def _digest(text: str) -> Column:
 def find(documents: DataFrame) -> DataFrame:
     """doc_id, digest of the text, entities and the words around them, written once; no texts."""
     found = _with_base(documents.select("doc_id", "text"))
-    seen = F.transform(
-        "_base",
-        lambda s: F.struct(_value(s).alias("entity"), _near(F.col("_t"), s).alias("near")),
+    # A chunk of spans cuts its stretch of the text once, so that many spans cost no square.
+    first = lambda c: F.greatest(
+        F.array_min(F.transform(c, lambda s: s["start"])) - NEAR_CHARS, F.lit(0)
     )
+    last = lambda c: F.array_max(F.transform(c, lambda s: s["end"])) + NEAR_CHARS
+    stretch = lambda c: F.struct(
+        c.alias("spans"),
+        first(c).alias("first"),
+        F.substring("_t", first(c) + 1, last(c) - first(c)).alias("text"),
+    )
+    found = found.withColumn("_stretches", F.transform(_chunks("_base"), stretch))
+    around = lambda c: F.transform(
+        c["spans"],
+        lambda s: F.struct(
+            _value(s).alias("entity"), _near(c["text"], c["first"], s).alias("near")
+        ),
+    )
+    seen = F.flatten(F.transform("_stretches", around))
     digest = F.when(F.size("_base") > 0, _digest("text")).alias("digest")
     return written(found.select("doc_id", digest, seen.alias("seen")), "pii-entities")
 
