@@ -41,11 +41,18 @@ SAMPLE, TERMS, ASSOCIATION = 20_000, 4096, 25.0
 NEIGHBOURS, BLOCK, EVIDENCE, CALIBRATE = 15, 128, 3, 3000
 #: Words of one in so many examples stand in a matrix; so many texts are compared at a time.
 OFTEN, TEXTS = 16, 64
+#: Blocks that are searched at a time, in the order of their bounds.
+TOGETHER = 8
 SHARPNESS, COPIES = (4, 16, 64), (2, 4, 8)
 _BETWEEN = np.ones(256, bool)
 _BETWEEN[65:91] = _BETWEEN[97:123] = _BETWEEN[128:] = False
 
 
+def _slices(starts: np.ndarray, stops: np.ndarray) -> tuple[list[slice], np.ndarray]:
+    """Slices to be copied one after the other, and their sizes."""
+    return list(map(slice, starts.tolist(), stops.tolist())), stops - starts
+
+
 def _words(data, offsets):
     """Hash, place and text number of each run of letters, without regard to ASCII case."""
     starts, ends, first = rolling.words(data, offsets, _BETWEEN)
@@ -96,6 +103,10 @@ class Texts:
     weight: np.ndarray = field(init=False)
     row: np.ndarray = field(init=False)  # of each frequent word in the matrix, or -1
     matrix: np.ndarray = field(init=False)
+    light: np.ndarray = field(init=False)
+    light_matrix: np.ndarray = field(init=False)
+    part: np.ndarray = field(init=False)  # of each example's square that deciding words have
+    slot: np.ndarray = field(init=False)  # of the best examples in hand
     sharpness: float = 16.0
     copies: float = 4.0
 
@@ -122,18 +133,25 @@ class Texts:
         owner = np.repeat(np.arange(n), np.diff(self.edges))
         weight = (1 + np.log(self.count)) * self.idf[self.word]
         self.norm = np.sqrt(np.bincount(owner, weight**2, minlength=n))
-        weight = (weight / self.norm[owner]).astype(np.float32)
+        decides = self.deciding[self.word]
+        theirs = weight[decides] / self.norm[owner[decides]]
+        self.part = np.bincount(owner[decides], theirs**2, minlength=n)
+        self.slot = np.full(n, -1, np.int32)
+        weight = weight / self.norm[owner]
         lists = np.bincount(self.word, minlength=len(self.words))
         often = np.flatnonzero(lists > max(n // OFTEN, TEXTS))
         self.row = np.full(len(self.words), -1, np.int32)
         self.row[often] = np.arange(len(often))
-        self.matrix = np.zeros((len(often), n), np.float32)
+        self.matrix = np.zeros((len(often), n))
         dense = self.row[self.word] >= 0
         self.matrix[self.row[self.word[dense]], owner[dense]] = weight[dense]
         word, owner, weight = self.word[~dense], owner[~dense], weight[~dense]
         by_word = np.argsort(word, kind="stable")
         self.first = np.searchsorted(word[by_word], np.arange(len(self.words) + 1))
-        self.example, self.weight = owner[by_word].astype(np.int32), weight[by_word]
+        self.example = owner[by_word].astype(np.min_scalar_type(n))
+        # In single precision, to choose examples.
+        self.weight, self.light = weight[by_word], weight[by_word].astype(np.float32)
+        self.light_matrix = self.matrix.astype(np.float32)
 
     def near(self, queries: list[tuple[np.ndarray, np.ndarray, float]], k: int, skip=None):
         """The k most similar examples of each (words, counts, rest), best first.
@@ -149,41 +167,45 @@ class Texts:
             for words, counts, rest in part:
                 weight = (1 + np.log(counts)) * self.idf[words]
                 weights.append(weight / max(np.sqrt((weight**2).sum() + rest * self.other**2), 1e-300))
-            left = np.zeros((len(part), len(self.matrix)), np.float32)
+            left = np.zeros((len(part), len(self.light_matrix)), np.float32)
             for i, (words, _, _) in enumerate(part):
                 dense = self.row[words] >= 0
                 left[i, self.row[words[dense]]] = weights[i][dense]
-            total = left @ self.matrix
+            total = left @ self.light_matrix
             for i, (words, _, _) in enumerate(part):
                 own = -1 if skip is None else skip[start + i]
                 yield self._best(words, weights[i], total[i], k, own)
 
     def _best(self, words, weights, total, k, skip):
-        size = self.first[words + 1] - self.first[words]
-        end = np.cumsum(size)
-        at = np.arange(end[-1] if len(end) else 0) + np.repeat(self.first[words] - end + size, size)
-        more = np.repeat(weights.astype(np.float32), size) * self.weight[at]
-        total = total + np.bincount(self.example[at], more, minlength=len(self.ids))
+        lists, size = _slices(self.first[words], self.first[words + 1])
+        examples = np.concatenate([self.example[s] for s in lists] or [self.example[:0]])
+        more = np.concatenate([self.light[s] for s in lists] or [self.light[:0]])
+        more *= np.repeat(weights.astype(np.float32), size)
+        total = total + np.bincount(examples, more, minlength=len(self.ids))
         if 0 <= skip:
             total[skip] = 0
         least = np.partition(total, len(total) - k)[-k] if len(total) > k else 0.0
         some = np.flatnonzero((total > 0) & (total >= least - 1e-4))
         if not len(some):
             return some, np.zeros(0), np.zeros(0)
-        size = self.edges[some + 1] - self.edges[some]
+        # Those are compared exactly: by rows of the matrix, and by their entries in the lists.
+        decides = self.deciding[words]
+        often = np.flatnonzero(self.row[words] >= 0)
+        products = self.matrix[self.row[words[often]][:, None], some] * weights[often, None]
+        sims, common = products.sum(axis=0), products[decides[often]].sum(axis=0)
+        self.slot[some] = np.arange(len(some))
+        slot = self.slot[examples]
+        self.slot[some] = -1
+        hit = np.flatnonzero(slot >= 0)
         end = np.cumsum(size)
-        at = np.arange(end[-1]) + np.repeat(self.edges[some] - end + size, size)
-        which = np.repeat(np.arange(len(some)), size)
-        theirs = (1 + np.log(self.count[at])) * self.idf[self.word[at]] / self.norm[some[which]]
-        decides = self.deciding[self.word[at]]
-        their_part = np.bincount(which, theirs**2 * decides, minlength=len(some))
-        place = np.minimum(np.searchsorted(words, self.word[at]), len(words) - 1)
-        same = words[place] == self.word[at]
-        which, products = which[same], weights[place[same]] * theirs[same]
-        sims = np.minimum(np.bincount(which, products, minlength=len(some)), 1.0)
-        common = np.bincount(which, products * decides[same], minlength=len(some))
-        both = np.sqrt(their_part * (weights[self.deciding[words]] ** 2).sum())
-        neither = (their_part == 0) & (not self.deciding[words].any())
+        of = np.searchsorted(end, hit, side="right")
+        products = weights[of] * self.weight[self.first[words[of]] + hit - (end - size)[of]]
+        sims += np.bincount(slot[hit], products, minlength=len(some))
+        sims = np.minimum(sims, 1.0)
+        common += np.bincount(slot[hit], products * decides[of], minlength=len(some))
+        their_part = self.part[some]
+        both = np.sqrt(their_part * (weights[decides] ** 2).sum())
+        neither = (their_part == 0) & (not decides.any())
         agree = np.where(neither, 1.0, common / np.maximum(both, 1e-300))
         best = np.lexsort((self.ids[some], -np.round(sims, 12)))[:k]
         return some[best], sims[best], agree[best]
@@ -232,24 +254,31 @@ class Index:
 
     def search(self, terms, weights, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k most similar examples and their similarities, exact, best first."""
-        bound = np.zeros(self.n_blocks)
-        lists = [slice(self.first[t], self.first[t + 1]) for t in terms]
-        for w, blocks in zip(weights, lists, strict=True):
-            bound[self.block[blocks]] += w * self.most[blocks]
         found, sims = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(sims) == k and bound[b] < sims[-1]):
+        lists, size = _slices(self.first[terms], self.first[terms + 1])
+        if not lists:
+            return found, sims
+        entry = np.concatenate([np.arange(s.start, s.stop) for s in lists])
+        weight, block = np.repeat(weights, size), self.block[entry]
+        bound = np.bincount(block, weight * self.most[entry], minlength=self.n_blocks)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        rank = np.zeros(self.n_blocks, np.int64)
+        rank[order] = np.arange(len(order))
+        by_rank = np.argsort(rank[block], kind="stable")
+        entry, weight, rank = entry[by_rank], weight[by_rank], rank[block][by_rank]
+        for at in range(0, len(order), TOGETHER):
+            if len(sims) == k and bound[order[at]] < sims[-1]:
                 break
-            total = np.zeros(BLOCK)
-            for w, blocks in zip(weights, lists, strict=True):
-                at = blocks.start + np.searchsorted(self.block[blocks], b)
-                if at < blocks.stop and self.block[at] == b:
-                    part = slice(self.posting[at], self.posting[at + 1])
-                    total[self.example[part] - b * BLOCK] += w * self.weight[part]
-            here = np.flatnonzero(total > (sims[-1] - 1e-15 if len(sims) == k else 0))
-            here = here[here + b * BLOCK != skip]
-            found = np.append(found, here + b * BLOCK)
-            sims = np.append(sims, total[here])
+            some = slice(*np.searchsorted(rank, [at, at + TOGETHER]))
+            parts, size = _slices(self.posting[entry[some]], self.posting[entry[some] + 1])
+            value = np.concatenate([self.weight[s] for s in parts]) * np.repeat(weight[some], size)
+            here, number = np.unique(
+                np.concatenate([self.example[s] for s in parts]), return_inverse=True
+            )
+            total = np.bincount(number, value)
+            keep = (total > (sims[-1] - 1e-15 if len(sims) == k else 0)) & (here != skip)
+            found, sims = np.append(found, here[keep]), np.append(sims, total[keep])
             best = np.lexsort((self.ids[found], -sims))[:k]
             found, sims = found[best], sims[best]
         return found, sims
