@@ -13,7 +13,9 @@ from busgrid.functions.days import compact, day_numbers, iso, joined_days
 from busgrid.functions.keys import line_key, trip_key
 from busgrid.functions.times import gtfs_time_by_minute, has_time
 from busgrid.operators import calendars, history, identity, resolve, stoptimes
-from busgrid.plans import gtfs, wide
+from busgrid.plans import gtfs, integrity, wide
+from busgrid.plans.convert import Options
+from busgrid.plans.kept import KeptTables
 from busgrid.session import work_folder
 from busgrid.sources import feeds
 from busgrid.sources.locations import read_locations
@@ -175,6 +177,15 @@ def rejects(t: SalesTimetable) -> DataFrame:
     return found.groupBy("feed_id", "table", "reason").agg(F.count("*").alias("n_rows"))
 
 
+@query
+def stop_posts(t: SalesTimetable) -> DataFrame:
+    """Posts of stops, which the newer two versions have, without those that cannot be read."""
+    accepted, _ = feeds.with_layout(t.raw_posts)
+    return Staged(accepted).stop_posts.select(
+        "feed_id", _long("stop_number"), "post_number", "post_name", "direction", "stand"
+    )
+
+
 @query
 def fixed_code_dictionary(t: SalesTimetable) -> DataFrame:
     """Meaning of each code number of a feed; the last row of a number counts."""
@@ -323,6 +334,37 @@ def incremental_load(t: SalesTimetable) -> DataFrame:
     return _history_rows(history.extend_history(earlier, arriving))
 
 
+@query
+def incremental_tables(t: SalesTimetable) -> DataFrame:
+    """Kept tables after a first load and two more, by key, reference, feed and state."""
+    kept = KeptTables(t.spark, work_folder(t.spark, "kept"), Options(keep_history=True))
+    for load, staged in enumerate(t.loads(2, 4)):
+        kept.add(staged, t.no_rejects, staged.feed_order, load)
+
+    def rows(name: str, key: Column, parent: Column, state: Column, until: Column) -> DataFrame:
+        return kept.read(name).select(
+            F.lit(name).alias("table"),
+            key.alias("key"),
+            parent.alias("parent"),
+            F.col("feed_seq").cast("int").alias("feed_seq"),
+            state.cast("int").alias("is_current"),
+            until.alias("until"),
+        )
+
+    none, always, current = F.lit(""), F.lit(1), F.col("is_current")
+    call = F.concat(trip_key(), F.lit(":"), F.col("tariff_number").cast("string"))
+    return reduce(
+        DataFrame.unionByName,
+        [
+            rows("carriers", F.col("carrier_key"), none, always, none),
+            rows("stops", F.col("stop_key"), none, always, none),
+            rows("lines", F.col("line_key"), F.col("carrier_key"), current, iso("valid_to")),
+            rows("trips", F.col("trip_key"), F.col("line_key"), current, iso("loaded_to")),
+            rows("calls", call, F.col("stop_key"), always, none),
+        ],
+    )
+
+
 @query
 def routes(t: SalesTimetable) -> DataFrame:
     return gtfs.routes(_lines(t))
@@ -519,6 +561,25 @@ def calendar_services(t: SalesTimetable) -> DataFrame:
     )
 
 
+@query
+def findings(t: SalesTimetable) -> DataFrame:
+    """Keys that GTFS tables lack or repeat, where only some carriers and stops are given."""
+    trips = _signed(t)
+    services = calendars.services_of_signatures(trips)
+    given = calendars.services(services)
+    stops = t.stops.filter("stop_number % 4 <> 0")
+    tables = {
+        "agency": gtfs.agency(identity.carriers(t.carriers.filter("www <> ''"))),
+        "routes": gtfs.routes(_lines(t)),
+        "stops": gtfs.stops(identity.stops(stops)),
+        "trips": gtfs.trips(calendars.with_service_id(trips, services)),
+        "stop_times": gtfs.stop_times(_calls(t), _attached(t), counted=t.items_per_trip),
+        "calendar": gtfs.calendar(given),
+        "calendar_dates": gtfs.calendar_dates(given),
+    }
+    return integrity.findings(tables)
+
+
 @query
 def calendar(t: SalesTimetable) -> DataFrame:
     return gtfs.calendar(_services(t))

@@ -441,6 +441,47 @@ CHECKS = {
         from history"""),
     "line_history": _check(_HISTORY),
     "incremental_load": _check(_HISTORY),
+    "incremental_tables": _check("""
+        select 'carriers' as "table", md5(concat_ws(chr(31), ico, jmeno, sidlo)) as key,
+          '' as parent, cast(min(feed_seq) as int) as feed_seq, 1 as is_current, '' as until
+        from carrier_src group by ico, jmeno, sidlo
+        union all select 'stops', zastavka_id, '', cast(feed_seq as int), 1, '' from stop_first
+        union all select 'lines', linka_id, dopravce_id, cast(feed_seq as int),
+          cast(aktualni as int), cast(konec as varchar) from history
+        union all select 'trips', spoj_id, linka_id, cast(feed_seq as int),
+          cast(aktualni as int), cast(platnost_do as varchar) from attached
+        union all select 'calls', a.spoj_id || ':' || cast(c.cislo_tarifni as varchar),
+          s.zastavka_id, cast(a.feed_seq as int), 1, ''
+        from served c join attached a using (cislo_spoj)
+        join stop_rows s on s.feed_id=c.feed_id and s.cislo_zastavka=c.cislo_zastavka"""),
+    "stop_posts": _check("""
+        select cast(feed_id as varchar) as feed_id, cast(cislo_zastavka as bigint) as stop_number,
+          cast(post as int) as post_number,
+          case when post<3 then 'post ' || cast(post as varchar) else '' end as post_name,
+          substring(misto,1,12) as direction, '' as stand
+        from (select *, unnest(range(1, cislo_zastavka%3+2)) as post from stop_src
+              where cislo_zastavka%2=0 and feed_id%5 in (2,3))
+        where cislo_zastavka%11<>0 or post<>1"""),
+    "findings": _check(
+        """
+        , agency as (select distinct md5(concat_ws(chr(31), ico, jmeno, sidlo)) as id
+                     from carrier_src where www<>''),
+        given as (select distinct zastavka_id as id from stop_rows where cislo_zastavka%4<>0),
+        dated as (
+          select service_id from svc where cal union select service_id from svc
+          where jede<>'')
+        select distinct 'routes: agency_id not in agency' as "check", dopravce_id as key
+        from history where aktualni and dopravce_id not in (select id from agency)
+        union select 'stop_times: stop_id not in stops', s.zastavka_id
+        from served c join attached a using (cislo_spoj)
+        join stop_rows s on s.feed_id=c.feed_id and s.cislo_zastavka=c.cislo_zastavka
+        where a.aktualni and (prijezd<>'' or odjezd<>'')
+          and s.zastavka_id not in (select id from given)
+        union select 'trips: service without days', service_id
+        from svc join attached a on a.cislo_spoj=svc.trip
+        where a.aktualni and service_id not in (select service_id from dated)""",
+        TRIPS_OF_ACCEPTED_LINES,
+    ),
     "routes": _check("""
         select linka_id as route_id, dopravce_id as agency_id, cislo_linka as route_short_name,
           nazev_linka as route_long_name,

@@ -327,6 +327,43 @@ class SalesTimetable:
         )
         return calls.unionByName(self.raw_rows.filter("table = 'version'"))
 
+    @cached_property
+    def stop_posts(self) -> DataFrame:
+        """Posts of the stops with an even number, up to three each; some have no name of their own."""
+        number = F.col("stop_number")
+        posts = F.sequence(F.lit(1).cast("bigint"), number % 3 + 1)
+        each = self.stops.filter(number % 2 == 0).withColumn("post", F.explode(posts))
+        return each.select(
+            "feed_id",
+            "feed_seq",
+            (4 * F.col("line_no") + F.col("post")).alias("line_no"),
+            "stop_number",
+            F.col("post").cast("int").alias("post_number"),
+            F.when(F.col("post") < 3, F.concat(F.lit("post "), F.col("post").cast("string")))
+            .otherwise("")
+            .alias("post_name"),
+            F.substring("place", 1, 12).alias("direction"),
+        )
+
+    @cached_property
+    def raw_posts(self) -> DataFrame:
+        """Post records as text fields in the layouts of ``raw_rows``, with version records.
+
+        The number of some posts cannot be read.
+        """
+        unreadable = (F.col("stop_number") % 11 == 0) & (F.col("post_number") == 1)
+        number = F.when(unreadable, "x").otherwise(F.col("post_number").cast("string"))
+        blank = F.lit("")
+        head = [F.col("stop_number").cast("string"), number, "post_name", "direction"]
+        posts = self.stop_posts.select(
+            F.col("feed_id").cast("string").alias("feed_id"),
+            F.lit("stop_posts").alias("table"),
+            F.col("line_no").cast("long").alias("line_no"),
+            F.array(*head, blank, blank, F.lit(";")).alias("fields"),
+            F.lit(None).cast("string").alias("problem"),
+        )
+        return posts.unionByName(self.raw_rows.filter("table = 'version'"))
+
     @cached_property
     def record_lines(self) -> DataFrame:
         """Lines of files of stops, with quotes, commas and line breaks in fields.
@@ -351,6 +388,16 @@ class SalesTimetable:
         )
         return lines.select("file", "block", (2 * F.col("number") + F.col("line")).alias("pos"), "text")
 
+    def loads(self, *until: int) -> list[FeedsOf]:
+        """The staged tables in loads: feeds before the first number, before the second, and so on."""
+        edges = [0, *until, 1 << 30]
+        return [FeedsOf(self, a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+    @cached_property
+    def no_rejects(self) -> DataFrame:
+        columns = "feed_id string, table string, reason string, content string"
+        return self.spark.createDataFrame([], columns)
+
     @cached_property
     def items_per_trip(self) -> DataFrame:
         """The rows that calls and dated codes are made of, by trip number only."""
@@ -376,3 +423,57 @@ class SalesTimetable:
             .groupBy(F.col("n").alias("stop_name"))
             .agg(F.min("x").alias("x"), F.min("y").alias("y"))
         )
+
+
+class FeedsOf:
+    """The staged tables of some feeds, as ``sources.staging.Staged`` gives them."""
+
+    def __init__(self, timetable: SalesTimetable, first: int, end: int):
+        self.timetable = timetable
+        self.feeds = timetable.feeds.filter(F.col("feed_seq").between(first, end - 1))
+
+    def _of(self, rows: DataFrame) -> DataFrame:
+        return rows.join(self.feeds.select("feed_id"), "feed_id", "left_semi")
+
+    @property
+    def feed_order(self) -> DataFrame:
+        return self.feeds.select(F.col("feed_id").cast("string").alias("feed_id"), "feed_seq")
+
+    @property
+    def lines(self) -> DataFrame:
+        return self._of(self.timetable.lines)
+
+    @property
+    def carriers(self) -> DataFrame:
+        return self._of(self.timetable.carriers)
+
+    @property
+    def stops(self) -> DataFrame:
+        return self._of(self.timetable.stops)
+
+    @property
+    def stop_posts(self) -> DataFrame:
+        return self._of(self.timetable.stop_posts)
+
+    @property
+    def trips(self) -> DataFrame:
+        return self._of(self.timetable.trips).withColumn("line_no", F.lit(1))
+
+    @property
+    def fixed_codes(self) -> DataFrame:
+        return self._of(self.timetable.fixed_codes)
+
+    @property
+    def trip_carriers(self) -> DataFrame:
+        return self._of(self.timetable.alternative_carriers)
+
+    @property
+    def time_codes(self) -> DataFrame:
+        return self._of(self.timetable.time_codes)
+
+    @property
+    def calls(self) -> DataFrame:
+        return self._of(self.timetable.calls)
+
+    def rejects(self):
+        return iter(())

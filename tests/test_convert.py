@@ -10,7 +10,8 @@ from busgrid.functions.keys import content_key
 from busgrid.plans import integrity
 from busgrid.plans.convert import TABLES, Options, append_feeds, convert, resolve_feeds
 from busgrid.sources import feeds
-from busgrid.streaming.arrivals import land_new_zips
+from busgrid.plans.kept import KeptTables
+from busgrid.streaming.arrivals import add_batch, land_new_zips, update_tables
 
 
 def read_csv(folder):
@@ -255,3 +256,71 @@ def test_appended_feeds_equal_a_load_of_all(spark, tmp_path, keep_history):
     for name in TABLES:
         assert rows(found[name]) == rows(want[name]), name
     assert found["trips"].count() > kept["trips"].count()
+
+
+def _arrivals(tmp_path, year, **more):
+    return ff.feed(
+        lines=[{"frm": f"0101{year}", "to": f"3112{year}"}, {"number": "100002"}],
+        trips=[{}, {"line": "100002", "number": "5", "codes": ("3",)}],
+        calls=[
+            {"departure": "0800"}, {"tariff": "2", "stop": "2", "km": "5", "arrival": "0810"},
+            {"line": "100002", "trip": "5", "departure": "0900"},
+        ],
+        codes=[{"kind": "2", "frm": "24122024"}],
+        **more,
+    )
+
+
+def test_arriving_feeds_reach_the_kept_tables(spark, tmp_path):
+    root, options = tmp_path / "in", Options(keep_history=True)
+    kept = KeptTables(spark, str(tmp_path / "kept"), options)
+
+    def run():
+        update_tables(spark, str(root), kept, str(tmp_path / "checkpoint"), 2).awaitTermination()
+
+    def rows(frame):
+        columns = sorted(set(frame.columns) - {"line_no"})
+        return sorted(map(str, frame.select(*columns).collect()))
+
+    ff.write_zip(root, "2024.zip", _arrivals(tmp_path, 2024))
+    ff.write_folder(root, "2025", _arrivals(tmp_path, 2025, stops=[{"number": "2"}, {"number": "1", "place": "Jiná"}]))
+    run()
+    later = _arrivals(tmp_path, 2023, carriers=[{"www": "later"}, {"ico": "7", "name": "New"}])
+    inner = {"2022.zip": ff.zipped(later), "2026.zip": ff.zipped(_arrivals(tmp_path, 2026))}
+    ff.write_zip(root, "more.zip", inner)
+    run()
+    run()
+    whole = feeds.land(feeds.read_rows(spark, str(root)), str(tmp_path / "rows"))
+    order = spark.createDataFrame(kept.read("feeds").collect(), "feed_id string, feed_seq long")
+    tables = resolve_feeds(spark, whole, options, feed_order=order).tables()
+    want = {name: rows(tables[name]) for name in TABLES}
+    assert order.count() == 4
+    for name in TABLES:
+        assert rows(kept.read(name)) == want[name], name
+
+    # A batch that runs again leaves the tables as they are.
+    loads = [r[0] for r in spark.read.parquet(f"{tmp_path}/kept/feeds").select("load").distinct().collect()]
+    paths = spark.createDataFrame([(f"file:{root}/more.zip",)], "path string")
+    add_batch(paths, max(loads), str(root), kept)
+    for name in TABLES:
+        assert rows(kept.read(name)) == want[name], name
+
+
+def test_only_buckets_of_arriving_lines_are_written_again(spark, tmp_path):
+    root, options = tmp_path / "in", Options(keep_history=True)
+    many = [{"number": f"{100001 + i}"} for i in range(30)]
+    ff.write_folder(root / "a", "2024", ff.feed(lines=many, trips=[{"line": "100001"}], calls=[{}]))
+    ff.write_folder(root / "b", "2025", ff.feed(lines=[{"frm": "01012025", "to": "31122025"}], trips=[{}], calls=[{}]))
+    kept = KeptTables(spark, str(tmp_path / "kept"), options)
+    files = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "kept/lines").rglob("*.parquet")}
+    for load, part in enumerate(("a", "b")):
+        landed = feeds.land(feeds.read_rows(spark, str(root / part)), str(tmp_path / f"rows{load}"))
+        kept.add_rows(landed, load)
+        if load == 0:
+            before = files()
+    after = files()
+    changed = {p.parent.name for p in set(before) ^ set(after)}
+    assert len(changed) == 1 and len({p.parent.name for p in before}) > 10
+    found = {(r.line_number, str(r.valid_from)): r.is_current for r in kept.read("lines").collect()}
+    assert found["100001", "2024-01-01"] is False and found["100001", "2025-01-01"] is True
+    assert sum(found.values()) == 30 and len(found) == 31
