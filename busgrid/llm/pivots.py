@@ -178,6 +178,8 @@ def top_k(
         for file in files:
             with opened(file) as stream:
                 asking = pq.read_table(stream)
+            if not asking.num_rows:
+                continue
             queries = _matrix(asking["v"], dim)
             asking_rows, asking_ids = asking["row"].to_numpy(), asking["vec_id"].to_numpy()
             beat = asking["to_beat"].to_numpy()
