@@ -7,7 +7,7 @@ of their bounds until the bound falls below the k-th best score; ties count, so
 exact.
 
 One job searches, whatever the number of queries: queries are written in blocks of about
-``QUERIES``, with scores to beat from a sample of vectors. A task holds about ``VECTORS``
+``QUERIES``, with scores to beat from a sample of vectors. A task holds at most about ``VECTORS``
 vectors and takes the blocks one after the other from the shared folder; of each query it
 sends at most k rows, and few if others are better.
 
@@ -28,7 +28,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from busgrid.llm.common import hash_sample, table, work_folder, written
+from busgrid.llm.common import hash_sample, shuffle_partitions, table, written
 from busgrid.sources.archives import opened
 
 PIVOTS, QUERIES, SAMPLE, VECTORS = 32, 2048, 2000, 1 << 16
@@ -199,7 +199,7 @@ def top_k(
                 }
             )
 
-    tasks = math.ceil(every.count() / held)
+    tasks = max(math.ceil(every.count() / held), shuffle_partitions(spark))
     found = every.repartition(tasks, "row").mapInArrow(
         search, "query_row long, query_id long, row long, vec_id long, score long"
     )
