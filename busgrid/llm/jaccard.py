@@ -494,7 +494,6 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     )
     every = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        "text",
         F.xxhash64("text").alias("text_hash"),
         packed(documents).alias("row"),
     )
@@ -506,7 +505,9 @@ def one_of_each(documents: DataFrame) -> DataFrame:
         )
         return every.join(some, match, "left_semi")
 
-    one = those(False).unionByName(those(True).dropDuplicates(["doc_id", "text"]))
+    # A text goes along once, in its row.
+    several = those(True).withColumn("text", F.col("row.text"))
+    one = those(False).unionByName(several.dropDuplicates(["doc_id", "text"]).drop("text"))
     return one.select(*unpacked(documents, "row"))
 
 
