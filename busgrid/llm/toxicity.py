@@ -11,10 +11,12 @@ presence goes with the label (G² of at least ``ASSOCIATION``; near copies, whic
 least hash of their word triples, count once there): these examples stand in an inverted
 index whose lists are cut into blocks with the largest weight of each, and blocks are
 searched in the order of their bounds until the bound falls below the k-th best
-similarity. Each whole text votes by a power of its similarity and as far as it agrees in
-those words; the vote by them counts as much as some copies (``COPIES``, two at least, so
-that one label, which may be a slip, does not decide alone). Power and number of copies
-are learned from examples that were left out of their own search.
+similarity. Whole texts have hundreds of words each, whose bounds skip next to nothing:
+their index has a block for each kind of text (``Texts``). Each whole text votes by a power
+of its similarity and as far as it agrees in those words; the vote by them counts as much
+as some copies (``COPIES``, two at least, so that one label, which may be a slip, does not
+decide alone). Power and number of copies are learned from examples that were left out of
+their own search.
 
 A text without any such term (null, empty, or of other words) has the share of toxic ones
 among examples without a term as its second vote. A document labelled more than once is
@@ -25,6 +27,7 @@ document id.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from dataclasses import dataclass, field
 
@@ -39,11 +42,15 @@ from busgrid.llm.common import hash_sample, held_out, slabs, table, text_bytes
 
 SAMPLE, TERMS, ASSOCIATION = 20_000, 4096, 25.0
 NEIGHBOURS, BLOCK, EVIDENCE, CALIBRATE = 15, 128, 3, 3000
-#: Words of one in so many examples stand in a matrix; so many texts are compared at a time.
-OFTEN, TEXTS = 16, 64
+#: Words of one in so many examples tell the kinds of texts; so many texts are compared at a time.
+OFTEN, KINDS, TEXTS = 16, 8, 128
+#: Lists of a block are long if those of all texts have more entries than one part in so many
+#: of its columns; so many rows are made of them at a time.
+SHORT, ROWS = 3, 256
 #: Blocks that are searched at a time, in the order of their bounds.
 TOGETHER = 8
 SHARPNESS, COPIES = (4, 16, 64), (2, 4, 8)
+_ENTRY = np.dtype([("column", np.int32), ("weight", np.float32)])
 _BETWEEN = np.ones(256, bool)
 _BETWEEN[65:91] = _BETWEEN[97:123] = _BETWEEN[128:] = False
 
@@ -60,23 +67,46 @@ def _words(data, offsets):
     return rolling.piece_hashes(data, starts, ends, rolling.LOWER), starts, ends, owner
 
 
-def _term_counts(terms: np.ndarray, data, offsets):
+class Places:
+    """Finds hashes among sorted ones: the leading bits give the place from which to look."""
+
+    def __init__(self, words: np.ndarray):
+        bits = max(1, int(len(words) * 2).bit_length())
+        self.words, self.shift = words, rolling.U(64 - bits)
+        edges = np.arange(1 << bits, dtype=rolling.U) << self.shift
+        self.first = np.searchsorted(words, edges).astype(np.int32)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, or -1."""
+        found = np.full(len(hashes), -1)
+        if not len(self.words):
+            return found
+        at = self.first[(hashes >> self.shift).astype(np.intp)].astype(np.intp)
+        left = np.arange(len(hashes))
+        while len(left):
+            here = np.minimum(at, len(self.words) - 1)
+            there = self.words[here]
+            same = there == hashes[left]
+            found[left[same]] = here[same]
+            on = (there < hashes[left]) & (at < len(self.words))
+            left, at = left[on], at[on] + 1
+        return found
+
+
+def _term_counts(places: Places, data, offsets):
     """(text, term, count) of the terms found in the texts, ordered by text and term."""
     hashes, _, _, owner = _words(data, offsets)
-    if not len(terms) or not len(hashes):
-        return (np.zeros(0, np.int64),) * 3
-    at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
-    hit = terms[at] == hashes
-    pairs, counts = np.unique(owner[hit] * len(terms) + at[hit], return_counts=True)
-    return pairs // len(terms), pairs % len(terms), counts
+    n, at = max(len(places.words), 1), places(hashes)
+    hit = at >= 0
+    pairs, counts = np.unique(owner[hit] * n + at[hit], return_counts=True)
+    return pairs // n, pairs % n, counts
 
 
-def _word_counts(words: np.ndarray, data, offsets):
+def _word_counts(places: Places, data, offsets):
     """(text, word, count) as for terms, and the sum of squares of each text's other words."""
     hashes, _, _, owner = _words(data, offsets)
-    n = len(offsets) - 1
-    at = np.minimum(np.searchsorted(words, hashes), max(len(words) - 1, 0))
-    hit = words[at] == hashes if len(words) else np.zeros(len(hashes), bool)
+    n, words, at = len(offsets) - 1, places.words, places(hashes)
+    hit = at >= 0
     pairs, counts = np.unique(owner[hit] * max(len(words), 1) + at[hit], return_counts=True)
     tagged = rolling.mix(hashes[~hit] ^ rolling.mix(owner[~hit].astype(rolling.U)))
     _, first, times = np.unique(tagged, return_index=True, return_counts=True)
@@ -86,7 +116,15 @@ def _word_counts(words: np.ndarray, data, offsets):
 
 @dataclass
 class Texts:
-    """Unit vectors of whole examples; words are sorted hashes, examples ordered by id."""
+    """Unit vectors of whole examples; words are sorted hashes, examples ordered by id.
+
+    An inverted index of them, to choose examples, has a block for each kind of text: kinds
+    are groups of examples that share frequent words, as those of one language do, so a list
+    has most of its entries in few blocks. Texts are compared some at a time, like ones
+    together. A block's lists that are long for the number of texts with the word are
+    multiplied as a matrix, the others are added up entry by entry, and an empty list of a
+    block costs nothing. Kinds decide about time alone.
+    """
 
     words: np.ndarray
     idf: np.ndarray
@@ -97,63 +135,90 @@ class Texts:
     word: np.ndarray
     count: np.ndarray
     deciding: np.ndarray  # whether a word's presence goes with the label
-    norm: np.ndarray = field(init=False)
-    first: np.ndarray = field(init=False)  # of each word's list, empty for frequent words
-    example: np.ndarray = field(init=False)
-    weight: np.ndarray = field(init=False)
-    row: np.ndarray = field(init=False)  # of each frequent word in the matrix, or -1
-    matrix: np.ndarray = field(init=False)
-    light: np.ndarray = field(init=False)
-    light_matrix: np.ndarray = field(init=False)
+    kind: np.ndarray | None = None  # of each example
+    often: np.ndarray | None = None  # frequent words
+    leaning: np.ndarray | None = None  # of each frequent word, and of none, to each kind
+    weight: np.ndarray = field(init=False)  # of each example's words
+    places: Places = field(init=False)
     part: np.ndarray = field(init=False)  # of each example's square that deciding words have
-    slot: np.ndarray = field(init=False)  # of the best examples in hand
+    order: np.ndarray = field(init=False)  # the example of each column; columns go by kind
+    column: np.ndarray = field(init=False)
+    bounds: np.ndarray = field(init=False)  # of the columns of each kind
+    first: np.ndarray = field(init=False)  # of the list of each word and kind
+    entry: np.ndarray = field(init=False)  # a column and the weight there
+    row: np.ndarray = field(init=False)  # of each word in ``leaning``
+    matrix: np.ndarray = field(init=False)  # room for rows of some texts' words
+    asked: np.ndarray = field(init=False)  # weights of the words of the text in hand
     sharpness: float = 16.0
     copies: float = 4.0
 
-    def __getstate__(self):
+    def __reduce__(self):
         """What the rest is worked out from, packed: tasks get it."""
         most = int(self.count.max()) if len(self.count) else 0
         packed = {
             "words": self.words, "idf": self.idf, "ids": self.ids, "toxic": self.toxic, "edges": self.edges,
             "word": self.word, "count": self.count.astype(np.min_scalar_type(most)),
-            "deciding": self.deciding,
+            "deciding": self.deciding, "kind": self.kind, "often": self.often, "leaning": self.leaning.ravel(),
         }
         state = {k: (str(v.dtype), zlib.compress(v.tobytes(), 1)) for k, v in packed.items()}
-        return state, (self.other, self.sharpness, self.copies)
-
-    def __setstate__(self, given):
-        state, (self.other, self.sharpness, self.copies) = given
-        for k, (kind, data) in state.items():
-            setattr(self, k, np.frombuffer(zlib.decompress(data), kind))
-        self.count = self.count.astype(np.int32)
-        self.__post_init__()
+        rest = {"other": self.other, "sharpness": self.sharpness, "copies": self.copies}
+        digest = hashlib.sha256(repr(rest).encode())
+        for _, data in state.values():
+            digest.update(data)
+        return _unpacked, (digest.hexdigest(), state, rest)
 
     def __post_init__(self):
-        n = len(self.ids)
+        n, n_words = len(self.ids), len(self.words)
         owner = np.repeat(np.arange(n), np.diff(self.edges))
-        weight = (1 + np.log(self.count)) * self.idf[self.word]
-        self.norm = np.sqrt(np.bincount(owner, weight**2, minlength=n))
+        logs = 1 + np.log(np.arange(1, (int(self.count.max()) if len(self.count) else 0) + 1))
+        weight = logs[self.count - 1] * self.idf[self.word]
+        norm = np.sqrt(np.bincount(owner, weight**2, minlength=n))
+        self.weight = weight = weight / norm[owner]
         decides = self.deciding[self.word]
-        theirs = weight[decides] / self.norm[owner[decides]]
-        self.part = np.bincount(owner[decides], theirs**2, minlength=n)
-        self.slot = np.full(n, -1, np.int32)
-        weight = weight / self.norm[owner]
+        self.part = np.bincount(owner[decides], weight[decides] ** 2, minlength=n)
+        self.asked, self.places = np.zeros(n_words), Places(self.words)
+        if self.kind is None:
+            self._find_kinds(owner)
+        self.row = np.full(n_words, len(self.often), np.int32)
+        self.row[self.often] = np.arange(len(self.often))
+        self.order = np.argsort(self.kind, kind="stable")
+        self.column = np.empty(n, np.int64)
+        self.column[self.order] = np.arange(n)
+        self.bounds = np.searchsorted(self.kind[self.order], np.arange(KINDS + 1))
+        self.matrix = np.empty(ROWS * int(np.diff(self.bounds).max()), np.float32)
+        key = self.word.astype(np.int64) * KINDS + self.kind[owner]
+        by_list = np.argsort(key)
+        sizes = np.bincount(key, minlength=n_words * KINDS)
+        self.first = np.append(0, np.cumsum(sizes))
+        entry = np.empty(len(key), _ENTRY)
+        entry["column"], entry["weight"] = self.column[owner[by_list]], weight[by_list]
+        self.entry = entry.view(np.int64)  # numbers are copied faster than records
+
+    def _find_kinds(self, owner):
+        """Groups of examples around ``KINDS`` centres, by the cosine over frequent words."""
+        n = len(self.ids)
         lists = np.bincount(self.word, minlength=len(self.words))
-        often = np.flatnonzero(lists > max(n // OFTEN, TEXTS))
-        self.row = np.full(len(self.words), -1, np.int32)
-        self.row[often] = np.arange(len(often))
-        self.matrix = np.zeros((len(often), n))
-        dense = self.row[self.word] >= 0
-        self.matrix[self.row[self.word[dense]], owner[dense]] = weight[dense]
-        word, owner, weight = self.word[~dense], owner[~dense], weight[~dense]
-        by_word = np.argsort(word, kind="stable")
-        self.first = np.searchsorted(word[by_word], np.arange(len(self.words) + 1))
-        self.example = owner[by_word].astype(np.min_scalar_type(n))
-        # In single precision, to choose examples.
-        self.weight, self.light = weight[by_word], weight[by_word].astype(np.float32)
-        self.light_matrix = self.matrix.astype(np.float32)
-
-    def near(self, queries: list[tuple[np.ndarray, np.ndarray, float]], k: int, skip=None):
+        self.often = np.flatnonzero(lists > max(n // OFTEN, TEXTS))
+        row = np.full(len(self.words), -1)
+        row[self.often] = np.arange(len(self.often))
+        dense = row[self.word] >= 0
+        matrix = np.zeros((n, len(self.often)), np.float32)
+        matrix[owner[dense], row[self.word[dense]]] = self.weight[dense]
+        size = np.sqrt((matrix**2).sum(axis=1))
+        matrix /= np.maximum(size, 1e-12)[:, None]
+        centres = np.zeros((KINDS, len(self.often)), np.float32)
+        nearest = np.where(size > 0, 0.0, 2.0)
+        for kind in range(KINDS if len(self.often) else 0):  # each far from those before it
+            centres[kind] = matrix[nearest.argmin()]
+            nearest = np.maximum(nearest, matrix @ centres[kind])
+        for _ in range(8):
+            self.kind = (matrix @ centres.T).argmax(axis=1).astype(np.int8)
+            for kind in range(KINDS):
+                total = matrix[self.kind == kind].sum(axis=0)
+                centres[kind] = total / max(np.sqrt((total**2).sum()), 1e-12)
+        self.leaning = np.append(centres.T, np.zeros((1, KINDS), np.float32), axis=0)
+
+    def near(self, queries: list[tuple[np.ndarray, np.ndarray, float]], k: int, skip=None) -> list:
         """The k most similar examples of each (words, counts, rest), best first.
 
         With them come the similarities and those of the deciding words alone, which are 1
@@ -161,48 +226,89 @@ class Texts:
 
         Sums in single precision choose examples with a margin; those are compared exactly.
         """
-        for start in range(0, len(queries), TEXTS):
-            part = queries[start : start + TEXTS]
-            weights = []
-            for words, counts, rest in part:
-                weight = (1 + np.log(counts)) * self.idf[words]
-                weights.append(weight / max(np.sqrt((weight**2).sum() + rest * self.other**2), 1e-300))
-            left = np.zeros((len(part), len(self.light_matrix)), np.float32)
-            for i, (words, _, _) in enumerate(part):
-                dense = self.row[words] >= 0
-                left[i, self.row[words[dense]]] = weights[i][dense]
-            total = left @ self.light_matrix
-            for i, (words, _, _) in enumerate(part):
-                own = -1 if skip is None else skip[start + i]
-                yield self._best(words, weights[i], total[i], k, own)
+        weights, kinds, found = [], np.zeros(len(queries), np.int64), [None] * len(queries)
+        for i, (words, counts, rest) in enumerate(queries):
+            weight = (1 + np.log(counts)) * self.idf[words]
+            weights.append(weight / max(np.sqrt((weight**2).sum() + rest * self.other**2), 1e-300))
+            kinds[i] = (weight @ self.leaning[self.row[words]]).argmax()
+        like = np.argsort(kinds, kind="stable")
+        for start in range(0, len(like), TEXTS):
+            part = like[start : start + TEXTS]
+            total = self._totals([(queries[i][0], weights[i]) for i in part])
+            for i, row in zip(part, total, strict=True):
+                own = -1 if skip is None else skip[i]
+                found[i] = self._best(queries[i][0], weights[i], row, k, own)
+        return found
+
+    def _totals(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Similarities of some texts (words, weights) and all columns, in single precision."""
+        total = np.zeros((len(texts), len(self.ids)), np.float32)
+        edges = np.cumsum([0, *[len(words) for words, _ in texts]])
+        if not edges[-1]:
+            return total
+        text = np.repeat(np.arange(len(texts)), np.diff(edges))
+        weight = np.concatenate([w for _, w in texts]).astype(np.float32)
+        words, at, times = np.unique(
+            np.concatenate([w for w, _ in texts]), return_inverse=True, return_counts=True
+        )
+        starts = self.first[words[:, None] * KINDS + np.arange(KINDS)]
+        stops = self.first[words[:, None] * KINDS + np.arange(1, KINDS + 1)]
+        size = stops - starts
+        long = times[:, None] * size > np.diff(self.bounds) / SHORT
+        for kind in range(KINDS):
+            low, high = self.bounds[kind : kind + 2]
+            rows = np.flatnonzero(long[:, kind])
+            for one in range(0, len(rows), ROWS):
+                some = rows[one : one + ROWS]
+                lists, sizes = _slices(starts[some, kind], stops[some, kind])
+                entry = np.concatenate([self.entry[s] for s in lists]).view(_ENTRY)
+                matrix = self.matrix[: len(some) * (high - low)]
+                matrix.fill(0)
+                matrix[np.repeat(np.arange(len(some)) * (high - low) - low, sizes) + entry["column"]] = entry["weight"]
+                row = np.full(len(words), -1)
+                row[some] = np.arange(len(some))
+                here = np.flatnonzero(row[at] >= 0)
+                left = np.zeros((len(texts), len(some)), np.float32)
+                left[text[here], row[at[here]]] = weight[here]
+                total[:, low:high] += left @ matrix.reshape(len(some), -1)
+        # The others: neighbouring blocks of a word are one stretch of entries.
+        short = np.pad(~long, ((0, 0), (1, 1)))
+        begin, end = short[:, 1:-1] & ~short[:, :-2], short[:, 1:-1] & ~short[:, 2:]
+        word, begin, end = np.nonzero(begin)[0], starts[begin], stops[end]
+        full = begin < end
+        word, begin, end = word[full], begin[full], end[full]
+        by_word = np.searchsorted(word, np.arange(len(words) + 1))
+        many = np.diff(by_word)[at]
+        of = np.repeat(np.arange(len(at)), many)
+        stretch = np.arange(len(of)) + np.repeat(by_word[at] - np.cumsum(many) + many, many)
+        lists, sizes = _slices(begin[stretch], end[stretch])
+        weight, edges = weight[of], np.searchsorted(of, edges)
+        for i, mine in enumerate(map(slice, edges[:-1], edges[1:])):
+            if mine.start < mine.stop:
+                entry = np.concatenate([self.entry[s] for s in lists[mine]]).view(_ENTRY)
+                more = entry["weight"] * np.repeat(weight[mine], sizes[mine])
+                total[i] += np.bincount(entry["column"], more, minlength=len(self.ids))
+        return total
 
     def _best(self, words, weights, total, k, skip):
-        lists, size = _slices(self.first[words], self.first[words + 1])
-        examples = np.concatenate([self.example[s] for s in lists] or [self.example[:0]])
-        more = np.concatenate([self.light[s] for s in lists] or [self.light[:0]])
-        more *= np.repeat(weights.astype(np.float32), size)
-        total = total + np.bincount(examples, more, minlength=len(self.ids))
         if 0 <= skip:
-            total[skip] = 0
+            total[self.column[skip]] = 0
         least = np.partition(total, len(total) - k)[-k] if len(total) > k else 0.0
-        some = np.flatnonzero((total > 0) & (total >= least - 1e-4))
+        some = self.order[np.flatnonzero((total > 0) & (total >= least - 1e-4))]
         if not len(some):
             return some, np.zeros(0), np.zeros(0)
-        # Those are compared exactly: by rows of the matrix, and by their entries in the lists.
+        # Those are compared exactly, by all their words.
         decides = self.deciding[words]
-        often = np.flatnonzero(self.row[words] >= 0)
-        products = self.matrix[self.row[words[often]][:, None], some] * weights[often, None]
-        sims, common = products.sum(axis=0), products[decides[often]].sum(axis=0)
-        self.slot[some] = np.arange(len(some))
-        slot = self.slot[examples]
-        self.slot[some] = -1
-        hit = np.flatnonzero(slot >= 0)
-        end = np.cumsum(size)
-        of = np.searchsorted(end, hit, side="right")
-        products = weights[of] * self.weight[self.first[words[of]] + hit - (end - size)[of]]
-        sims += np.bincount(slot[hit], products, minlength=len(some))
-        sims = np.minimum(sims, 1.0)
-        common += np.bincount(slot[hit], products * decides[of], minlength=len(some))
+        theirs, size = _slices(self.edges[some], self.edges[some + 1])
+        word = np.concatenate([self.word[s] for s in theirs])
+        self.asked[words] = weights
+        products = np.concatenate([self.weight[s] for s in theirs]) * self.asked[word]
+        self.asked[words] = 0
+        start = np.cumsum(size) - size
+        sims = np.minimum(np.add.reduceat(products, start), 1.0)
+        common = np.zeros(len(some))
+        if decides.any():
+            common = np.add.reduceat(products * self.deciding[word], start)
         their_part = self.part[some]
         both = np.sqrt(their_part * (weights[decides] ** 2).sum())
         neither = (their_part == 0) & (not decides.any())
@@ -217,6 +323,19 @@ class Texts:
         return float(((near * self.toxic[found]).sum() + copies * value) / (near.sum() + copies))
 
 
+_IN_HAND: dict[str, Texts] = {}
+
+
+def _unpacked(digest: str, state: dict, rest: dict) -> Texts:
+    """Packed texts; a worker keeps those of its last task."""
+    if digest not in _IN_HAND:
+        _IN_HAND.clear()
+        given = {k: np.frombuffer(zlib.decompress(data), kind) for k, (kind, data) in state.items()}
+        given["count"], given["leaning"] = given["count"].astype(np.int32), given["leaning"].reshape(-1, KINDS)
+        _IN_HAND[digest] = Texts(**given, **rest)
+    return _IN_HAND[digest]
+
+
 @dataclass
 class Index:
     """Blocked inverted lists over unit vectors of examples; terms are sorted hashes."""
@@ -478,12 +597,13 @@ def _document_frequencies(documents: DataFrame, terms: np.ndarray) -> tuple[np.n
     n_terms = len(terms)
 
     def count(batches):
+        places = Places(terms)
         seen, n = np.zeros(n_terms, np.int64), 0
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             n += batch.num_rows
             for _, _, part, at in slabs(data, offsets):
-                seen += np.bincount(_term_counts(terms, part, at)[1], minlength=n_terms)
+                seen += np.bincount(_term_counts(places, part, at)[1], minlength=n_terms)
         numbers = np.append(np.flatnonzero(seen), -1)
         yield pa.RecordBatch.from_pydict(
             {"term": pa.array(numbers), "n": pa.array(np.append(seen[seen > 0], n))}
@@ -518,8 +638,8 @@ def score(documents: DataFrame, index: Index, texts: Texts) -> DataFrame:
             data, offsets = text_bytes(batch.column("text"))
             scores = np.full(batch.num_rows, index.without_terms)
             evidence: list[list] = [[] for _ in range(batch.num_rows)]
-            for first, last, part, at in slabs(data, offsets):
-                text, word, count, rest = _word_counts(texts.words, part, at)
+            for first, last, part, at in slabs(data, offsets, 2 << 20):
+                text, word, count, rest = _word_counts(texts.places, part, at)
                 edges = np.searchsorted(text, np.arange(last - first + 1))
                 some = np.flatnonzero(np.diff(edges))
                 own = [slice(edges[row], edges[row + 1]) for row in some]
