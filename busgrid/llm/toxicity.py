@@ -44,9 +44,8 @@ SAMPLE, TERMS, ASSOCIATION = 20_000, 4096, 25.0
 NEIGHBOURS, BLOCK, EVIDENCE, CALIBRATE = 15, 128, 3, 3000
 #: Words of one in so many examples tell the kinds of texts; so many texts are compared at a time.
 OFTEN, KINDS, TEXTS = 16, 8, 128
-#: Lists of a block are long if those of all texts have more entries than one part in so many
-#: of its columns; so many rows are made of them at a time.
-SHORT, ROWS = 3, 256
+#: Long lists become so many rows of a matrix at a time.
+ROWS = 256
 #: Blocks that are searched at a time, in the order of their bounds.
 TOGETHER = 8
 SHARPNESS, COPIES = (4, 16, 64), (2, 4, 8)
@@ -147,8 +146,10 @@ class Texts:
     first: np.ndarray = field(init=False)  # of the list of each word and kind
     entry: np.ndarray = field(init=False)  # a column and the weight there
     row: np.ndarray = field(init=False)  # of each word in ``leaning``
-    matrix: np.ndarray = field(init=False)  # room for rows of some texts' words
-    asked: np.ndarray = field(init=False)  # weights of the words of the text in hand
+    matrix: np.ndarray = field(init=False)  # room for rows of some texts' words,
+    product: np.ndarray = field(init=False)  # and for what they give
+    here: np.ndarray = field(init=False)  # the words of the text in hand
+    asked: np.ndarray = field(init=False)  # and their weights
     sharpness: float = 16.0
     copies: float = 4.0
 
@@ -176,7 +177,7 @@ class Texts:
         self.weight = weight = weight / norm[owner]
         decides = self.deciding[self.word]
         self.part = np.bincount(owner[decides], weight[decides] ** 2, minlength=n)
-        self.asked, self.places = np.zeros(n_words), Places(self.words)
+        self.places, self.asked, self.here = Places(self.words), np.empty(n_words), np.zeros(n_words, bool)
         if self.kind is None:
             self._find_kinds(owner)
         self.row = np.full(n_words, len(self.often), np.int32)
@@ -185,7 +186,9 @@ class Texts:
         self.column = np.empty(n, np.int64)
         self.column[self.order] = np.arange(n)
         self.bounds = np.searchsorted(self.kind[self.order], np.arange(KINDS + 1))
-        self.matrix = np.empty(ROWS * int(np.diff(self.bounds).max()), np.float32)
+        widest = int(np.diff(self.bounds).max())
+        self.matrix = np.empty(ROWS * widest, np.float32)
+        self.product = np.empty(TEXTS * widest, np.float32)
         key = self.word.astype(np.int64) * KINDS + self.kind[owner]
         by_list = np.argsort(key)
         sizes = np.bincount(key, minlength=n_words * KINDS)
@@ -254,7 +257,8 @@ class Texts:
         starts = self.first[words[:, None] * KINDS + np.arange(KINDS)]
         stops = self.first[words[:, None] * KINDS + np.arange(1, KINDS + 1)]
         size = stops - starts
-        long = times[:, None] * size > np.diff(self.bounds) / SHORT
+        # A row costs about as much as adding up as many entries as the block has columns.
+        long = times[:, None] * size > np.diff(self.bounds)
         for kind in range(KINDS):
             low, high = self.bounds[kind : kind + 2]
             rows = np.flatnonzero(long[:, kind])
@@ -270,7 +274,8 @@ class Texts:
                 here = np.flatnonzero(row[at] >= 0)
                 left = np.zeros((len(texts), len(some)), np.float32)
                 left[text[here], row[at[here]]] = weight[here]
-                total[:, low:high] += left @ matrix.reshape(len(some), -1)
+                product = self.product[: len(texts) * (high - low)].reshape(len(texts), -1)
+                total[:, low:high] += np.matmul(left, matrix.reshape(len(some), -1), out=product)
         # The others: neighbouring blocks of a word are one stretch of entries.
         short = np.pad(~long, ((0, 0), (1, 1)))
         begin, end = short[:, 1:-1] & ~short[:, :-2], short[:, 1:-1] & ~short[:, 2:]
@@ -287,7 +292,7 @@ class Texts:
             if mine.start < mine.stop:
                 entry = np.concatenate([self.entry[s] for s in lists[mine]]).view(_ENTRY)
                 more = entry["weight"] * np.repeat(weight[mine], sizes[mine])
-                total[i] += np.bincount(entry["column"], more, minlength=len(self.ids))
+                np.add.at(total[i], entry["column"].astype(np.intp), more)
         return total
 
     def _best(self, words, weights, total, k, skip):
@@ -301,14 +306,14 @@ class Texts:
         decides = self.deciding[words]
         theirs, size = _slices(self.edges[some], self.edges[some + 1])
         word = np.concatenate([self.word[s] for s in theirs])
-        self.asked[words] = weights
-        products = np.concatenate([self.weight[s] for s in theirs]) * self.asked[word]
-        self.asked[words] = 0
-        start = np.cumsum(size) - size
-        sims = np.minimum(np.add.reduceat(products, start), 1.0)
-        common = np.zeros(len(some))
-        if decides.any():
-            common = np.add.reduceat(products * self.deciding[word], start)
+        self.here[words], self.asked[words] = True, weights
+        hit = np.flatnonzero(self.here[word])
+        self.here[words] = False
+        word = word[hit]
+        products = np.concatenate([self.weight[s] for s in theirs])[hit] * self.asked[word]
+        of = np.repeat(np.arange(len(some)), size)[hit]
+        sims = np.minimum(np.bincount(of, products, minlength=len(some)), 1.0)
+        common = np.bincount(of, products * self.deciding[word], minlength=len(some))
         their_part = self.part[some]
         both = np.sqrt(their_part * (weights[decides] ** 2).sum())
         neither = (their_part == 0) & (not decides.any())
