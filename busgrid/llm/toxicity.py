@@ -170,11 +170,13 @@ class Texts:
 
     def __post_init__(self):
         n, n_words = len(self.ids), len(self.words)
-        owner = np.repeat(np.arange(n), np.diff(self.edges))
+        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.edges))
         logs = 1 + np.log(np.arange(1, (int(self.count.max()) if len(self.count) else 0) + 1))
-        weight = logs[self.count - 1] * self.idf[self.word]
+        weight = logs[self.count - 1]
+        weight *= self.idf[self.word]
         norm = np.sqrt(np.bincount(owner, weight**2, minlength=n))
-        self.weight = weight = weight / norm[owner]
+        weight /= norm[owner]
+        self.weight = weight
         decides = self.deciding[self.word]
         self.part = np.bincount(owner[decides], weight[decides] ** 2, minlength=n)
         self.places, self.asked, self.here = Places(self.words), np.empty(n_words), np.zeros(n_words, bool)
@@ -183,18 +185,19 @@ class Texts:
         self.row = np.full(n_words, len(self.often), np.int32)
         self.row[self.often] = np.arange(len(self.often))
         self.order = np.argsort(self.kind, kind="stable")
-        self.column = np.empty(n, np.int64)
+        self.column = np.empty(n, np.int32)
         self.column[self.order] = np.arange(n)
         self.bounds = np.searchsorted(self.kind[self.order], np.arange(KINDS + 1))
         widest = int(np.diff(self.bounds).max())
         self.matrix = np.empty(ROWS * widest, np.float32)
         self.product = np.empty(TEXTS * widest, np.float32)
         key = self.word.astype(np.int64) * KINDS + self.kind[owner]
+        self.first = np.append(0, np.cumsum(np.bincount(key, minlength=n_words * KINDS)))
         by_list = np.argsort(key)
-        sizes = np.bincount(key, minlength=n_words * KINDS)
-        self.first = np.append(0, np.cumsum(sizes))
-        entry = np.empty(len(key), _ENTRY)
-        entry["column"], entry["weight"] = self.column[owner[by_list]], weight[by_list]
+        del key
+        entry = np.empty(len(by_list), _ENTRY)
+        entry["weight"] = weight[by_list]
+        entry["column"] = self.column[owner[by_list]]
         self.entry = entry.view(np.int64)  # numbers are copied faster than records
 
     def _find_kinds(self, owner):
@@ -207,7 +210,7 @@ class Texts:
         dense = row[self.word] >= 0
         matrix = np.zeros((n, len(self.often)), np.float32)
         matrix[owner[dense], row[self.word[dense]]] = self.weight[dense]
-        size = np.sqrt((matrix**2).sum(axis=1))
+        size = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
         matrix /= np.maximum(size, 1e-12)[:, None]
         centres = np.zeros((KINDS, len(self.often)), np.float32)
         nearest = np.where(size > 0, 0.0, 2.0)
