@@ -171,8 +171,7 @@ class Texts:
     def __post_init__(self):
         n, n_words = len(self.ids), len(self.words)
         owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.edges))
-        logs = 1 + np.log(np.arange(1, (int(self.count.max()) if len(self.count) else 0) + 1))
-        weight = logs[self.count - 1]
+        weight = 1 + np.log(self.count)
         weight *= self.idf[self.word]
         norm = np.sqrt(np.bincount(owner, weight**2, minlength=n))
         weight /= norm[owner]
@@ -302,7 +301,9 @@ class Texts:
         if 0 <= skip:
             total[self.column[skip]] = 0
         least = np.partition(total, len(total) - k)[-k] if len(total) > k else 0.0
-        some = self.order[np.flatnonzero((total > 0) & (total >= least - 1e-4))]
+        # Each word's addition is off by 2^-24 at most, here and in ``least``.
+        margin = max(1e-4, (len(words) + 4) * 2.0**-23)
+        some = self.order[np.flatnonzero((total > 0) & (total >= least - margin))]
         if not len(some):
             return some, np.zeros(0), np.zeros(0)
         # Those are compared exactly, by all their words.

@@ -1,5 +1,6 @@
 """Operators beyond their registered queries."""
 
+import pickle
 import random
 import zlib
 
@@ -282,6 +283,60 @@ def test_search_finds_the_exact_neighbours():
         assert np.allclose([dense[by_id[index.ids[f]]] @ query for f in found], sims)
 
 
+@pytest.mark.parametrize("many,rows", [(128, 256), (5, 3)])
+@pytest.mark.parametrize("groups", [1, 4])
+def test_whole_texts_find_their_exact_neighbours(monkeypatch, many, rows, groups):
+    """Of texts in several vocabularies, with shared and rare words, repeated texts and ties."""
+    monkeypatch.setattr(toxicity, "TEXTS", many)
+    monkeypatch.setattr(toxicity, "ROWS", rows)
+    monkeypatch.setattr(toxicity, "_IN_HAND", {})
+    rng = np.random.default_rng(5)
+    n_words, n = 400, 1200
+    words = np.sort(rng.integers(0, 2**64 - 1, n_words, dtype=np.uint64, endpoint=True))
+    given = []
+    for i in range(n):
+        if i % 10 == 9:
+            given.append(given[i - 1 - i % 3])
+            continue
+        own = np.arange(i % groups, n_words - 40, groups)
+        share = 1 / np.arange(1, len(own) + 1)
+        some = rng.choice(own, rng.integers(1, 40), replace=False, p=share / share.sum())
+        some = np.append(some, rng.choice(np.arange(n_words - 40, n_words), rng.integers(0, 3), replace=False))
+        given.append((np.sort(some), rng.integers(1, 6, len(some))))
+    edges = np.cumsum([0, *[len(w) for w, _ in given]])
+    idf = 1 + rng.random(n_words)
+    texts = toxicity.Texts(
+        words, idf, 5.0, np.arange(n) * 7, rng.integers(0, 2, n).astype(float), edges,
+        np.concatenate([w for w, _ in given]).astype(np.int32),
+        np.concatenate([c for _, c in given]).astype(np.int32), rng.random(n_words) < 0.1,
+    )
+    assert groups == 1 or len(np.unique(texts.kind)) > 1
+    vectors = np.zeros((n, n_words))
+    for i, (w, c) in enumerate(given):
+        vectors[i, w] = (1 + np.log(c)) * idf[w]
+    vectors /= np.sqrt((vectors**2).sum(axis=1))[:, None]
+    texts = pickle.loads(pickle.dumps(texts))
+    queries = [(w, c, 0.0) for w, c in given]
+    for skip in (None, list(range(n))):
+        for i, (found, sims, _) in enumerate(texts.near(queries, 15, skip)):
+            want = vectors @ vectors[i]
+            if skip:
+                want[i] = 0
+            best = np.lexsort((texts.ids, -np.round(want, 12)))[:15]
+            best = best[want[best] > 0]
+            assert list(found) == list(best) and np.allclose(sims, want[best])
+
+
+def test_hashes_are_found_from_their_leading_bits():
+    rng = np.random.default_rng(6)
+    even = rng.integers(0, 2**64 - 1, 3000, dtype=np.uint64, endpoint=True)
+    close = np.append(np.arange(500, dtype=np.uint64), np.uint64(2**64 - 1) - np.arange(500, dtype=np.uint64))
+    for words in (np.unique(even), np.unique(close), even[:1], even[:0]):
+        asked = np.concatenate([words, words + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+        number = {int(w): i for i, w in enumerate(words)}
+        assert list(toxicity.Places(words)(asked)) == [number.get(int(a), -1) for a in asked]
+
+
 def test_small_sources_stop_at_three_times_their_size(spark):
     rows = [(i, "a b c d", "big") for i in range(90)] + [(100 + i, "a b", "small") for i in range(3)]
     rows += [(200, "x y z", None), (201, None, None)]
