@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from busgrid.functions import holidays as hol
+from busgrid.functions.days import days_of_weeks
 from busgrid.operators import calendars
 
 FIXED = [(1, 1), (5, 1), (5, 8), (7, 5), (7, 6), (9, 28), (10, 28), (12, 24), (12, 25), (12, 26)]
@@ -191,3 +192,20 @@ def test_easter_over_centuries(spark):
     years = spark.range(1700, 2300).select(F.array(F.col("id").cast("int")).alias("y"))
     rows = years.select(F.inline(hol._easter_sundays(F.col("y")))).collect()
     assert [r.easter for r in rows] == [easter(r.y) for r in rows]
+
+
+def test_days_of_weeks_of_a_parity(spark):
+    rng = random.Random(7)
+    rows = []
+    for n in range(300):
+        start = date(2014, 12, 20) + timedelta(rng.randrange(2200))
+        end = start + timedelta(rng.choice([-1, 0, 3, 13, 40, 400, 1500]))
+        rows.append((n, start, end, rng.choice([127, 31, 64, 5]), n % 2))
+    frame = spark.createDataFrame(rows, "n int, a date, b date, mask int, parity int")
+    days = days_of_weeks(*map(F.col, ("a", "b", "mask", "parity")))
+    found = {r.n: r.days for r in frame.select("n", days.alias("days")).collect()}
+    for n, start, end, mask, parity in rows:
+        right = {
+            d for d in span(start, end) if d.isocalendar()[1] % 2 == parity and mask >> d.weekday() & 1
+        }
+        assert len(found[n]) == len(right) and set(found[n]) == right
