@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from busgrid.functions import holidays as hol
-from busgrid.functions.days import compact, day_numbers, iso, joined_days
+from busgrid.functions.days import compact, day_numbers, days_of, iso, joined_days
 from busgrid.functions.keys import line_key, trip_key
 from busgrid.functions.times import gtfs_time_by_minute, has_time
 from busgrid.operators import calendars, history, identity, resolve, stoptimes
@@ -499,7 +499,7 @@ def _days_of_types(t: SalesTimetable, column: str, *types: str) -> DataFrame:
     chosen = _periods(t).withColumn(
         "codes", F.filter("codes", lambda c: c["code_type"].isin(*types))
     )
-    return calendars.days_of_codes(chosen).select("trip_number", *_day_set(F.col(column)))
+    return calendars.days_of_codes(chosen).select("trip_number", *_day_set(days_of(column)))
 
 
 @query
@@ -536,8 +536,8 @@ def calendar_holidays(t: SalesTimetable) -> DataFrame:
     before = named.withColumns({"named": F.col("added"), "left_out": F.col("excluded")})
     after = calendars.with_holidays(before)
 
-    def listed(days: Column) -> Column:
-        return joined_days(F.sort_array(days))
+    def listed(numbers: Column) -> Column:
+        return joined_days(days_of(F.sort_array(numbers)))
 
     return after.select(
         "trip_number",

@@ -1,7 +1,9 @@
-"""Sets of days as DATE arrays. Weekday masks keep Monday in bit 0 and Sunday in bit 6."""
+"""Sets of days as arrays of DATE or of day numbers. Weekday masks keep Monday in bit 0 and Sunday in bit 6."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday",
 WORKING_DAYS_MASK = 0b0011111
 SUNDAY_MASK = 0b1000000
 ALL_DAYS_MASK = 0b1111111
+RUNS_TYPE = "array<struct<first:int,last:int>>"
 
 
 def no_days() -> Column:
@@ -21,27 +24,47 @@ def jdf_date(column: str | Column) -> Column:
     return F.when(c.rlike(r"^\d{8}$"), F.try_to_date(c, "ddMMyyyy"))
 
 
-def every(days: int) -> Column:
-    """Step of a sequence of days, as a calendar interval: such sequences are plain counting.
+def no_numbers() -> Column:
+    return F.array().cast("array<int>")
 
-    With a day-time interval, the kind of literals and of the default step, each day would be
-    worked out as a time of day in the time zone of the session.
-    """
-    return F.make_interval(days=F.lit(days))
+
+def numbers_of(days: str | Column) -> Column:
+    """Days as numbers since 1970, for which Spark's set functions are several times as quick."""
+    return F.transform(days, F.unix_date)
+
+
+def days_of(numbers: str | Column) -> Column:
+    return F.transform(numbers, F.date_from_unix_date)
+
+
+def weekdays_of(mask: Column) -> Column:
+    """The bits of a mask, 0 to 6."""
+    return F.filter(F.array(*map(F.lit, range(7))), lambda i: F.getbit(mask, i) == 1)
 
 
-def masked_days(start: Column, end: Column, mask: Column) -> Column:
-    """Days from start to end whose weekday is in the mask; not in order.
+def numbers_of_runs(runs: Column, step: int) -> Column:
+    """From ``first`` to ``last`` of each run all numbers that are ``step`` apart; not in order.
 
-    One weekly sequence per weekday that the mask has among the first seven days: no
-    test per day is needed.
+    No test per day is needed, and each day is copied once, of however many codes the runs are.
     """
-    last = F.least(end, F.date_add(start, 6))
-    first_days = F.filter(
-        F.when(start <= end, F.sequence(start, last, every(1))).otherwise(no_days()),
-        lambda d: F.getbit(mask, F.weekday(d)) == 1,
-    )
-    return F.flatten(F.transform(first_days, lambda d: F.sequence(d, end, every(7))))
+    return F.flatten(F.transform(runs, lambda r: F.sequence(r["first"], r["last"], F.lit(step))))
+
+
+def _runs(weekdays: Column, first: Callable[[Column], Column], last: Column) -> Column:
+    each = F.transform(weekdays, lambda i: F.struct(first(i).alias("first"), last.alias("last")))
+    return F.filter(each, lambda r: r["first"] <= r["last"])
+
+
+def runs_of_weekdays(start: Column, end: Column, weekdays: Column) -> Column:
+    """One weekly run of day numbers per weekday that comes from start to end."""
+    number, last = F.unix_date(start), F.unix_date(end)
+    ahead = -F.weekday(start)
+    return _runs(weekdays, lambda i: number + F.pmod(ahead + i, F.lit(7)), last)
+
+
+def masked_numbers(start: Column, end: Column, mask: Column) -> Column:
+    """Numbers of the days from start to end whose weekday is in the mask; not in order."""
+    return numbers_of_runs(runs_of_weekdays(start, end, weekdays_of(mask)), 7)
 
 
 def week_parity(day: Column) -> Column:
@@ -49,41 +72,56 @@ def week_parity(day: Column) -> Column:
     return F.weekofyear(day) % 2
 
 
-def days_of_weeks(start: Column, end: Column, mask: Column, parity: Column) -> Column:
-    """Days from start to end in odd (1) or even (0) ISO weeks whose weekday is in the mask;
+def runs_of_weeks(start: Column, end: Column, weekdays: Column, parity: Column) -> Column:
+    """Runs of day numbers, two weeks apart, of the weekdays in odd (1) or even (0) ISO weeks.
 
-    not in order. Inside a year of whole weeks, such days of one weekday are two weeks apart:
-    one sequence per weekday and year, no test per day.
+    Week 1 follows week 52, so odd weeks are two weeks apart from year to year, but for
+    years of 53 weeks: one run per weekday and stretch of years between those.
     """
+    first, last = F.unix_date(start), F.unix_date(end)
 
-    def week_year(day: Column) -> Column:
-        return F.year(F.date_add(day, 3 - F.weekday(day)))  # that of the week's Thursday
+    def stretch(begin: Column, ahead: Column, later: Column) -> Column:
+        """From ``begin`` on, whose next week of the parity is ``ahead`` days away."""
+        to = F.coalesce(F.array_min(later) - 1, last)
+        return F.struct(begin.alias("begin"), ahead.alias("ahead"), to.alias("to"))
 
-    def first_monday(year: Column) -> Column:
-        fourth = F.make_date(year, F.lit(1), F.lit(4))  # always in the first week
-        return F.date_sub(fourth, F.weekday(fourth))
+    new_years = F.transform(
+        F.sequence(F.year(start), F.year(end)), lambda y: F.make_date(y, F.lit(1), F.lit(1))
+    )
+    # The Mondays after a week 53, which new year is then in.
+    breaks = F.filter(
+        F.transform(
+            F.filter(new_years, lambda d: F.weekofyear(d) == 53),
+            lambda d: F.unix_date(F.next_day(d, "Monday")),
+        ),
+        lambda m: (m > first) & (m <= last),
+    )
+    to_parity = F.when(week_parity(start) == parity, 0).otherwise(7)
+    to_odd = F.when(parity == 1, 0).otherwise(7)
 
-    def year_part(year: Column) -> Column:
-        monday = F.date_add(first_monday(year), F.when(parity == 1, 0).otherwise(7))
-        return F.struct(
-            monday.alias("monday"),
-            F.greatest(start, monday).alias("from"),
-            F.least(end, F.date_sub(first_monday(year + 1), 1)).alias("to"),
+    def stretches(breaks: Column) -> Column:
+        of_start = stretch(first, to_parity - F.weekday(start), breaks)
+        of_breaks = F.transform(
+            breaks, lambda m: stretch(m, to_odd, F.filter(breaks, lambda other: other > m))
         )
+        return F.concat(F.array(of_start), of_breaks)
 
-    weekdays = F.filter(F.array(*map(F.lit, range(7))), lambda i: F.getbit(mask, i) == 1)
+    def runs(part: Column) -> Column:
+        begin, ahead = part["begin"], part["ahead"]
+        return _runs(weekdays, lambda i: begin + F.pmod(ahead + i, F.lit(14)), part["to"])
 
-    def days(part: Column) -> Column:
-        ahead = F.date_diff(part["monday"], part["from"])
-        firsts = F.transform(
-            weekdays, lambda i: F.date_add(part["from"], F.pmod(ahead + i, F.lit(14)))
-        )
-        inside = F.filter(firsts, lambda d: d <= part["to"])
-        return F.flatten(F.transform(inside, lambda d: F.sequence(d, part["to"], every(14))))
+    # An array of one element, so that the breaks are worked out once.
+    parts = F.flatten(F.transform(F.array(breaks), stretches))
+    inside = F.when((start <= end) & parity.isNotNull(), F.flatten(F.transform(parts, runs)))
+    return F.coalesce(inside, F.array().cast(RUNS_TYPE))
 
-    years = F.sequence(week_year(start), week_year(end))
-    parts = F.when((start <= end) & parity.isNotNull(), F.transform(years, year_part))
-    return F.coalesce(F.flatten(F.transform(parts, days)), no_days())
+
+def days_of_weeks(start: Column, end: Column, mask: Column, parity: Column) -> Column:
+    """Days from start to end in odd (1) or even (0) ISO weeks whose weekday is in the mask;
+
+    not in order.
+    """
+    return days_of(numbers_of_runs(runs_of_weeks(start, end, weekdays_of(mask), parity), 14))
 
 
 def iso(day: str | Column) -> Column:
@@ -103,3 +141,9 @@ def joined_days(days: str | Column) -> Column:
 def day_numbers(days: str | Column) -> Column:
     """Days as text of numbers since 1970: the quick text form, for keys and digests."""
     return F.array_join(F.transform(days, F.unix_date), ",")
+
+
+def joined_numbers(numbers: str | Column) -> Column:
+    """The text of ``day_numbers``, of days that are numbers already."""
+    n = F.col(numbers) if isinstance(numbers, str) else numbers
+    return F.array_join(n.cast("array<string>"), ",")

@@ -8,6 +8,8 @@ an array: a code is a type and two days, and staging rejects spans of more than
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +18,17 @@ from busgrid.functions.days import (
     SUNDAY_MASK,
     WEEKDAYS,
     WORKING_DAYS_MASK,
-    day_numbers,
-    days_of_weeks,
-    masked_days,
+    days_of,
+    joined_numbers,
+    masked_numbers,
     no_days,
+    no_numbers,
+    numbers_of,
+    numbers_of_runs,
+    runs_of_weekdays,
+    runs_of_weeks,
     week_parity,
+    weekdays_of,
 )
 from busgrid.functions.holidays import (
     Extra,
@@ -29,6 +37,7 @@ from busgrid.functions.holidays import (
     monday_to_friday,
 )
 from busgrid.functions.keys import content_key
+from busgrid.session import shuffle_partitions
 
 TRIP_OF_FEED = ["feed_id", "line_number", "trip_number"]
 
@@ -106,57 +115,6 @@ def spanned(code: Column) -> Column:
     )
 
 
-def with_days(code: Column) -> Column:
-    """A spanned code with its masked days, and with the holidays other than on Sunday it meets."""
-    code_type, start, end = code["code_type"], code["code_from"], code["code_to"]
-    parity = code["parity"]
-    ranged = end.isNotNull() & code_type.isin(RUNS_IN, DOES_NOT_RUN)
-
-    def of_weeks(days: Column) -> Column:
-        return F.filter(days, lambda d: week_parity(d) == parity)
-
-    all_days = masked_days(start, end, F.col("mask"))
-    holidays = except_sunday(F.col("holidays"), start, end)
-    return F.struct(
-        code_type.alias("code_type"),
-        F.when(ranged, all_days)
-        .when(parity.isNotNull(), days_of_weeks(start, end, F.col("mask"), parity))
-        .when(code_type.isin(RUNS_IN, ALSO_RUNS, RUNS_ONLY, DOES_NOT_RUN), F.array(start))
-        .otherwise(no_days())
-        .alias("days"),
-        F.when(ranged, holidays)
-        .when(parity.isNotNull(), of_weeks(holidays))
-        .otherwise(no_days())
-        .alias("holidays"),
-    )
-
-
-def days_added(code: Column) -> Column:
-    """Days on which a trip runs because of one code with its days.
-
-    Working-day trips leave holidays out, holiday trips gain them. Trips that are both
-    gain only Saturdays from a range and leave holidays out of alternating weeks only.
-    """
-    code_type, days, holidays = code["code_type"], code["days"], code["holidays"]
-    working, on_holidays = F.col("on_working_days"), F.col("on_holidays")
-    in_range = code_type == RUNS_IN
-    weekday_holidays = F.filter(holidays, lambda d: F.weekday(d) < 5)
-    kept = F.when(
-        working & ~(on_holidays & in_range), F.array_except(days, weekday_holidays)
-    ).otherwise(days)
-    saturdays = F.filter(holidays, lambda d: F.weekday(d) == 5)
-    gained = F.when(~on_holidays, no_days()).when(working & in_range, saturdays).otherwise(holidays)
-    return F.when(code_type == DOES_NOT_RUN, no_days()).otherwise(F.concat(kept, gained))
-
-
-def days_excluded(code: Column) -> Column:
-    """Days on which a trip does not run because of one code with its days."""
-    days = F.when(F.col("on_holidays"), F.concat(code["days"], code["holidays"])).otherwise(
-        code["days"]
-    )
-    return F.when(code["code_type"] == DOES_NOT_RUN, days).otherwise(no_days())
-
-
 def codes_by_trip(codes: DataFrame) -> DataFrame:
     """Number of dated codes of a trip, and its distinct known ones as a sorted array."""
     code = F.struct("code_type", "code_from", "code_to")
@@ -205,47 +163,125 @@ def service_period(trips: DataFrame) -> DataFrame:
     )
 
 
-def _holidays_of_span(extra: Extra) -> Column:
-    years = F.sequence(F.year("first"), F.year("last"))
-    asked = F.col("on_working_days") | F.col("on_holidays")
-    return F.when(asked, holidays_of_years(years, extra)).otherwise(no_days())
-
-
 def with_national_holidays(trips: DataFrame, extra: Extra = ()) -> DataFrame:
-    """Adds the holidays of the years that the line, the period and the codes of a trip touch.
+    """Adds the holidays of the years that the period and the ranges of the codes of a trip touch.
 
     They are made once per trip, for trips that ask for them; all rules then filter
-    this short array.
+    this short array. Days that a code names one by one ask for no holidays, nor does
+    the period of a trip whose weekly calendar does not count.
     """
-    dates = F.flatten(F.transform("codes", lambda c: F.array(c["code_from"], c["code_to"])))
-    all_dates = F.concat(
-        F.array("loaded_from", "loaded_to", "period_from", "period_to"), dates
+
+    def years(start: Column, end: Column) -> Column:
+        return F.sequence(F.year(start), F.year(end))
+
+    ranges = F.filter("codes", lambda c: c["code_from"] <= c["code_to"])
+    of_codes = F.flatten(F.transform(ranges, lambda c: years(c["code_from"], c["code_to"])))
+    period = F.col("uses_calendar") & (F.col("period_from") <= F.col("period_to"))
+    of_period = F.when(period, years(F.col("period_from"), F.col("period_to"))).otherwise(
+        F.array().cast("array<int>")
     )
-    return (
-        trips.withColumns({"first": F.array_min(all_dates), "last": F.array_max(all_dates)})
-        .withColumn("holidays", _holidays_of_span(extra))
-        .drop("first", "last")
+    asked = F.col("on_working_days") | F.col("on_holidays")
+    holidays = holidays_of_years(F.array_distinct(F.concat(of_period, of_codes)), extra)
+    return trips.withColumn("holidays", F.when(asked, holidays).otherwise(no_days()))
+
+
+def _ranges(code_type: str) -> Column:
+    """Codes of a type that name a range of days, which needs both ends."""
+    return F.filter(
+        "codes",
+        lambda c: (c["code_type"] == code_type)
+        & c["code_from"].isNotNull()
+        & c["code_to"].isNotNull(),
+    )
+
+
+def _single_days(*types: str) -> Column:
+    """The days of codes that name one day: ranges are of two types only."""
+    ranged = lambda c: c["code_type"].isin(RUNS_IN, DOES_NOT_RUN) & c["code_to"].isNotNull()
+    single = F.filter("codes", lambda c: c["code_type"].isin(*types) & ~ranged(c))
+    return F.transform(single, lambda c: F.unix_date(c["code_from"]))
+
+
+def _days_in(codes: str) -> Column:
+    """Days of ranges that are of the mask."""
+    weekdays = F.col("weekdays")
+    runs = F.transform(codes, lambda c: runs_of_weekdays(c["code_from"], c["code_to"], weekdays))
+    return numbers_of_runs(F.flatten(runs), 7)
+
+
+def _days_of_weeks_in(codes: str) -> Column:
+    """Days of ranges of odd or even weeks that are of the mask."""
+    weekdays = F.col("weekdays")
+    runs = F.transform(
+        codes, lambda c: runs_of_weeks(c["code_from"], c["code_to"], weekdays, c["parity"])
+    )
+    return numbers_of_runs(F.flatten(runs), 14)
+
+
+def _met_by(codes: str, day: Column) -> Column:
+    """Whether a day is in the range, and in weeks of the parity, of any of the codes."""
+    return F.exists(
+        codes,
+        lambda c: day.between(c["code_from"], c["code_to"])
+        & (c["parity"].isNull() | (week_parity(day) == c["parity"])),
     )
 
 
 def days_of_codes(trips: DataFrame) -> DataFrame:
-    """Adds ``added`` and ``excluded``: the days that the dated codes of each trip name."""
+    """Adds ``added`` and ``excluded``: numbers of the days that the dated codes of each trip name.
+
+    A day may come more than once. Working-day trips leave holidays out, holiday trips gain
+    them. Trips that are both gain only Saturdays from a range and leave holidays out of
+    alternating weeks only. Codes of one kind are worked out together: a day of theirs that
+    is a holiday is one whichever of them names it.
+    """
+    working, on_holidays = F.col("on_working_days"), F.col("on_holidays")
+    weekday_holidays = numbers_of(F.filter("holidays", lambda d: F.weekday(d) < 5))
+
+    def without_holidays(codes: str, days: str, asked: Column) -> Column:
+        left = F.array_except(days, weekday_holidays)
+        return F.when(asked & (F.size(codes) > 0), left).otherwise(F.col(days))
 
-    def over_codes(days_of) -> Column:
-        return F.array_distinct(F.flatten(F.transform("dated", days_of)))
+    def holidays_met(met: Callable[[Column], Column]) -> Column:
+        return numbers_of(F.filter("holidays", lambda d: (F.weekday(d) < 6) & met(d)))
 
+    gained = F.when(
+        on_holidays & (F.size("ranges") + F.size("weeks") > 0),
+        holidays_met(
+            lambda d: (_met_by("ranges", d) & (~working | (F.weekday(d) == 5)))
+            | _met_by("weeks", d)
+        ),
+    ).otherwise(no_numbers())
+    also_excluded = F.when(
+        on_holidays & (F.size("breaks") > 0), holidays_met(lambda d: _met_by("breaks", d))
+    ).otherwise(no_numbers())
+    parts = {
+        "weekdays": weekdays_of(F.col("mask")),
+        "ranges": _ranges(RUNS_IN),
+        "breaks": _ranges(DOES_NOT_RUN),
+        "weeks": F.filter("codes", lambda c: c["parity"].isNotNull()),
+    }
+    days = {"in_ranges": _days_in("ranges"), "in_weeks": _days_of_weeks_in("weeks")}
+    added = F.concat(
+        without_holidays("ranges", "in_ranges", working & ~on_holidays),
+        without_holidays("weeks", "in_weeks", working),
+        _single_days(RUNS_IN, ALSO_RUNS, RUNS_ONLY),
+        gained,
+    )
+    excluded = F.concat(_days_in("breaks"), _single_days(DOES_NOT_RUN), also_excluded)
     return (
-        trips.withColumn("dated", F.transform("codes", with_days))
-        .withColumns({"added": over_codes(days_added), "excluded": over_codes(days_excluded)})
-        .drop("dated")
+        trips.withColumns(parts)
+        .withColumns(days)
+        .withColumns({"added": added, "excluded": excluded})
+        .drop(*parts, *days)
     )
 
 
 def with_holidays(trips: DataFrame) -> DataFrame:
     """Where the weekly calendar counts: working-day trips skip holidays, holiday trips gain them."""
     holidays, start, end = F.col("holidays"), F.col("period_from"), F.col("period_to")
-    skipped = F.array_except(monday_to_friday(holidays, start, end), F.col("added"))
-    gained = F.array_except(except_sunday(holidays, start, end), F.col("excluded"))
+    skipped = F.array_except(numbers_of(monday_to_friday(holidays, start, end)), F.col("added"))
+    gained = F.array_except(numbers_of(except_sunday(holidays, start, end)), F.col("excluded"))
     on = F.col("uses_calendar")
     return trips.withColumn(
         "excluded",
@@ -267,7 +303,7 @@ def service_content(trips: DataFrame) -> DataFrame:
             "runs": F.sort_array(F.array_except("added", "excluded")),
             "runs_not": F.when(
                 F.col("uses_calendar"), F.sort_array(F.array_distinct("excluded"))
-            ).otherwise(no_days()),
+            ).otherwise(no_numbers()),
         }
     ).drop("added", "excluded")
     weekly = content_key(
@@ -277,11 +313,13 @@ def service_content(trips: DataFrame) -> DataFrame:
         "period_to",
         F.col("on_working_days").cast("int"),
         F.col("on_holidays").cast("int"),
-        day_numbers("runs"),
-        day_numbers("runs_not"),
+        joined_numbers("runs"),
+        joined_numbers("runs_not"),
     )
-    listed = content_key(F.lit("listed"), day_numbers("runs"))
-    return days.withColumn("service_id", F.when(F.col("uses_calendar"), weekly).otherwise(listed))
+    listed = content_key(F.lit("listed"), joined_numbers("runs"))
+    return days.withColumn(
+        "service_id", F.when(F.col("uses_calendar"), weekly).otherwise(listed)
+    ).withColumns({c: days_of(c) for c in ("runs", "runs_not")})
 
 
 def signed(trips: DataFrame, codes: DataFrame) -> DataFrame:
@@ -292,15 +330,20 @@ def signed(trips: DataFrame, codes: DataFrame) -> DataFrame:
     """
     rows = with_codes(trips, codes).withColumn("n_codes", F.least("n_codes", F.lit(2)))
     # More than one code is all that the rules ask about the number.
-    return rows.withColumn("signature", F.md5(F.to_json(F.struct(*SIGNED))))
+    return rows.withColumn("signature", F.md5(F.struct(*SIGNED).cast("string")))
 
 
 def services_of_signatures(signed_trips: DataFrame, extra: Extra = ()) -> DataFrame:
     """One row per signature: its service with mask, period, ``runs`` and ``runs_not``.
 
-    The columns of services that only list days are empty but for those days.
+    The columns of services that only list days are empty but for those days. Rows of
+    signatures are short and take long, so they are dealt to as many tasks as shuffles have
+    parts: by their bytes alone they would be a few tasks.
     """
     once = signed_trips.select("signature", *SIGNED).dropDuplicates(["signature"])
+    # By another hash: rows that lie by signature already would stay in those few tasks.
+    parts = shuffle_partitions(signed_trips.sparkSession)
+    once = once.repartition(parts, F.xxhash64("signature"))
     dated = days_of_codes(with_national_holidays(service_period(once), extra))
     content = service_content(with_holidays(dated.drop("n_codes", "codes")).drop("holidays"))
     own = {
@@ -361,9 +404,15 @@ def weekday_flags() -> dict[str, Column]:
 
 def service_days(services: DataFrame) -> DataFrame:
     """One row per service and day on which it runs."""
-    weekly = F.when(
-        F.col("uses_calendar"),
-        masked_days(F.col("period_from"), F.col("period_to"), F.col("mask")),
-    ).otherwise(no_days())
-    days = F.array_union(F.array_except(weekly, F.col("runs_not")), F.col("runs"))
-    return services.select("service_id", F.explode(days).alias("day"))
+    regular = masked_numbers(F.col("period_from"), F.col("period_to"), F.col("mask"))
+    runs, runs_not = numbers_of("runs"), numbers_of("runs_not")
+    days = F.when(
+        F.col("uses_calendar"), F.array_union(F.array_except(regular, runs_not), runs)
+    ).otherwise(F.array_distinct(runs))
+    # An outer explode works the days out once: for a plain one, Spark first filters by their number.
+    return (
+        services.select("service_id", days.alias("days"))
+        .select("service_id", F.posexplode_outer("days").alias("place", "number"))
+        .filter("place is not null")
+        .select("service_id", F.date_from_unix_date("number").alias("day"))
+    )
