@@ -387,12 +387,13 @@ def services(by_signature: DataFrame) -> DataFrame:
 
 
 def first_content(content: DataFrame) -> DataFrame:
-    others = [c for c in content.columns if c != "service_id"]
-    return (
-        content.groupBy("service_id")
-        .agg(F.first(F.struct(*others)).alias("content"))
-        .select("service_id", "content.*")
-    )
+    """One row per service, whose key tells all of its content.
+
+    Columns that nobody asks for are not shuffled, nor are services of a kind that nobody asks for.
+    """
+    kind = ["service_id", "uses_calendar"]
+    others = [c for c in content.columns if c not in kind]
+    return content.groupBy(*kind).agg(*[F.first(c).alias(c) for c in others])
 
 
 def weekday_flags() -> dict[str, Column]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from busgrid.functions.days import days_of_weeks, runs_of_weeks, weekdays_of
 from busgrid.operators import calendars
+from busgrid.plans import gtfs
 
 SIGNED_TYPES = (
     "signature string, weekday_mask int, on_working_days boolean, on_holidays boolean, "
@@ -18,6 +19,10 @@ def plan_of(frame):
     return frame._jdf.queryExecution().toString()
 
 
+def optimised(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.fixture(scope="module")
 def by_signature(spark):
     year = (date(2021, 1, 1), date(2021, 12, 31))
@@ -26,6 +31,13 @@ def by_signature(spark):
     return calendars.services_of_signatures(spark.createDataFrame(rows, SIGNED_TYPES))
 
 
+def test_calendar_leaves_out_days_that_it_does_not_show(by_signature):
+    shown = gtfs.calendar(calendars.services(by_signature))
+    assert shown.count() == 2
+    grouped = [x for x in optimised(shown).splitlines() if "Aggregate [service_id" in x]
+    assert grouped and not any("runs" in x for x in grouped)
+
+
 def test_signatures_are_dealt_to_all_parts_of_a_shuffle(spark, by_signature):
     assert "REPARTITION_BY_NUM" in plan_of(by_signature)
 
