@@ -54,7 +54,10 @@ def _lines(t: SalesTimetable, keep_history: bool = True) -> DataFrame:
 
 def _versions(t: SalesTimetable) -> DataFrame:
     """Line versions where no carrier is needed: one join less."""
-    return history.line_history(t.lines).withColumn("line_key", line_key())
+    kept = [*resolve.LINE, "feed_seq", "valid_from", "valid_to"]
+    # The history reads its rows three times.
+    lines = written(t.lines.select(*kept), "lines")
+    return history.line_history(lines).withColumn("line_key", line_key())
 
 
 def _flagged_trips(t: SalesTimetable) -> DataFrame:

@@ -17,6 +17,13 @@ def _padded(number: Column, width: int) -> Column:
     return F.lpad(number.cast("string"), width, "0")
 
 
+def _code_ids() -> Column:
+    """The numbers of the fixed codes of a comma list."""
+    return F.transform(
+        F.filter(F.split("codes", ","), lambda c: c != ""), lambda c: F.concat(F.lit("k"), c)
+    )
+
+
 class SalesTimetable:
     """Lazily built staged tables over one folder of parquet tables."""
 
@@ -53,16 +60,13 @@ class SalesTimetable:
     @cached_property
     def trips(self) -> DataFrame:
         """Trips with the numbers of their fixed codes, as the trip rows of a feed have them."""
-        numbers = F.transform(
-            F.filter(F.split("codes", ","), lambda c: c != ""), lambda c: F.concat(F.lit("k"), c)
-        )
         return self.orders.select(
             "feed_id",
             "feed_seq",
             "line_number",
             "line_discriminator",
             "trip_number",
-            numbers.alias("code_ids"),
+            _code_ids().alias("code_ids"),
         )
 
     @cached_property
@@ -71,7 +75,9 @@ class SalesTimetable:
 
         Each number is given twice, first with another meaning; the last row counts.
         """
-        used = self.trips.select("feed_id", F.explode("code_ids").alias("code_id")).distinct()
+        # Each list of codes is taken apart once a feed.
+        lists = self.orders.select("feed_id", "codes").distinct()
+        used = lists.select("feed_id", F.explode(_code_ids()).alias("code_id")).distinct()
         given = F.array(
             F.struct(F.lit("7").alias("meaning"), F.lit(0).alias("line_no")),
             F.struct(F.substring("code_id", 2, 1).alias("meaning"), F.lit(1).alias("line_no")),

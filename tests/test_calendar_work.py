@@ -5,6 +5,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from busgrid.catalog import QUERIES
 from busgrid.functions.days import days_of_weeks, runs_of_weeks, weekdays_of
 from busgrid.operators import calendars
 from busgrid.plans import gtfs
@@ -31,6 +32,14 @@ def by_signature(spark):
     return calendars.services_of_signatures(spark.createDataFrame(rows, SIGNED_TYPES))
 
 
+@pytest.mark.parametrize("name", ["service_days", "calendar", "calendar_services"])
+def test_lines_are_worked_out_once(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+    # Trips, their fixed codes and their dated codes read the orders; the history reads its lines.
+    assert plan.count("o_orderdate") > 0
+    assert sum("FileScan" in line and "o_orderdate" in line for line in plan.splitlines()) == 3
+
+
 def test_calendar_leaves_out_days_that_it_does_not_show(by_signature):
     shown = gtfs.calendar(calendars.services(by_signature))
     assert shown.count() == 2
