@@ -330,7 +330,7 @@ def signed(trips: DataFrame, codes: DataFrame) -> DataFrame:
     """
     rows = with_codes(trips, codes).withColumn("n_codes", F.least("n_codes", F.lit(2)))
     # More than one code is all that the rules ask about the number.
-    return rows.withColumn("signature", F.md5(F.struct(*SIGNED).cast("string")))
+    return rows.withColumn("signature", F.md5(F.to_json(F.struct(*SIGNED))))
 
 
 def services_of_signatures(signed_trips: DataFrame, extra: Extra = ()) -> DataFrame:
@@ -383,17 +383,21 @@ SERVICE_COLUMNS = [
 
 def services(by_signature: DataFrame) -> DataFrame:
     """Distinct services; different signatures may come to the same days."""
-    return first_content(by_signature.select(*SERVICE_COLUMNS))
+    return first_content(by_signature.select("signature", *SERVICE_COLUMNS))
 
 
 def first_content(content: DataFrame) -> DataFrame:
-    """One row per service, whose key tells all of its content.
+    """One row per service, whose key tells all of its content but for days without a date.
 
-    Columns that nobody asks for are not shuffled, nor are services of a kind that nobody asks for.
+    Of those the least signature decides. Columns that nobody asks for are not shuffled, nor are
+    services of a kind that nobody asks for.
     """
-    kind = ["service_id", "uses_calendar"]
-    others = [c for c in content.columns if c not in kind]
-    return content.groupBy(*kind).agg(*[F.first(c).alias(c) for c in others])
+    kind, days = ["service_id", "uses_calendar"], ["runs", "runs_not"]
+    others = [c for c in content.columns if c not in [*kind, *days, "signature"]]
+    return content.groupBy(*kind).agg(
+        *[F.first(c).alias(c) for c in others],
+        *[F.min_by(c, "signature").alias(c) for c in days],
+    )
 
 
 def weekday_flags() -> dict[str, Column]:

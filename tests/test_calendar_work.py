@@ -79,3 +79,13 @@ def test_days_of_services_keep_unknown_days(spark):
     ).withColumn("runs_not", F.col("runs_not").cast("array<date>"))
     found = {(r.service_id, r.day and r.day.day) for r in calendars.service_days(services).collect()}
     assert found == {("a", 1), ("a", None), ("c", 3), ("c", 8), ("c", 10), ("c", 11)}
+
+
+@pytest.mark.parametrize("order", ["int(signature)", "-int(signature)"])
+def test_the_least_signature_tells_days_without_a_date(spark, order):
+    year = (date(2021, 1, 1), date(2021, 12, 31))
+    day, unknown = ("3", date(2021, 5, 1), None), ("3", None, None)
+    rows = [("1", 31, False, False, *year, 2, [unknown, day]), ("2", 31, False, False, *year, 1, [day])]
+    signed = spark.createDataFrame(rows, SIGNED_TYPES)
+    found = calendars.services_of_signatures(signed).orderBy(F.expr(order)).coalesce(1)
+    assert [r.runs for r in calendars.services(found).collect()] == [[None, date(2021, 5, 1)]]
