@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from busgrid.functions import holidays as hol
-from busgrid.functions.days import compact, day_numbers, days_of, iso, joined_days
+from busgrid.functions.days import (
+    compact,
+    day_numbers,
+    days_of,
+    iso,
+    joined_days,
+    joined_numbers,
+)
 from busgrid.functions.keys import line_key, trip_key
 from busgrid.functions.times import gtfs_time_by_minute, has_time
 from busgrid.operators import calendars, history, identity, resolve, stoptimes
@@ -474,9 +481,14 @@ def time_codes(t: SalesTimetable) -> DataFrame:
     )
 
 
+def _coded(t: SalesTimetable) -> DataFrame:
+    return calendars.service_period(
+        calendars.with_codes(_trips_of_all_lines(t), t.time_codes)
+    )
+
+
 def _periods(t: SalesTimetable) -> DataFrame:
-    with_codes = calendars.with_codes(_trips_of_all_lines(t), t.time_codes)
-    return calendars.with_national_holidays(calendars.service_period(with_codes))
+    return calendars.with_national_holidays(_coded(t))
 
 
 @query
@@ -486,23 +498,29 @@ def service_period(t: SalesTimetable) -> DataFrame:
     )
 
 
-def _day_set(days: Column) -> list[Column]:
-    """A set of days, told by its size, ends and a digest of all its days."""
-    ordered = F.sort_array(F.array_distinct(days))
-    return [
-        F.size(ordered).cast("long").alias("n_days"),
-        iso(F.array_min(days)).alias("first_day"),
-        iso(F.array_max(days)).alias("last_day"),
-        F.md5(day_numbers(ordered)).alias("days_digest"),
-    ]
+def _day_sets(rows: DataFrame, numbers: str) -> DataFrame:
+    """Sets of days, given as numbers, told by their size, ends and a digest of all their days.
+
+    An unknown day is one more of the set. Without those, numbers are sorted as such.
+    """
+    known = rows.withColumn("known", F.array_compact(numbers))
+    unknown = (F.size(numbers) > F.size("known")).cast("int")
+    return known.withColumn("days", F.sort_array(F.array_distinct("known"))).select(
+        "trip_number",
+        (F.size("days") + unknown).cast("long").alias("n_days"),
+        iso(F.date_from_unix_date(F.array_min("days"))).alias("first_day"),
+        iso(F.date_from_unix_date(F.array_max("days"))).alias("last_day"),
+        F.md5(joined_numbers("days")).alias("days_digest"),
+    )
 
 
 def _days_of_types(t: SalesTimetable, column: str, *types: str) -> DataFrame:
     """What the codes of the given types contribute to each trip."""
-    chosen = _periods(t).withColumn(
-        "codes", F.filter("codes", lambda c: c["code_type"].isin(*types))
-    )
-    return calendars.days_of_codes(chosen).select("trip_number", *_day_set(days_of(column)))
+    codes = F.filter("codes", lambda c: c["code_type"].isin(*types))
+    # Holidays of the years of these codes are all that they ask for, not those of the period.
+    chosen = _coded(t).withColumns({"codes": codes, "uses_calendar": F.lit(False)})
+    dated = calendars.days_of_codes(calendars.with_national_holidays(chosen))
+    return _day_sets(dated, column)
 
 
 @query

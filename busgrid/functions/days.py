@@ -12,6 +12,8 @@ WORKING_DAYS_MASK = 0b0011111
 SUNDAY_MASK = 0b1000000
 ALL_DAYS_MASK = 0b1111111
 RUNS_TYPE = "array<struct<first:int,last:int>>"
+# Of a period of fewer days, one week 53 at most ends inside.
+ONE_WEEK_53 = 1826
 
 
 def no_days() -> Column:
@@ -76,9 +78,14 @@ def runs_of_weeks(start: Column, end: Column, weekdays: Column, parity: Column)
     """Runs of day numbers, two weeks apart, of the weekdays in odd (1) or even (0) ISO weeks.
 
     Week 1 follows week 52, so odd weeks are two weeks apart from year to year, but for
-    years of 53 weeks: one run per weekday and stretch of years between those.
+    years of 53 weeks: one run per weekday and stretch of years between those. Most periods
+    are one stretch, which their two ends tell.
     """
     first, last = F.unix_date(start), F.unix_date(end)
+    monday, last_monday = first - F.weekday(start), last - F.weekday(end)
+    # Weeks 53 come five years apart at least, so there is one in between or none.
+    same = week_parity(start) == week_parity(end)
+    steady = (last - first < ONE_WEEK_53) & (((last_monday - monday) % 14 == 0) == same)
 
     def stretch(begin: Column, ahead: Column, later: Column) -> Column:
         """From ``begin`` on, whose next week of the parity is ``ahead`` days away."""
@@ -110,9 +117,14 @@ def runs_of_weeks(start: Column, end: Column, weekdays: Column, parity: Column)
         begin, ahead = part["begin"], part["ahead"]
         return _runs(weekdays, lambda i: begin + F.pmod(ahead + i, F.lit(14)), part["to"])
 
-    # An array of one element, so that the breaks are worked out once.
+    # Arrays of one element, so that what is in them is worked out once.
+    one = F.transform(
+        F.array(monday + to_parity),
+        lambda m: _runs(weekdays, lambda i: first + F.pmod(m - first + i, F.lit(14)), last),
+    )
     parts = F.flatten(F.transform(F.array(breaks), stretches))
-    inside = F.when((start <= end) & parity.isNotNull(), F.flatten(F.transform(parts, runs)))
+    inside = F.when(steady, F.flatten(one)).otherwise(F.flatten(F.transform(parts, runs)))
+    inside = F.when((start <= end) & parity.isNotNull(), inside)
     return F.coalesce(inside, F.array().cast(RUNS_TYPE))
 
 

@@ -195,6 +195,15 @@ def _ranges(code_type: str) -> Column:
     )
 
 
+def _weeks() -> Column:
+    """Codes of odd or even weeks, those that span the line's validity once each."""
+    dated = F.filter(
+        "codes", lambda c: c["parity"].isNotNull() & ~c["code_type"].isin(ODD_WEEKS, EVEN_WEEKS)
+    )
+    whole = [F.filter("codes", lambda c: c["code_type"] == kind) for kind in (ODD_WEEKS, EVEN_WEEKS)]
+    return F.concat(dated, *[F.slice(codes, 1, 1) for codes in whole])
+
+
 def _single_days(*types: str) -> Column:
     """The days of codes that name one day: ranges are of two types only."""
     ranged = lambda c: c["code_type"].isin(RUNS_IN, DOES_NOT_RUN) & c["code_to"].isNotNull()
@@ -259,7 +268,7 @@ def days_of_codes(trips: DataFrame) -> DataFrame:
         "weekdays": weekdays_of(F.col("mask")),
         "ranges": _ranges(RUNS_IN),
         "breaks": _ranges(DOES_NOT_RUN),
-        "weeks": F.filter("codes", lambda c: c["parity"].isNotNull()),
+        "weeks": _weeks(),
     }
     days = {"in_ranges": _days_in("ranges"), "in_weeks": _days_of_weeks_in("weeks")}
     added = F.concat(

@@ -1,10 +1,12 @@
 """The work of the calendars: what is read, shuffled and dealt to tasks."""
 
+import hashlib
 from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from busgrid import catalog
 from busgrid.catalog import QUERIES
 from busgrid.functions.days import days_of_weeks, runs_of_weeks, weekdays_of
 from busgrid.operators import calendars
@@ -89,3 +91,37 @@ def test_the_least_signature_tells_days_without_a_date(spark, order):
     signed = spark.createDataFrame(rows, SIGNED_TYPES)
     found = calendars.services_of_signatures(signed).orderBy(F.expr(order)).coalesce(1)
     assert [r.runs for r in calendars.services(found).collect()] == [[None, date(2021, 5, 1)]]
+
+
+def test_weeks_of_long_periods_meet_every_week_53(spark):
+    spans = [(0, 1820), (0, 1824), (0, 1825), (0, 1826), (0, 1827), (0, 1830), (0, 4400)]
+    starts = [date(2004, 12, 20) + timedelta(i) for i in range(0, 30, 3)]
+    rows = [(s, s + timedelta(n), p) for s in starts for _, n in spans for p in (0, 1)]
+    frame = spark.createDataFrame(rows, "a date, b date, p int")
+    days = days_of_weeks(F.col("a"), F.col("b"), F.lit(21), F.col("p"))
+    for r in frame.withColumn("days", days).collect():
+        span = [r.a + timedelta(i) for i in range((r.b - r.a).days + 1)]
+        expected = [d for d in span if d.isocalendar()[1] % 2 == r.p and d.weekday() in (0, 2, 4)]
+        assert sorted(r.days) == expected
+
+
+def test_weeks_of_a_whole_line_are_worked_out_once(spark):
+    year = (date(2021, 1, 1), date(2021, 12, 31))
+    codes = [(kind, date(2021, 1, d), None) for kind in ("5", "6") for d in (2, 3, 4)]
+    signed = spark.createDataFrame([("1", 31, False, False, *year, 2, codes)], SIGNED_TYPES)
+    dated = calendars.days_of_codes(calendars.with_national_holidays(calendars.service_period(signed)))
+    added = dated.first().added
+    assert len(added) == len(set(added)) == 261
+
+
+def test_holidays_are_those_of_the_chosen_codes(spark, sf_dir):
+    plan = optimised(QUERIES["calendar_parity"](spark, sf_dir))
+    # The codes are chosen before their holidays are made.
+    assert plan.index("make_date") < plan.index(" IN (5,6,7,8)")
+
+
+def test_a_set_of_days_counts_unknown_days_once(spark):
+    rows = spark.sql("select 1 trip_number, array(19000, null, 3, 19000, null, -5) n")
+    found = catalog._day_sets(rows, "n").first()
+    digest = hashlib.md5(b"-5,3,19000").hexdigest()
+    assert tuple(found) == (1, 4, "1969-12-27", "2022-01-08", digest)
