@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from busgrid.operators import resolve
 from busgrid.plans import gtfs, integrity
-from busgrid.plans.convert import Options
+from busgrid.plans.convert import Options, timetable
 from busgrid.plans.kept import KeptTables
+from busgrid.session import work_folder
 from busgrid.sources.tables import SalesTimetable
 
 
@@ -63,3 +65,37 @@ def test_exceptions_of_services_keep_text_and_type(spark):
     )
     rows = {tuple(r) for r in gtfs.calendar_dates(services).collect()}
     assert rows == {("s", "20240105", 1), ("s", "20240206", 2)}
+
+
+def test_items_are_read_and_joined_once_for_all_loads(spark, sf_dir):
+    t = SalesTimetable(spark, sf_dir)
+    for load in t.loads(2, 4):
+        for table in ("calls", "time_codes", "stops"):
+            plan = getattr(load, table)._jdf.queryExecution().optimizedPlan().toString()
+            assert "l_linenumber" not in plan and "o_orderdate" not in plan
+            # Feeds are folders: those of other loads are not read.
+            scan = getattr(load, table)._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters: [isnotnull(feed_seq" in scan
+
+
+def test_calls_meet_their_trips_once(spark, sf_dir, monkeypatch):
+    t = SalesTimetable(spark, sf_dir)
+    load = t.loads(7)[0]
+    told = []
+    state = resolve.with_trip_state
+    monkeypatch.setattr(resolve, "with_trip_state", lambda *a: told.append(1) or state(*a))
+    made = timetable(load, t.no_rejects, load.feed_order, work_folder(spark, "t"), Options(keep_history=True))
+    assert told == [1]
+    for rows in (made.calls, made.located_calls, made.rejects):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_orderkey" not in plan or rows is made.rejects
+    usual = resolve.attached_calls(made.located_calls, made.trips)
+    assert made.calls.columns == usual.columns
+    assert made.calls.exceptAll(usual).count() == usual.exceptAll(made.calls).count() == 0
+
+
+def test_codes_of_keys_with_null_parts_are_kept(spark):
+    rows = spark.createDataFrame([("f", None, 1, "x"), ("f", "a", 1, "y"), ("f", "a", 2, "z")], "feed_id string, line_number string, trip_number int, v string")
+    keys = rows.filter("v in ('x', 'y')").drop("v")
+    found = resolve.of_keys(rows, keys, ["feed_id", "line_number", "trip_number"])
+    assert sorted(r.v for r in found.collect()) == ["x", "y"]
